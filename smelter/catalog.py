@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from smelter import fixtures
 from smelter.functions import date_parts
@@ -246,10 +247,7 @@ def dim_customer_monotonic(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(DIM_PRODUCT)
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.dim_product(
-        fixtures.silver(spark, folder, "salesProduct"),
-        fixtures.silver(spark, folder, "salesProductCategory"),
-    )
+    return gold.dim_product(*fixtures.silver_products(spark, folder))
 
 
 @query(DIM_PRODUCT_AS_WRITTEN)
@@ -311,12 +309,11 @@ def fact_sales_as_written(spark: SparkSession, folder: str) -> DataFrame:
 # --- files, views and tables ---
 
 
-def _bronze_files(spark: SparkSession, folder: str, root: str, names: list[str]) -> dict[str, str]:
-    """CSV folders named as bronze files are; the schema of each by view name."""
+def _bronze_files(root: str, tables: dict[str, DataFrame]) -> dict[str, StructType]:
+    """Write CSV folders named as bronze files are; return the schema of each by view name."""
     schemas = {}
-    for name in names:
+    for name, rows in tables.items():
         view = SILVER_SOURCES[name]
-        rows = fixtures.BRONZE[name](spark, folder)
         rows.write.csv(f"{root}/{view.replace('saleslt', 'SalesLT.')}.csv", header=True)
         schemas[view] = rows.schema
     return schemas
@@ -326,7 +323,7 @@ def _bronze_files(spark: SparkSession, folder: str, root: str, names: list[str])
 def bronze_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as a CSV file, registered as a view with a given schema."""
     root = scratch_path(spark, "bronze")
-    schemas = _bronze_files(spark, folder, root, ["salesCustomer"])
+    schemas = _bronze_files(root, {"salesCustomer": fixtures.bronze_customer(spark, folder)})
     views = register_bronze(spark, root, schemas)
     return views["SalesLTcustomer"].select("CustomerID", "Title", "CompanyName")
 
@@ -338,7 +335,7 @@ def bronze_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def bronze_inferred(spark: SparkSession, folder: str) -> DataFrame:
     """Order headers as a CSV file, with the types found in the text."""
     root = scratch_path(spark, "bronze")
-    _bronze_files(spark, folder, root, ["salesOrderHeader"])
+    _bronze_files(root, {"salesOrderHeader": fixtures.bronze_order_header(spark, folder)})
     views = register_bronze(spark, root)
     return views["SalesLTsalesorderheader"].select(
         F.col("SalesOrderID").cast("int").alias("SalesOrderID"),
@@ -383,7 +380,7 @@ def _layers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """CSV files through silver to gold, in a database of its own."""
     root, database = scratch_path(spark, "layers"), _unique("smelter")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
-    schemas = _bronze_files(spark, folder, f"{root}/bronze", list(SILVER_SOURCES))
+    schemas = _bronze_files(f"{root}/bronze", fixtures.bronze(spark, folder))
     silver = run_silver(
         spark,
         f"{root}/bronze",

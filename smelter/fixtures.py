@@ -70,13 +70,15 @@ def bronze_customer_address(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def bronze_product(spark: SparkSession, folder: str) -> DataFrame:
-    categories = bronze_product_category(spark, folder).select(
-        "ProductCategoryID", F.col("Name").alias("p_type")
-    )
+def bronze_product(
+    spark: SparkSession, folder: str, category: DataFrame | None = None
+) -> DataFrame:
+    """Parts; pass ``category`` where it is at hand, to number the types once."""
+    if category is None:
+        category = bronze_product_category(spark, folder)
     return (
         table(spark, folder, "part")
-        .join(categories, "p_type")
+        .join(category.select("ProductCategoryID", F.col("Name").alias("p_type")), "p_type")
         .select(
             (F.col("p_partkey") + FIRST_PRODUCT).alias("ProductID"),
             F.col("p_name").alias("Name"),
@@ -106,11 +108,33 @@ BRONZE = {
     "salesOrderDetail": bronze_order_detail,
     "salesCustomer": bronze_customer,
     "salesCustomerAddress": bronze_customer_address,
-    "salesProduct": bronze_product,
     "salesProductCategory": bronze_product_category,
+    "salesProduct": bronze_product,
 }
 
 
+def bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All six, with the types numbered once."""
+    category = bronze_product_category(spark, folder)
+    shared = {
+        "salesProductCategory": category,
+        "salesProduct": bronze_product(spark, folder, category),
+    }
+    return {
+        name: shared[name] if name in shared else rows(spark, folder)
+        for name, rows in BRONZE.items()
+    }
+
+
 def silver(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Silver table ``name``, with the columns that have a source."""
     return silver_table(name, BRONZE[name](spark, folder), partial=True)
+
+
+def silver_products(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Products and their categories."""
+    category = bronze_product_category(spark, folder)
+    return (
+        silver_table("salesProduct", bronze_product(spark, folder, category), partial=True),
+        silver_table("salesProductCategory", category),
+    )

@@ -14,6 +14,11 @@ from smelter.plans.silver import SILVER_SOURCES, silver_table
 from smelter.sources.views import register_bronze, register_tables
 
 
+def _by_name(views: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Views under their names in lower case: names differ in case between the layers."""
+    return {name.lower(): rows for name, rows in views.items()}
+
+
 def run_silver(
     spark: SparkSession,
     bronze_root: str,
@@ -32,10 +37,10 @@ def run_silver(
     ``spread`` replaces the order dates (``hash`` or ``rand``); None keeps them. ``where`` maps
     silver tables to row filters.
     """
-    register_bronze(spark, bronze_root, schemas, glob_suffix)
+    views = _by_name(register_bronze(spark, bronze_root, schemas, glob_suffix))
 
     def build(name: str, view: str) -> DataFrame:
-        rows = silver_table(name, spark.table(view), (where or {}).get(name), partial)
+        rows = silver_table(name, views[view], (where or {}).get(name), partial)
         if name == "salesOrderHeader" and spread:
             rows = spread_dates(rows, anchor=anchor, mode=spread)
         return rows
@@ -62,15 +67,13 @@ def run_gold(
 
     The fact takes its keys from the dimensions as written, not from a second run of their plans.
     """
-    register_tables(spark, silver_root, fmt)
-    customer, address = spark.table("salesCustomer"), spark.table("salesCustomerAddress")
+    silver = _by_name(register_tables(spark, silver_root, fmt))
+    customer, address = silver["salescustomer"], silver["salescustomeraddress"]
 
     def product() -> DataFrame:
         if as_written:
             return gold.dim_product_as_written(customer, address, mode)
-        return gold.dim_product(
-            spark.table("salesProduct"), spark.table("salesProductCategory"), mode
-        )
+        return gold.dim_product(silver["salesproduct"], silver["salesproductcategory"], mode)
 
     written = write_tables(
         spark,
@@ -85,8 +88,8 @@ def run_gold(
     )
     fact = gold.fact_sales_as_written if as_written else gold.fact_sales
     sales = fact(
-        spark.table("salesOrderHeader"),
-        spark.table("salesOrderDetail"),
+        silver["salesorderheader"],
+        silver["salesorderdetail"],
         written["dimProduct"],
         written["dimCustomer"],
     )

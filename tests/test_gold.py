@@ -1,0 +1,253 @@
+import datetime
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from smelter.plans import gold
+
+HEADER = "SalesOrderID int, CustomerID int, PO string"
+DETAIL = (
+    "SalesOrderID int, OrderQty int, ProductID int, UnitPrice double, "
+    "UnitPriceDiscount double, LineTotal double"
+)
+CUSTOMER = "CustomerIDKey bigint, CustomerID int, AddressID int, AddressType string"
+PRODUCT = "ProductIDKey bigint, ProductID int, Name string"
+
+
+def rows(frame):
+    return sorted(map(tuple, frame.collect()), key=str)
+
+
+def test_date_dimension(spark):
+    dates = gold.dim_date(spark)
+    assert dates.columns == [
+        "Date", "Year", "Month", "DayOfMonth", "DayOfYear", "WeekOfYear", "DayOfWeek", "Quarter",
+    ]
+    assert dates.count() == 9132
+    assert dates.orderBy("Date").first() == (datetime.date(2000, 1, 1), 2000, 1, 1, 1, 52, 7, 1)
+    assert dates.agg(F.max("Date"), F.countDistinct("Date")).first() == (
+        datetime.date(2024, 12, 31),
+        9132,
+    )
+    assert [f.dataType.simpleString() for f in dates.schema] == ["date"] + ["int"] * 7
+    assert dates.rdd.getNumPartitions() == 1
+
+
+def test_date_dimension_bounds(spark):
+    assert gold.dim_date(spark, "2020-02-28", "2020-03-01").count() == 3
+    assert gold.dim_date(spark, "2020-02-28", "2020-02-28").count() == 1
+    assert gold.dim_date(spark, "2020-02-28", "2020-02-01").count() == 0
+
+
+def test_covering_dates_equal_the_bounded_ones(spark):
+    frame = spark.createDataFrame([("2003-05-01",), (None,), ("2003-01-30",)], "d string")
+    covering = gold.dim_date_covering(frame, "d")
+    assert rows(covering) == rows(gold.dim_date(spark, "2003-01-30", "2003-05-01"))
+    assert gold.dim_date_covering(frame.where("d is null"), "d").count() == 0
+
+
+def test_customer_without_address_drops_and_null_never_matches(spark):
+    customer = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "CustomerID int, Title string")
+    address = spark.createDataFrame(
+        [(1, 20, "Shipping"), (1, 10, "Main Office"), (None, 5, "Shipping")],
+        "CustomerID int, AddressID int, AddressType string",
+    )
+    got = gold.dim_customer(customer, address)
+    assert got.columns == ["CustomerIDKey", "CustomerID", "Title", "AddressID", "AddressType"]
+    assert rows(got) == [(0, 1, "a", 10, "Main Office"), (1, 1, "a", 20, "Shipping")]
+    as_written = gold.dim_product_as_written(customer, address)
+    assert as_written.columns[0] == "ProductIDKey"
+    assert rows(as_written) == rows(got)
+
+
+def test_product_dimension(spark):
+    product = spark.createDataFrame(
+        [(7, "saw", 1), (3, "nail", 2), (5, "lost", 9)], "ProductID int, Name string, ProductCategoryID int"
+    )
+    category = spark.createDataFrame(
+        [(1, None, "tools"), (2, 1, "parts")],
+        "ProductCategoryID int, ParentProductCategoryID int, Name string",
+    )
+    got = gold.dim_product(product, category)
+    assert rows(got) == [(0, 3, "nail", 2, 1, "parts"), (1, 7, "saw", 1, None, "tools")]
+
+
+@pytest.fixture
+def star(spark):
+    """Two customers with several addresses, one without, null ids, an order without lines."""
+    header = spark.createDataFrame(
+        [(1, 10, "a"), (2, 11, "b"), (3, 12, "c"), (4, None, "d"), (5, 10, "e")], HEADER
+    )
+    detail = spark.createDataFrame(
+        [
+            (1, 1, 100, 1.0, 0.0, 1.0),
+            (1, 2, 101, 1.0, 0.0, 2.0),
+            (1, 2, 101, 1.0, 0.0, 2.0),
+            (2, 1, None, 1.0, 0.0, 4.0),
+            (3, 1, 999, 1.0, 0.0, 8.0),
+            (4, 1, 2, 1.0, 0.0, 16.0),
+            (9, 1, 100, 1.0, 0.0, 32.0),
+        ],
+        DETAIL,
+    )
+    product = spark.createDataFrame([(0, 100, "x"), (1, 101, "y"), (2, 102, "z")], PRODUCT)
+    customer = spark.createDataFrame(
+        [
+            (0, 10, 5, "Shipping"),
+            (1, 10, 7, "Main Office"),
+            (2, 10, 6, "Main Office"),
+            (3, 11, None, "Shipping"),
+            (4, 11, 9, None),
+            (5, None, 1, "Main Office"),
+        ],
+        CUSTOMER,
+    )
+    return header, detail, product, customer
+
+
+def test_fact_keeps_each_line_once(star):
+    got = rows(gold.fact_sales(*star).select("ProductIDKey", "CustomerIDKey", "PO", "LineTotal"))
+    assert got == sorted(
+        [
+            (0, 2, "a", 1.0),
+            (1, 2, "a", 2.0),
+            (1, 2, "a", 2.0),
+            (None, 4, "b", 4.0),
+            (None, None, "c", 8.0),
+            (None, None, "d", 16.0),
+        ],
+        key=str,
+    )
+
+
+def test_fact_columns(star):
+    for fact in (gold.fact_sales, gold.fact_sales_as_written):
+        assert fact(*star).columns == [
+            "ProductIDKey", "CustomerIDKey", "SalesOrderID", "CustomerID", "PO",
+            "OrderQty", "ProductID", "UnitPrice", "UnitPriceDiscount", "LineTotal",
+        ]
+
+
+def as_written(spark, star):
+    for name, frame in zip(("h", "d", "p", "c"), star):
+        frame.createOrReplaceTempView(f"star_{name}")
+    return spark.sql(
+        """
+        SELECT p.ProductIDKey, c.CustomerIDKey, h.*, d.OrderQty, d.ProductID, d.UnitPrice,
+               d.UnitPriceDiscount, d.LineTotal
+        FROM star_h h JOIN star_d d ON h.SalesOrderID = d.SalesOrderID
+        LEFT JOIN star_p p ON d.ProductID = p.ProductIDKey
+        LEFT JOIN star_c c ON h.CustomerID = c.CustomerID"""
+    )
+
+
+@pytest.mark.parametrize("many", [1, 10_000])
+def test_fact_as_written_equals_the_plain_join(spark, star, monkeypatch, many):
+    monkeypatch.setattr(gold, "MANY_ADDRESSES", many)
+    got = gold.fact_sales_as_written(*star)
+    assert rows(got) == rows(as_written(spark, star))
+    assert got.where("PO = 'a'").count() == 9
+    assert got.where("PO = 'd'").select("ProductIDKey").first() == (2,)
+
+
+@pytest.mark.parametrize("empty", range(4))
+def test_facts_with_an_empty_side(spark, star, empty):
+    star = [f.where("false") if i == empty else f for i, f in enumerate(star)]
+    assert rows(gold.fact_sales_as_written(*star)) == rows(as_written(spark, star))
+    lines = star[0].join(star[1], "SalesOrderID")
+    assert gold.fact_sales(*star).count() == lines.count()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fact_properties_on_random_rows(spark, seed):
+    draw = random.Random(seed)
+    header = spark.createDataFrame(
+        [(i, draw.choice([None, 1, 1, 2, 3, 4]), str(i)) for i in range(60)], HEADER
+    )
+    detail = spark.createDataFrame(
+        [
+            (draw.randrange(80), 1, draw.choice([None, 1, 1, 2, 9]), 1.0, 0.0, float(i))
+            for i in range(200)
+        ],
+        DETAIL,
+    )
+    product = spark.createDataFrame([(i, i % 3, "p") for i in range(6)], PRODUCT)
+    customer = spark.createDataFrame(
+        [
+            (i, draw.choice([1, 2, 3]), draw.randrange(5), draw.choice(["Main Office", "Shipping"]))
+            for i in range(9)
+        ],
+        CUSTOMER,
+    )
+    star = (header, detail, product, customer)
+    total = (F.count("*"), F.sum("LineTotal"))
+    lines = gold.order_lines(header, detail)
+    assert gold.fact_sales(*star).agg(*total).first() == lines.agg(*total).first()
+    assert rows(gold.fact_sales_as_written(*star)) == rows(as_written(spark, star))
+
+
+@pytest.mark.parametrize("fact", [gold.fact_sales, gold.fact_sales_as_written])
+@pytest.mark.parametrize("many", [0, 10_000])
+def test_hot_keys_are_split(spark, conf, monkeypatch, fact, many):
+    """One order, product and customer hold a third of the rows each; every join splits them."""
+    monkeypatch.setattr(gold, "MANY_ADDRESSES", many)
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10000",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    )
+    n, number = 30_000, F.col("id")
+
+    def hot(rest, value, modulus):
+        return F.when(number % 3 == rest, F.lit(value)).otherwise(number % modulus)
+
+    header = spark.range(n).select(
+        number.alias("SalesOrderID"),
+        hot(0, 7, 5000).alias("CustomerID"),
+        F.md5(number.cast("string")).alias("PO"),
+    )
+    detail = spark.range(n).select(
+        hot(0, 5, n).alias("SalesOrderID"),
+        F.lit(1).alias("OrderQty"),
+        hot(1, 11, 4000).alias("ProductID"),
+        *[F.rand(i).alias(c) for i, c in enumerate(["UnitPrice", "UnitPriceDiscount", "LineTotal"])],
+    )
+    product = spark.range(4000).select(number.alias("ProductIDKey"), number.alias("ProductID"))
+    customer = spark.range(6000).select(
+        number.alias("CustomerIDKey"),
+        hot(0, 9, 5000).alias("CustomerID"),
+        number.alias("AddressID"),
+        F.lit("Main Office").alias("AddressType"),
+    )
+    frame = fact(header, detail, product, customer)
+    frame.write.format("noop").mode("overwrite").save()
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"SortMergeJoin[^\n]*", plan.split("== Initial Plan ==")[0])
+    assert len(joins) == (4 if fact is gold.fact_sales_as_written and not many else 3)
+    assert all("skew=true" in join for join in joins), joins
+
+
+def below(plan, pattern):
+    """The plan lines under the first one that matches."""
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    top = next(i for i, line in enumerate(lines) if re.search(pattern, line))
+    end = next((i for i in range(top + 1, len(lines)) if depth[i] <= depth[top]), len(lines))
+    return "\n".join(lines[top + 1 : end])
+
+
+def test_keys_are_found_before_lines_and_headers_meet(conf, star):
+    """Header columns stay out of the shuffle by product, line columns out of the one by customer."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = gold.fact_sales(*star)._jdf.queryExecution().executedPlan().toString()
+    assert "LineTotal" in plan and "PO#" in plan
+    by_product = below(plan, r"SortMergeJoin \[ProductID")
+    assert "LineTotal" in by_product and "PO#" not in by_product
+    by_customer = below(plan, r"SortMergeJoin \[CustomerID")
+    assert "PO#" in by_customer and "LineTotal" not in by_customer
+    assert plan.count("Exchange hashpartitioning") == 6
