@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +15,18 @@ from pyspark.sql.types import StructType
 
 from smelter import fixtures
 from smelter.functions import date_parts
-from smelter.operators import preview, project, scratch_path, spread_dates, surrogate_key
-from smelter.operators import write_table
+from smelter.operators import (
+    preview,
+    project,
+    scratch_path,
+    spread_dates,
+    surrogate_key,
+    write_table,
+)
 from smelter.plans import gold, run_gold, run_silver
 from smelter.plans.silver import SILVER_SOURCES
 from smelter.sources import read_table, register_bronze, register_tables
+from smelter.together import together
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,9 +194,14 @@ def spread_dates_hash(spark: SparkSession, folder: str) -> DataFrame:
     return spread_dates(fixtures.silver(spark, folder, "salesOrderHeader"), anchor=_anchor())
 
 
-@query()
+@query(f"select * exclude (OrderDate), 1 as InRange from ({HEADER}) h")
 def spread_dates_rand(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_dates(fixtures.silver(spark, folder, "salesOrderHeader"), mode="rand")
+    """Drawn dates are not repeatable; what holds for each is that it is in the range."""
+    header = spread_dates(
+        fixtures.silver(spark, folder, "salesOrderHeader"), anchor=_anchor(), mode="rand"
+    )
+    in_range = F.col("OrderDate").between(_anchor(), F.date_add(_anchor(), 364))
+    return header.withColumn("InRange", in_range.cast("int")).drop("OrderDate")
 
 
 # --- dates ---
@@ -286,8 +299,9 @@ def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     return gold.fact_sales(
         fixtures.silver(spark, folder, "salesOrderHeader"),
         fixtures.silver(spark, folder, "salesOrderDetail"),
-        dim_product(spark, folder),
-        dim_customer(spark, folder),
+        *together(
+            spark, lambda: dim_product(spark, folder), lambda: dim_customer(spark, folder)
+        ),
     )
 
 
@@ -301,8 +315,11 @@ def fact_sales_as_written(spark: SparkSession, folder: str) -> DataFrame:
     return gold.fact_sales_as_written(
         fixtures.silver(spark, folder, "salesOrderHeader"),
         fixtures.silver(spark, folder, "salesOrderDetail"),
-        dim_product_as_written(spark, folder),
-        dim_customer(spark, folder),
+        *together(
+            spark,
+            lambda: dim_product_as_written(spark, folder),
+            lambda: dim_customer(spark, folder),
+        ),
     )
 
 
@@ -311,12 +328,14 @@ def fact_sales_as_written(spark: SparkSession, folder: str) -> DataFrame:
 
 def _bronze_files(root: str, tables: dict[str, DataFrame]) -> dict[str, StructType]:
     """Write CSV folders named as bronze files are; return the schema of each by view name."""
-    schemas = {}
-    for name, rows in tables.items():
+
+    def write(name: str, rows: DataFrame) -> tuple[str, StructType]:
         view = SILVER_SOURCES[name]
         rows.write.csv(f"{root}/{view.replace('saleslt', 'SalesLT.')}.csv", header=True)
-        schemas[view] = rows.schema
-    return schemas
+        return view, rows.schema
+
+    spark = next(iter(tables.values())).sparkSession
+    return dict(together(spark, *[partial(write, *item) for item in tables.items()]))
 
 
 @query(CUSTOMER)
@@ -376,6 +395,34 @@ def preview_order_header(spark: SparkSession, folder: str) -> DataFrame:
     return preview(fixtures.silver(spark, folder, "salesOrderHeader"), 100)
 
 
+@query(f"select * from ({HEADER}) h order by SalesOrderID limit 100")
+def preview_first_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A preview with an order: only the first rows of each partition travel."""
+    return preview(fixtures.silver(spark, folder, "salesOrderHeader").orderBy("SalesOrderID"), 100)
+
+
+@query(DIM_CUSTOMER)
+def gold_dim_customer(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer dimension as an external table, read back from the catalog."""
+    root, name = scratch_path(spark, "gold"), _unique("dimCustomer")
+    return write_table(dim_customer(spark, folder), root, name)
+
+
+@query(DIM_PRODUCT)
+def gold_dim_product(spark: SparkSession, folder: str) -> DataFrame:
+    """The product dimension as an external table, read back from the catalog."""
+    root, name = scratch_path(spark, "gold"), _unique("dimProduct")
+    return write_table(dim_product(spark, folder), root, name)
+
+
+@query(ORACLES["dim_date"])
+def gold_dim_date(spark: SparkSession, folder: str) -> DataFrame:
+    """The calendar as an external table, read back from its folder."""
+    root, name = scratch_path(spark, "gold"), _unique("dimDate")
+    write_table(dim_date(spark, folder), root, name)
+    return read_table(spark, f"{root}/{name}")
+
+
 def _layers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """CSV files through silver to gold, in a database of its own."""
     root, database = scratch_path(spark, "layers"), _unique("smelter")

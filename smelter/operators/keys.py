@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smelter.operators.staging import stage
+from smelter.operators.staging import stage, write_scratch
+from smelter.sources.files import list_folder
 
 _FILE, _ROW = "__smelter_file", "__smelter_row"
 
+# Bytes on disk per sort task: tasks are not made smaller than the first, nor larger than the second.
+SMALL_RANGE = 8 << 20
+LARGE_RANGE = 256 << 20
+
 
 def surrogate_key(
     df: DataFrame,
@@ -32,7 +37,7 @@ def surrogate_key(
     order_by = list(order_by)
     if not order_by:
         raise ValueError("dense keys need order_by")
-    return _number(_sorted(stage(rows, "unsorted"), order_by), key)
+    return _number(_sorted(rows, order_by), key)
 
 
 def _located(staged: DataFrame) -> DataFrame:
@@ -44,22 +49,39 @@ def _located(staged: DataFrame) -> DataFrame:
     )
 
 
-def _sorted(staged: DataFrame, order_by: list[str]) -> DataFrame:
+def _sorted(rows: DataFrame, order_by: list[str]) -> DataFrame:
     """Range-partition and sort, then stage, so that every later pass sees the same ranges.
 
-    The place of a row in the staged files breaks ties. It makes the order total, so a natural
-    key or a group of copies that holds much of the table is cut over many ranges, and a
-    retried task sends each row to the range it went to before.
+    The rows are staged before, too: their places in the files then break ties. That makes the
+    order total, so a natural key or a group of copies that holds much of the table is cut over
+    many ranges, and a retried task sends each row to the range it went to before.
     """
-    located = _located(staged).withColumn(_FILE, F.xxhash64(_FILE))
-    return stage(located.sort(*order_by, _FILE, _ROW).drop(_FILE, _ROW), "sorted")
+    spark = rows.sparkSession
+    path = write_scratch(rows, "unsorted")
+    staged = _located(spark.read.schema(rows.schema).parquet(path))
+    order = [*order_by, _FILE, _ROW]
+    ranges = (
+        staged.withColumn(_FILE, F.xxhash64(_FILE))
+        .repartitionByRange(_range_count(spark, path), *order)
+        .sortWithinPartitions(*order)
+        .drop(_FILE, _ROW)
+    )
+    return stage(ranges, "sorted")
+
+
+def _range_count(spark: SparkSession, path: str) -> int:
+    """Ranges for the bytes in ``path``: one if a single task will do, else at least enough for
+    each to be sorted in memory."""
+    size = sum(entry.length for entry in list_folder(spark, path))
+    shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle_partitions, size // SMALL_RANGE), size // LARGE_RANGE)
 
 
 def _number(ranges: DataFrame, key: str) -> DataFrame:
     """Key = rows in all earlier files + position in the own file.
 
-    The offsets hold one row per file, at most ``spark.sql.shuffle.partitions`` of them: few
-    enough for one window and one broadcast, however many rows the files have.
+    The offsets hold one row per file, and ``_range_count`` makes one file per 256 MB of a large
+    table: few enough for one window and one broadcast, however many rows the files have.
     """
     located = _located(ranges)
     part = F.regexp_extract(_FILE, r"^part-(\d+)", 1).cast("int")

@@ -23,14 +23,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/smelter-{uuid.uuid4().hex}/{label}"
 
 
+def write_scratch(df: DataFrame, label: str) -> str:
+    """Write ``df`` to a scratch path, one file per task, and return the path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("maxRecordsPerFile", 0).parquet(path)
+    return path
+
+
 def stage(df: DataFrame, label: str = "rows") -> DataFrame:
     """Write ``df`` once and return it read back.
 
     Cuts lineage, so a lost executor replays the read and not the plan before it. The copy is
     columnar, so later steps read only the columns they need, and its size is known to the
-    optimizer. One file per task, so the file count is bounded by the task count.
+    optimizer.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.option("maxRecordsPerFile", 0).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = write_scratch(df, label)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

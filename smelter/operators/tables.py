@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from smelter.together import together
+
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -37,18 +37,15 @@ def write_tables(
     fmt: str = "parquet",
     database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Build and write independent tables side by side.
-
-    The last tasks of one write leave executors idle; the other writes use them.
-    """
-
-    @inheritable_thread_target(spark)
-    def write(item: tuple[str, Callable[[], DataFrame]]) -> tuple[str, DataFrame]:
-        name, build = item
-        return name, write_table(build(), root, name, fmt, database)
-
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        return dict(pool.map(write, tables.items()))
+    """Build and write independent tables side by side."""
+    written = together(
+        spark,
+        *[
+            lambda name=name, build=build: write_table(build(), root, name, fmt, database)
+            for name, build in tables.items()
+        ],
+    )
+    return dict(zip(tables, written))
 
 
 def preview(df: DataFrame, n: int = 100) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from smelter.functions.dates import date_parts
 from smelter.operators.keys import surrogate_key
 from smelter.operators.staging import stage
+from smelter.together import together
 
 # Default bounds of the date dimension, both inclusive.
 FIRST_DATE = "2000-01-01"
@@ -117,14 +118,17 @@ def fact_sales(
     Each line appears once: a customer with several addresses counts as the one preferred, then
     the one with the lowest address id.
     """
-    products = _one_key(product, "ProductID", "ProductIDKey")
-    customers = _one_key(
-        customer,
-        "CustomerID",
-        "CustomerIDKey",
-        F.coalesce(F.col("AddressType") != PREFERRED_ADDRESS, F.lit(True)),
-        F.col("AddressID").isNull(),
-        "AddressID",
+    products, customers = together(
+        header.sparkSession,
+        lambda: _one_key(product, "ProductID", "ProductIDKey"),
+        lambda: _one_key(
+            customer,
+            "CustomerID",
+            "CustomerIDKey",
+            F.coalesce(F.col("AddressType") != PREFERRED_ADDRESS, F.lit(True)),
+            F.col("AddressID").isNull(),
+            "AddressID",
+        ),
     )
     return _fact(
         header.join(customers, "CustomerID", "left"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from smelter.sources.files import list_folder, read_bronze, read_table
+from smelter.sources.files import Entry, list_folder, read_bronze, read_table
+from smelter.together import together
 
 
 def view_name(file_name: str) -> str:
@@ -15,6 +17,16 @@ def view_name(file_name: str) -> str:
     return file_name.removesuffix(".csv").replace(".", "")
 
 
+def _register(
+    spark: SparkSession, read: Callable[[Entry], tuple[str, DataFrame]], entries: list[Entry]
+) -> dict[str, DataFrame]:
+    """Read the entries side by side, as finding their types is a job each; then name them."""
+    views = dict(together(spark, *[partial(read, entry) for entry in entries]))
+    for name, rows in views.items():
+        rows.createOrReplaceTempView(name)
+    return views
+
+
 def register_bronze(
     spark: SparkSession,
     root: str,
@@ -26,22 +38,21 @@ def register_bronze(
     ``schemas`` maps view names, in any case, to schemas; the views found there start no job.
     """
     known = {name.lower(): schema for name, schema in (schemas or {}).items()}
-    views = {}
-    for entry in list_folder(spark, root):
+
+    def read(entry: Entry) -> tuple[str, DataFrame]:
         name = view_name(entry.name)
-        views[name] = read_bronze(spark, entry.path, known.get(name.lower()), glob_suffix)
-        views[name].createOrReplaceTempView(name)
-    return views
+        return name, read_bronze(spark, entry.path, known.get(name.lower()), glob_suffix)
+
+    return _register(spark, read, list_folder(spark, root))
 
 
 def register_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """One view per table folder in ``root``."""
-    views = {}
-    for entry in list_folder(spark, root):
-        if entry.is_folder:
-            views[entry.name] = read_table(spark, entry.path, fmt)
-            views[entry.name].createOrReplaceTempView(entry.name)
-    return views
+
+    def read(entry: Entry) -> tuple[str, DataFrame]:
+        return entry.name, read_table(spark, entry.path, fmt)
+
+    return _register(spark, read, [e for e in list_folder(spark, root) if e.is_folder])
 
 
 def show_views(spark: SparkSession) -> DataFrame:

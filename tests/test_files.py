@@ -132,6 +132,14 @@ def test_other_formats(spark, tmp_path, database):
     assert read_table(spark, str(tmp_path / "numbers"), "orc").count() == 4
 
 
+def test_delta_is_passed_on_to_spark(spark, tmp_path, database):
+    """Its jar is not here; what can be checked is that Spark is asked for it."""
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        write_table(spark.range(1), str(tmp_path), "numbers", fmt="delta", database=database)
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        read_table(spark, str(tmp_path), "delta")
+
+
 def test_preview_is_a_limit(spark):
     got = preview(spark.range(1000), 5)
     assert got.count() == 5

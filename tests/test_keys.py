@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from smelter.operators import surrogate_key
 from smelter.operators import keys as keys_module
-from smelter.operators.staging import stage
 
 
 def keyed(frame, order_by):
@@ -30,14 +29,14 @@ def test_null_keys_come_first_and_descending_duplicates_stay_whole(spark):
     assert got == [(0, None, 1), (1, None, 2), (2, 1, 1), (3, 1, 1), (4, 2, 1)]
 
 
-def test_a_hot_group_of_copies_is_cut_over_ranges(spark, conf):
+def test_a_hot_group_of_copies_is_cut_over_ranges(spark, monkeypatch):
     """A third of the rows are copies of one row; no range may hold them all."""
-    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(keys_module, "SMALL_RANGE", 10_000)
     n = 30_000
     frame = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(18)).otherwise(F.col("id")).alias("n")
     )
-    ranges = keys_module._sorted(stage(frame), ["n"])
+    ranges = keys_module._sorted(frame, ["n"])
     sizes = [
         (row["count"], row["hot"])
         for row in ranges.groupBy(F.col("_metadata.file_name"))
@@ -55,6 +54,24 @@ def test_a_hot_group_of_copies_is_cut_over_ranges(spark, conf):
     )
 
 
+@pytest.mark.parametrize(
+    ("size", "ranges"), [(0, 1), (100, 1), (1000, 1), (3999, 3), (10_000, 8), (1_000_000, 100)]
+)
+def test_ranges_follow_the_bytes(spark, monkeypatch, tmp_path, size, ranges):
+    monkeypatch.setattr(keys_module, "SMALL_RANGE", 1000)
+    monkeypatch.setattr(keys_module, "LARGE_RANGE", 10_000)
+    (tmp_path / "part-0").write_bytes(b"x" * size)
+    assert keys_module._range_count(spark, str(tmp_path)) == ranges
+
+
+def test_keys_over_many_ranges_are_dense_and_ordered(spark, monkeypatch):
+    monkeypatch.setattr(keys_module, "SMALL_RANGE", 10_000)
+    frame = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("n"), F.rand(1).alias("x"))
+    got = surrogate_key(frame, "key", ["n"])
+    assert got.where("key <> n").count() == 0
+    assert got.count() == 40_000
+
+
 def test_no_window_over_the_rows(spark):
     """The one unpartitioned window runs over file offsets, behind an aggregate per file."""
     frame = surrogate_key(spark.range(100), "key", ["id"])
