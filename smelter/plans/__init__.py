@@ -9,11 +9,12 @@ from smelter.plans.gold import (
     order_lines,
 )
 from smelter.plans.layers import run_gold, run_layers, run_silver
-from smelter.plans.silver import SILVER_COLUMNS, SILVER_SOURCES, silver_table
+from smelter.plans.silver import SILVER_COLUMNS, SILVER_SOURCES, SILVER_TYPES, silver_table
 
 __all__ = [
     "SILVER_COLUMNS",
     "SILVER_SOURCES",
+    "SILVER_TYPES",
     "dim_customer",
     "dim_date",
     "dim_date_covering",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -26,6 +27,7 @@ def run_silver(
     fmt: str = "parquet",
     database: str | None = None,
     schemas: Mapping[str, StructType | str] | None = None,
+    types: Mapping[str, str] | None = None,
     glob_suffix: str = "",
     where: Mapping[str, Column | str] | None = None,
     spread: str | None = "hash",
@@ -34,10 +36,12 @@ def run_silver(
 ) -> dict[str, DataFrame]:
     """Register the bronze files as views and write the six silver tables.
 
+    Column types are inferred from the text unless ``schemas`` or ``types`` give them; for large
+    files give them, for instance as ``SILVER_TYPES``, to read the files once and not twice.
     ``spread`` replaces the order dates (``hash`` or ``rand``); None keeps them. ``where`` maps
     silver tables to row filters.
     """
-    views = _by_name(register_bronze(spark, bronze_root, schemas, glob_suffix))
+    views = _by_name(register_bronze(spark, bronze_root, schemas, types, glob_suffix))
 
     def build(name: str, view: str) -> DataFrame:
         rows = silver_table(name, views[view], (where or {}).get(name), partial)
@@ -104,8 +108,13 @@ def run_layers(
     gold_root: str,
     fmt: str = "parquet",
     database: str | None = None,
-    **options,
+    silver_options: Mapping[str, Any] | None = None,
+    gold_options: Mapping[str, Any] | None = None,
 ) -> dict[str, DataFrame]:
-    """Bronze to gold with the defaults of both steps; ``options`` go to the silver step."""
-    silver = run_silver(spark, bronze_root, silver_root, fmt, database, **options)
-    return silver | run_gold(spark, silver_root, gold_root, fmt, database)
+    """Bronze to gold; the options are arguments of ``run_silver`` and ``run_gold``."""
+    silver = run_silver(
+        spark, bronze_root, silver_root, fmt, database, **(silver_options or {})
+    )
+    return silver | run_gold(
+        spark, silver_root, gold_root, fmt, database, **(gold_options or {})
+    )

@@ -39,6 +39,35 @@ SILVER_COLUMNS = {
     "salesProductCategory": ["ProductCategoryID", "ParentProductCategoryID", "Name"],
 }
 
+# The types to expect in the text. Ids are bigint, to hold those of large tables.
+SILVER_TYPES = {
+    "SalesOrderID": "bigint",
+    "OrderQty": "int",
+    "ProductID": "bigint",
+    "UnitPrice": "double",
+    "UnitPriceDiscount": "double",
+    "LineTotal": "double",
+    "RevisionNumber": "int",
+    "OrderDate": "timestamp",
+    "DueDate": "timestamp",
+    "ShipDate": "timestamp",
+    "Status": "int",
+    "OnlineOrderFlag": "boolean",
+    "CustomerID": "bigint",
+    "ShipToAddressID": "bigint",
+    "BillToAddressID": "bigint",
+    "SubTotal": "double",
+    "TaxAmt": "double",
+    "Freight": "double",
+    "TotalDue": "double",
+    "AddressID": "bigint",
+    "StandardCost": "double",
+    "ListPrice": "double",
+    "Weight": "double",
+    "ProductCategoryID": "int",
+    "ParentProductCategoryID": "int",
+}
+
 
 def silver_table(
     name: str,

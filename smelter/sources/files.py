@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 
 class Entry(NamedTuple):
@@ -44,21 +45,35 @@ def read_bronze(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
+    types: Mapping[str, str] | None = None,
     glob_suffix: str = "",
     **options: str,
 ) -> DataFrame:
     """A CSV file, or a folder of CSV parts, with a header.
 
-    Without ``schema`` the types are inferred, which costs one more pass over the file. With it,
-    the header is checked against the schema. ``glob_suffix="*"`` also reads every path that
-    starts with ``path``.
+    Types are inferred, at the cost of one more pass over the file, unless they are given: as a
+    ``schema``, which the header must match, or as ``types`` by column name in any case, where
+    columns not named are strings. A value that does not fit a given type is an error.
+    ``glob_suffix="*"`` also reads every path that starts with ``path``.
     """
+    path += glob_suffix
     reader = spark.read.option("header", True)
+    if schema is None and types is not None:
+        # Without inference only the first line is read here.
+        schema = _schema(reader.options(**options).csv(path).columns, types)
     if schema is None:
         reader = reader.option("inferSchema", True)
     else:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.options(**options).csv(path + glob_suffix)
+        reader = reader.schema(schema).options(enforceSchema=False, mode="FAILFAST")
+    return reader.options(**options).csv(path)
+
+
+def _schema(header: list[str], types: Mapping[str, str]) -> StructType:
+    known = {name.lower(): kind for name, kind in types.items()}
+    schema = StructType()
+    for name in header:
+        schema = schema.add(name, DataType.fromDDL(known.get(name.lower(), "string")))
+    return schema
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

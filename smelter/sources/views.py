@@ -31,17 +31,19 @@ def register_bronze(
     spark: SparkSession,
     root: str,
     schemas: Mapping[str, StructType | str] | None = None,
+    types: Mapping[str, str] | None = None,
     glob_suffix: str = "",
 ) -> dict[str, DataFrame]:
     """One view per CSV file, or folder of CSV parts, in ``root``.
 
     ``schemas`` maps view names, in any case, to schemas; the views found there start no job.
+    For the others see ``read_bronze``.
     """
     known = {name.lower(): schema for name, schema in (schemas or {}).items()}
 
     def read(entry: Entry) -> tuple[str, DataFrame]:
         name = view_name(entry.name)
-        return name, read_bronze(spark, entry.path, known.get(name.lower()), glob_suffix)
+        return name, read_bronze(spark, entry.path, known.get(name.lower()), types, glob_suffix)
 
     return _register(spark, read, list_folder(spark, root))
 

@@ -1,4 +1,5 @@
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,26 @@ def test_csv_schema_is_checked_against_the_header(spark, tmp_path):
         read_bronze(spark, str(file), "b bigint, a string").collect()
 
 
+def test_csv_types_by_column_name(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    file.write_text("id,Total Due,note\n1,2,3\n")
+    got = read_bronze(spark, str(file), types={"ID": "bigint", "total due": "double", "other": "int"})
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
+        ("id", "bigint"), ("Total Due", "double"), ("note", "string"),
+    ]
+    assert got.first() == (1, 2.0, "3")
+
+
+def test_a_value_that_does_not_fit_its_type_is_an_error(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    file.write_text("a,b\n1,2\nx,3\n")
+    for given in ({"schema": "a int, b int"}, {"types": {"a": "int"}}):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_bronze(spark, str(file), **given).collect()
+    assert read_bronze(spark, str(file), "a int, b int", mode="PERMISSIVE").count() == 2
+    assert read_bronze(spark, str(file)).schema["a"].dataType.simpleString() == "string"
+
+
 def test_glob_suffix_reads_siblings(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a\n1\n")
     (tmp_path / "x.csv.bak").write_text("a\n2\n")
@@ -146,6 +167,33 @@ def test_preview_is_a_limit(spark):
     assert re.search(r"\w*Limit 5", got._jdf.queryExecution().optimizedPlan().toString())
 
 
+def test_scratch_without_the_setting(tmp_path):
+    """Alone on one machine a temporary folder will do; on a cluster it would not be shared."""
+
+    class Context:
+        checkpoint = None
+
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return self.checkpoint
+
+        def setCheckpointDir(self, folder):
+            self.checkpoint = folder
+
+    def session(master):
+        conf = SimpleNamespace(get=lambda name, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=Context(master))
+
+    local = session("local[4]")
+    first, second = scratch_path(local, "x"), scratch_path(local, "x")
+    assert first != second
+    assert first.rsplit("/", 2)[0] == second.rsplit("/", 2)[0] == local.sparkContext.checkpoint
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://host:7077"), "x")
+
+
 def test_scratch_is_below_the_configured_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from smelter.plans import SILVER_COLUMNS, run_gold, run_layers, run_silver
+from smelter.plans import SILVER_COLUMNS, SILVER_TYPES, run_gold, run_layers, run_silver
 from smelter.sources import read_table
 
 FILES = {
@@ -22,9 +22,9 @@ FILES = {
 4,2,2008-06-01 00:00:00,2008-06-13 00:00:00,2008-06-08 00:00:00,5,False,SO4,PO4,A-1,10,100,100,CARGO,,0.0,0.0,0.0,0.0,,g
 """,
     "SalesLT.Customer.csv": """CustomerID,NameStyle,Title,FirstName,MiddleName,LastName,Suffix,CompanyName,SalesPerson,EmailAddress,Phone,PasswordHash
-10,False,Mr.,Ann,B.,Lee,,"Bikes, Ltd",sp,a@example.com,1,h
-11,False,Ms.,Bo,,Kim,Jr.,Wheels,sp,b@example.com,2,h
-12,False,,Cy,,Ray,,Gears,sp,c@example.com,3,h
+10,False,Mr.,Ann,B.,Lee,,"Bikes, Ltd",sp,a@example.com,555-0101,h
+11,False,Ms.,Bo,,Kim,Jr.,Wheels,sp,b@example.com,555-0102,h
+12,False,,Cy,,Ray,,Gears,sp,c@example.com,555-0103,h
 """,
     "SalesLT.CustomerAddress.csv": """CustomerID,AddressID,AddressType,rowguid
 10,101,Shipping,g
@@ -111,6 +111,34 @@ def test_options_of_the_silver_step(spark, bronze, tmp_path, database):
     assert silver["salesCustomer"].count() == 3
 
 
+def test_given_types_give_the_same_rows(spark, bronze, tmp_path, database):
+    def rows(root, **options):
+        silver = run_silver(
+            spark, bronze, str(tmp_path / root), database=database, spread=None, **options
+        )
+        return {name: sorted(map(tuple, frame.collect()), key=str) for name, frame in silver.items()}
+
+    assert rows("given", types=SILVER_TYPES) == rows("inferred")
+    written = read_table(spark, str(tmp_path / "given/salesOrderHeader")).schema
+    assert all(
+        field.dataType.simpleString() == SILVER_TYPES.get(field.name, "string") for field in written
+    )
+
+
+def test_options_reach_both_steps(spark, bronze, tmp_path, database):
+    tables = run_layers(
+        spark,
+        bronze,
+        str(tmp_path / "silver"),
+        str(tmp_path / "gold"),
+        database=database,
+        silver_options={"spread": "rand", "types": SILVER_TYPES},
+        gold_options={"first_date": "2020-01-01", "last_date": "2020-01-31"},
+    )
+    assert tables["dimDate"].count() == 31
+    assert tables["factSales"].agg(F.count("*"), F.sum("LineTotal")).first() == (4, 58.0)
+
+
 def test_gold_as_written(spark, bronze, tmp_path, database):
     silver_root = str(tmp_path / "silver")
     run_silver(spark, bronze, silver_root, database=database)
