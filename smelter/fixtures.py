@@ -55,18 +55,17 @@ def bronze_customer(spark: SparkSession, folder: str) -> DataFrame:
 
 def bronze_customer_address(spark: SparkSession, folder: str) -> DataFrame:
     """A main office for nine customers in ten, a shipping address for one in seven."""
-    customer = F.col("c_custkey")
-    offices = F.when(
-        customer % 10 != 0,
-        F.struct((customer * 2).alias("AddressID"), F.lit("Main Office").alias("AddressType")),
-    )
-    shipping = F.when(
-        customer % 7 == 0,
-        F.struct((customer * 2 + 1).alias("AddressID"), F.lit("Shipping").alias("AddressType")),
-    )
-    addresses = F.array_compact(F.array(offices, shipping))
-    return table(spark, folder, "customer").select(
-        customer.alias("CustomerID"), F.inline(addresses), F.col("c_nationkey").alias("rowguid")
+    customer, shipping = F.col("c_custkey"), F.col("number") == 1
+    return (
+        table(spark, folder, "customer")
+        .select("c_custkey", "c_nationkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("number"))
+        .where(F.when(shipping, customer % 7 == 0).otherwise(customer % 10 != 0))
+        .select(
+            customer.alias("CustomerID"),
+            (customer * 2 + F.col("number")).alias("AddressID"),
+            F.when(shipping, "Shipping").otherwise("Main Office").alias("AddressType"),
+            F.col("c_nationkey").alias("rowguid"),
+        )
     )
 
 

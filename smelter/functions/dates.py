@@ -22,7 +22,9 @@ def date_parts(date: Column) -> list[Column]:
     return [part(date).alias(name) for name, part in DATE_PARTS.items()]
 
 
-def spread_date(key: Column, anchor: Column, days: int, mode: str = "hash", seed: int | None = None) -> Column:
+def spread_date(
+    key: Column, anchor: Column, days: int, mode: str = "hash", seed: int | None = None
+) -> Column:
     """A date in ``[anchor, anchor + days - 1]``, never null.
 
     ``hash`` derives the offset from ``key`` alone, so reruns and retried tasks agree.

@@ -12,7 +12,7 @@ from smelter.sources.files import list_folder
 
 _FILE, _ROW = "__smelter_file", "__smelter_row"
 
-# Bytes on disk per sort task: tasks are not made smaller than the first, nor larger than the second.
+# Bytes on disk per sort task: none is made smaller than the first or larger than the second.
 SMALL_RANGE = 1 << 20
 LARGE_RANGE = 256 << 20
 

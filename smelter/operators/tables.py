@@ -21,7 +21,7 @@ def qualified(spark: SparkSession, name: str, database: str | None = None) -> st
 def write_table(
     df: DataFrame, root: str, name: str, fmt: str = "parquet", database: str | None = None
 ) -> DataFrame:
-    """Replace rows and schema of the external table ``name`` below ``root``; return it read back."""
+    """Replace rows and schema of external table ``name`` below ``root``; return it read back."""
     target = qualified(df.sparkSession, name, database)
     options = {"overwriteSchema": "true"} if fmt == "delta" else {}
     df.write.saveAsTable(

@@ -86,7 +86,7 @@ def dim_date(spark: SparkSession, start: str = FIRST_DATE, end: str = LAST_DATE)
 
 
 def dim_date_covering(rows: DataFrame, column: str) -> DataFrame:
-    """One row per day from the first to the last date in ``column``, without a driver round trip."""
+    """One row per day from the first to the last date in ``column``, in one lazy plan."""
     date = F.col(column).cast("date")
     bounds = rows.agg(F.min(date).alias("first"), F.max(date).alias("last"))
     return _calendar(bounds.select(F.explode(F.sequence("first", "last")).alias("Date")))

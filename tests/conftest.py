@@ -11,7 +11,7 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,4]")  # a task may fail three times
         .appName("smelter-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

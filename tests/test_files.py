@@ -62,7 +62,8 @@ def test_csv_schema_is_checked_against_the_header(spark, tmp_path):
 def test_csv_types_by_column_name(spark, tmp_path):
     file = tmp_path / "x.csv"
     file.write_text("id,Total Due,note\n1,2,3\n")
-    got = read_bronze(spark, str(file), types={"ID": "bigint", "total due": "double", "other": "int"})
+    types = {"ID": "bigint", "total due": "double", "other": "int"}
+    got = read_bronze(spark, str(file), types=types)
     assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
         ("id", "bigint"), ("Total Due", "double"), ("note", "string"),
     ]
@@ -111,9 +112,8 @@ def test_given_schemas_start_no_job(spark, tmp_path):
 def test_overwrite_replaces_rows_and_schema(spark, tmp_path, database):
     root = str(tmp_path / "silver")
     write_table(spark.range(5), root, "numbers", database=database)
-    got = write_table(
-        spark.createDataFrame([("x", 1.5)], "s string, d double"), root, "numbers", database=database
-    )
+    other = spark.createDataFrame([("x", 1.5)], "s string, d double")
+    got = write_table(other, root, "numbers", database=database)
     assert [tuple(r) for r in got.collect()] == [("x", 1.5)]
     assert read_table(spark, f"{root}/numbers/").columns == ["s", "d"]
     kind = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.numbers").where("col_name = 'Type'")

@@ -1,9 +1,10 @@
 import re
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from smelter.operators import surrogate_key
+from smelter.operators import surrogate_key, write_table
 from smelter.operators import keys as keys_module
 
 
@@ -17,7 +18,7 @@ def test_dense_keys_follow_the_order(spark):
 
 
 def test_dense_keys_do_not_depend_on_partitioning(spark):
-    frame = spark.range(500).select((F.col("id") % 50).alias("a"), (F.col("id") % 7).alias("b"), "id")
+    frame = spark.range(500).selectExpr("id % 50 AS a", "id % 7 AS b", "id")
     order = ["a", "b", "id"]
     assert keyed(frame.repartition(7), order) == keyed(frame.coalesce(1), order)
 
@@ -66,12 +67,22 @@ def test_ranges_follow_the_bytes(spark, monkeypatch, tmp_path, size, ranges):
 
 def test_keys_over_many_ranges_are_dense_and_ordered(spark, monkeypatch):
     monkeypatch.setattr(keys_module, "SMALL_RANGE", 10_000)
-    frame = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("n"), F.rand(1).alias("x"))
+    frame = spark.range(40_000).selectExpr("id * 7919 % 40000 AS n", "rand(1) AS x")
     got = surrogate_key(frame, "key", ["n"])
     assert got.where("key <> n").count() == 0
     assert got.count() == 40_000
 
 
+def test_keys_hold_where_one_file_is_read_by_many_tasks(spark, conf):
+    conf(parquet__block__size="20000", spark__sql__files__maxPartitionBytes="20000")
+    frame = spark.range(300_000).selectExpr("id * 7919 % 300000 AS n", "md5(string(id)) AS x")
+    got = surrogate_key(frame, "key", ["n"])
+    parts = got.groupBy(F.spark_partition_id()).count().count()
+    assert parts > 2
+    assert got.where("key <> n").count() == 0
+    assert got.agg(F.countDistinct("key")).first()[0] == 300_000
+
+
 def test_no_window_over_the_rows(spark):
     """The one unpartitioned window runs over file offsets, behind an aggregate per file."""
     frame = surrogate_key(spark.range(100), "key", ["id"])
@@ -81,6 +92,23 @@ def test_no_window_over_the_rows(spark):
     assert "Aggregate" in plan[plan.index(windows[0]) :]
 
 
+def test_failed_tasks_are_repeated_without_trace(spark, tmp_path, database):
+    """Each task over the input writes some rows, fails once, and runs again."""
+
+    def fail_once(batches):
+        for batch in batches:
+            yield batch
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+
+    frame = spark.range(0, 2000, 1, 4).select((F.col("id") * 7 % 2000).alias("n"))
+    frame = frame.mapInPandas(fail_once, "n bigint")
+    keys = write_table(
+        surrogate_key(frame, "key", ["n"]), str(tmp_path), "numbers", database=database
+    )
+    assert sorted(map(tuple, keys.collect())) == [(n, n) for n in range(2000)]
+
+
 def test_monotonic_keys_are_unique(spark):
     frame = surrogate_key(spark.range(1000).repartition(5), "key", mode="monotonic")
     assert frame.columns == ["key", "id"]

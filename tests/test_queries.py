@@ -5,10 +5,14 @@ import pathlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from smelter import fixtures
+from smelter.plans import gold
 
 SCALE = pathlib.Path("/root/testdata/sf0.001")
+LARGER = SCALE.with_name("sf0.01")
 
 TYPES = {
     "bigint": "BIGINT",
@@ -60,6 +64,39 @@ def test_every_sql_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def summary(fact):
+    """Rows, rows with each key, and the sum of the lines."""
+    return (
+        fact.agg(
+            F.count("*"),
+            F.count("ProductIDKey"),
+            F.count("CustomerIDKey"),
+            F.round(F.sum("LineTotal"), 2),
+        )
+        .first()[:]
+    )
+
+
+@pytest.mark.skipif(not LARGER.exists(), reason="needs the test tables")
+def test_known_results(spark):
+    """Counts measured before this library was written."""
+    folder, run = str(LARGER), contract.queries()
+    assert run["dim_customer"](spark, folder).count() == 1565
+    assert run["dim_customer"](spark, folder).select("CustomerID").distinct().count() == 1372
+    assert run["dim_product"](spark, folder).count() == 2000
+    assert summary(run["fact_sales"](spark, folder)) == (60_000, 60_000, 54_942, 3_024_008_727.89)
+    assert summary(run["fact_sales_as_written"](spark, folder)) == (
+        67_706, 19_113, 62_648, 3_416_045_076.64,
+    )
+    corrected_product = gold.fact_sales_as_written(
+        fixtures.silver(spark, folder, "salesOrderHeader"),
+        fixtures.silver(spark, folder, "salesOrderDetail"),
+        run["dim_product"](spark, folder),
+        run["dim_customer"](spark, folder),
+    )
+    assert summary(corrected_product)[:2] == (67_706, 33_845)
+
+
 def test_entry(spark):
     fact = contract.entry(spark)
     assert fact.columns[:2] == ["ProductIDKey", "CustomerIDKey"]

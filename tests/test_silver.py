@@ -8,7 +8,9 @@ from smelter.plans import SILVER_COLUMNS, silver_table
 
 
 def test_projection_keeps_order_and_spelling(spark):
-    frame = spark.createDataFrame([(1, 2, 3)], "rowguid int, UnitPriceDIscount int, salesorderid int")
+    frame = spark.createDataFrame(
+        [(1, 2, 3)], "rowguid int, UnitPriceDIscount int, salesorderid int"
+    )
     got = project(frame, ["SalesOrderID", "UnitPriceDiscount"])
     assert got.columns == ["SalesOrderID", "UnitPriceDiscount"]
     assert got.first() == (3, 2)
@@ -40,8 +42,8 @@ def test_missing_columns_are_an_error_unless_partial(spark):
 
 @pytest.mark.parametrize("mode", ["hash", "rand"])
 def test_spread_dates_range(spark, mode):
-    frame = spark.range(20_000).select(
-        F.col("id").alias("SalesOrderID"), F.lit("2008-06-01").alias("OrderDate"), F.lit(1).alias("x")
+    frame = spark.range(20_000).selectExpr(
+        "id AS SalesOrderID", "'2008-06-01' AS OrderDate", "1 AS x"
     )
     anchor = datetime.date(1998, 1, 1)
     got = spread_dates(frame, anchor=F.lit(anchor), mode=mode, seed=1)
