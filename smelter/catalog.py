@@ -112,6 +112,10 @@ CUSTOMER_KEY = f"""
       from ({DIM_CUSTOMER}) d) c
     where choice = 1"""
 
+# One row per product, should an id occur twice.
+PRODUCT_KEY = f"""
+    select ProductID, min(ProductIDKey) as ProductIDKey from ({DIM_PRODUCT}) d group by ProductID"""
+
 LINE_COLUMNS = "sod.OrderQty, sod.ProductID, sod.UnitPrice, sod.UnitPriceDiscount, sod.LineTotal"
 
 
@@ -120,7 +124,7 @@ def fact_sql(header: str) -> str:
     select dp.ProductIDKey, dc.CustomerIDKey, soh.*, {LINE_COLUMNS}
     from ({header}) soh
     join ({DETAIL}) sod on soh.SalesOrderID = sod.SalesOrderID
-    left join ({DIM_PRODUCT}) dp on sod.ProductID = dp.ProductID
+    left join ({PRODUCT_KEY}) dp on sod.ProductID = dp.ProductID
     left join ({CUSTOMER_KEY}) dc on soh.CustomerID = dc.CustomerID"""
 
 

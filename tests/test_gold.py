@@ -191,11 +191,9 @@ def test_fact_properties_on_random_rows(spark, seed):
     assert rows(gold.fact_sales_as_written(*star)) == rows(as_written(spark, star))
 
 
-@pytest.mark.parametrize("fact", [gold.fact_sales, gold.fact_sales_as_written])
-@pytest.mark.parametrize("many", [0, 10_000])
-def test_hot_keys_are_split(spark, conf, monkeypatch, fact, many):
-    """One order, product and customer hold a third of the rows each; every join splits them."""
-    monkeypatch.setattr(gold, "MANY_ADDRESSES", many)
+@pytest.fixture
+def skew(conf):
+    """Thresholds of adaptive execution in proportion to a small test."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
@@ -203,11 +201,41 @@ def test_hot_keys_are_split(spark, conf, monkeypatch, fact, many):
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10000",
         spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
     )
-    n, number = 30_000, F.col("id")
 
-    def hot(rest, value, modulus):
-        return F.when(number % 3 == rest, F.lit(value)).otherwise(number % modulus)
 
+def hot(rest, value, modulus):
+    """A third of the ids become ``value``."""
+    return F.when(F.col("id") % 3 == rest, F.lit(value)).otherwise(F.col("id") % modulus)
+
+
+def final_joins(frame):
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"SortMergeJoin[^\n]*", plan.split("== Initial Plan ==")[0])
+
+
+def test_a_customer_with_a_third_of_the_addresses_is_split(spark, skew):
+    customer = spark.range(5000).selectExpr("id AS CustomerID", "md5(string(id)) AS Title")
+    address = spark.range(30_000).select(
+        hot(0, 7, 5000).alias("CustomerID"),
+        F.col("id").alias("AddressID"),
+        F.md5(F.col("id").cast("string")).alias("AddressType"),
+    )
+    rows = gold._customer_addresses(customer, address)
+    joins = final_joins(rows)
+    assert len(joins) == 1 and "skew=true" in joins[0]
+    keys = gold.dim_customer(customer, address)
+    key = "CustomerIDKey"
+    counts = keys.agg(F.count("*"), F.max(key), F.countDistinct(key)).first()
+    assert counts == (30_000, 29_999, 30_000)
+
+
+@pytest.mark.parametrize("fact", [gold.fact_sales, gold.fact_sales_as_written])
+@pytest.mark.parametrize("many", [0, 10_000])
+def test_hot_keys_are_split(spark, skew, monkeypatch, fact, many):
+    """One order, product and customer hold a third of the rows each; every join splits them."""
+    monkeypatch.setattr(gold, "MANY_ADDRESSES", many)
+    n, number = 30_000, F.col("id")
     header = spark.range(n).select(
         number.alias("SalesOrderID"),
         hot(0, 7, 5000).alias("CustomerID"),
@@ -226,11 +254,7 @@ def test_hot_keys_are_split(spark, conf, monkeypatch, fact, many):
         number.alias("AddressID"),
         F.lit("Main Office").alias("AddressType"),
     )
-    frame = fact(header, detail, product, customer)
-    frame.write.format("noop").mode("overwrite").save()
-    frame.collect()
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    joins = re.findall(r"SortMergeJoin[^\n]*", plan.split("== Initial Plan ==")[0])
+    joins = final_joins(fact(header, detail, product, customer))
     assert len(joins) == (4 if fact is gold.fact_sales_as_written and not many else 3)
     assert all("skew=true" in join for join in joins), joins
 
