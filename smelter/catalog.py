@@ -86,18 +86,23 @@ CUSTOMER_ADDRESS = f"""
     select sc.*, sca.AddressID, sca.AddressType
     from ({CUSTOMER}) sc join ({ADDRESS}) sca on sc.CustomerID = sca.CustomerID"""
 
+# The natural key, then the other columns.
+CUSTOMER_ORDER = """CustomerID nulls first, AddressID nulls first, Title nulls first,
+             CompanyName nulls first, AddressType nulls first"""
+
+PRODUCT_ORDER = """ProductID nulls first, Name nulls first, ProductNumber nulls first,
+             ListPrice nulls first, Size nulls first, ProductCategoryID nulls first"""
+
 DIM_CUSTOMER = f"""
-    select row_number() over (order by CustomerID nulls first, AddressID nulls first) - 1
-           as CustomerIDKey, t.*
+    select row_number() over (order by {CUSTOMER_ORDER}) - 1 as CustomerIDKey, t.*
     from ({CUSTOMER_ADDRESS}) t"""
 
 DIM_PRODUCT_AS_WRITTEN = f"""
-    select row_number() over (order by CustomerID nulls first, AddressID nulls first) - 1
-           as ProductIDKey, t.*
+    select row_number() over (order by {CUSTOMER_ORDER}) - 1 as ProductIDKey, t.*
     from ({CUSTOMER_ADDRESS}) t"""
 
 DIM_PRODUCT = f"""
-    select row_number() over (order by ProductID nulls first) - 1 as ProductIDKey, t.*
+    select row_number() over (order by {PRODUCT_ORDER}) - 1 as ProductIDKey, t.*
     from (select p.*, pc.ParentProductCategoryID, pc.Name as CategoryName
           from ({PRODUCT}) p join ({CATEGORY}) pc
           on p.ProductCategoryID = pc.ProductCategoryID) t"""

@@ -26,7 +26,8 @@ def surrogate_key(
 ) -> DataFrame:
     """Put a bigint ``key`` in front of the columns of ``df``, less those named in ``exclude``.
 
-    ``dense`` numbers the rows from 0 without gaps in the order of ``order_by``, nulls first.
+    ``dense`` numbers the rows from 0 without gaps in the order of ``order_by``, nulls first. Rows
+    equal in all of ``order_by`` follow each other in no particular order.
     ``monotonic`` gives unique keys with gaps that depend on the partitioning of the run.
     """
     rows = df.drop(key, *exclude)

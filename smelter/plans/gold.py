@@ -38,26 +38,27 @@ def _customer_addresses(customer: DataFrame, address: DataFrame) -> DataFrame:
     ).select(*customer.columns, "AddressID", "AddressType")
 
 
+def _keyed(rows: DataFrame, key: str, natural: list[str], mode: str) -> DataFrame:
+    """Surrogate keys in the order of the natural key, then of the other columns.
+
+    A natural key that occurs twice by mistake then still gives the same keys in every run.
+    """
+    order = natural + [column for column in rows.columns if column not in natural]
+    return surrogate_key(rows, key, order, mode)
+
+
 def dim_customer(customer: DataFrame, address: DataFrame, mode: str = "dense") -> DataFrame:
     """Customer and address rows under ``CustomerIDKey``."""
-    return surrogate_key(
-        _customer_addresses(customer, address),
-        "CustomerIDKey",
-        ["CustomerID", "AddressID"],
-        mode,
-    )
+    rows = _customer_addresses(customer, address)
+    return _keyed(rows, "CustomerIDKey", ["CustomerID", "AddressID"], mode)
 
 
 def dim_product_as_written(
     customer: DataFrame, address: DataFrame, mode: str = "dense"
 ) -> DataFrame:
     """The customer rows again, under ``ProductIDKey``."""
-    return surrogate_key(
-        _customer_addresses(customer, address),
-        "ProductIDKey",
-        ["CustomerID", "AddressID"],
-        mode,
-    )
+    rows = _customer_addresses(customer, address)
+    return _keyed(rows, "ProductIDKey", ["CustomerID", "AddressID"], mode)
 
 
 def dim_product(product: DataFrame, category: DataFrame, mode: str = "dense") -> DataFrame:
@@ -68,7 +69,7 @@ def dim_product(product: DataFrame, category: DataFrame, mode: str = "dense") ->
     rows = product.join(names, "ProductCategoryID").select(
         *product.columns, "ParentProductCategoryID", "CategoryName"
     )
-    return surrogate_key(rows, "ProductIDKey", ["ProductID"], mode)
+    return _keyed(rows, "ProductIDKey", ["ProductID"], mode)
 
 
 def _calendar(dates: DataFrame) -> DataFrame:

@@ -77,6 +77,20 @@ def test_product_dimension(spark):
     assert rows(got) == [(0, 3, "nail", 2, 1, "parts"), (1, 7, "saw", 1, None, "tools")]
 
 
+def test_repeated_natural_keys_get_the_same_keys_in_every_run(spark):
+    rows = [(1, f"n{i % 7}", 1) for i in range(40)] + [(2, "z", 1)]
+    product = spark.createDataFrame(rows, "ProductID int, Name string, ProductCategoryID int")
+    category = spark.createDataFrame(
+        [(1, None, "c")], "ProductCategoryID int, ParentProductCategoryID int, Name string"
+    )
+    runs = [
+        [tuple(r) for r in gold.dim_product(product.repartition(n), category).collect()]
+        for n in (1, 5)
+    ]
+    expected = [(i, *row, None, "c") for i, row in enumerate(sorted(rows))]
+    assert [sorted(run) for run in runs] == [expected, expected]
+
+
 @pytest.fixture
 def star(spark):
     """Two customers with several addresses, one without, null ids, an order without lines."""
