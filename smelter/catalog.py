@@ -134,11 +134,14 @@ def fact_sql(header: str) -> str:
 
 
 def spread_sql(rows: str) -> str:
-    """``rows`` of headers with OrderDate spread over 365 days by the md5 of the order id."""
+    """``rows`` of headers with OrderDate spread over 365 days by the md5 of the order id.
+
+    Every row gets a date, also one without an id.
+    """
     return f"""
     select * exclude (OrderDate), date '{SPREAD_ANCHOR}' + cast(
-             cast('0x' || substr(md5(cast(SalesOrderID as varchar)), 1, 8) as bigint) % 365
-             as integer) as OrderDate
+             cast('0x' || substr(md5(coalesce(cast(SalesOrderID as varchar), '')), 1, 8) as bigint)
+             % 365 as integer) as OrderDate
     from ({rows}) h"""
 
 
@@ -281,13 +284,15 @@ def dim_product_as_written(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-    select row_number() over (order by TotalDue nulls first, SalesOrderID nulls first) - 1
+    select row_number() over (order by TotalDue nulls first, SalesOrderID nulls first,
+             CustomerID nulls first, OrderDate nulls first, ShipMethod nulls first) - 1
            as OrderKey, h.* exclude (Status)
     from ({HEADER}) h""")
 def order_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Dense keys over a large table, with a column left out."""
     header = fixtures.silver(spark, folder, "salesOrderHeader")
-    return surrogate_key(header, "OrderKey", ["TotalDue", "SalesOrderID"], exclude=["Status"])
+    order = ["TotalDue", "SalesOrderID", "CustomerID", "OrderDate", "ShipMethod"]
+    return surrogate_key(header, "OrderKey", order, exclude=["Status"])
 
 
 # --- order lines and facts ---
