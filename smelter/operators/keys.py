@@ -12,7 +12,7 @@ from smelter.sources.files import list_folder
 
 _FILE, _ROW = "__smelter_file", "__smelter_row"
 
-# Bytes on disk per sort task: none is made smaller than the first or larger than the second.
+# Bytes on disk per sort task: none is made smaller than the first, nor much larger than the second.
 SMALL_RANGE = 1 << 20
 LARGE_RANGE = 256 << 20
 
@@ -75,14 +75,15 @@ def _range_count(spark: SparkSession, path: str) -> int:
     each to be sorted in memory."""
     size = sum(entry.length for entry in list_folder(spark, path))
     shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle_partitions, size // SMALL_RANGE), size // LARGE_RANGE)
+    return max(1, min(shuffle_partitions, size // SMALL_RANGE), -(-size // LARGE_RANGE))
 
 
 def _number(ranges: DataFrame, key: str) -> DataFrame:
     """Key = rows in all earlier files + position in the own file.
 
     The offsets hold one row per file, and ``_range_count`` makes one file per 256 MB of a large
-    table: few enough for one window and one broadcast, however many rows the files have.
+    table: few enough for one window and one broadcast, however many rows the files have. They
+    are staged, so that a broadcast never waits for the rows to be counted.
     """
     located = _located(ranges)
     part = F.regexp_extract(_FILE, r"^part-(\d+)", 1).cast("int")
@@ -92,6 +93,6 @@ def _number(ranges: DataFrame, key: str) -> DataFrame:
         .agg(F.count("*").alias("rows"))
         .select(_FILE, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("earlier"))
     )
-    return located.join(F.broadcast(offsets), _FILE).select(
+    return located.join(F.broadcast(stage(offsets, "offsets")), _FILE).select(
         (F.col("earlier") + F.col(_ROW)).alias(key), *[F.col(f"`{c}`") for c in ranges.columns]
     )

@@ -83,13 +83,14 @@ def test_keys_hold_where_one_file_is_read_by_many_tasks(spark, conf):
     assert got.agg(F.countDistinct("key")).first()[0] == 300_000
 
 
-def test_no_window_over_the_rows(spark):
-    """The one unpartitioned window runs over file offsets, behind an aggregate per file."""
+def test_keys_need_neither_window_nor_shuffle_when_read(spark):
+    """What is left to do per row is a lookup in the staged file offsets."""
     frame = surrogate_key(spark.range(100), "key", ["id"])
-    plan = frame._jdf.queryExecution().optimizedPlan().toString()
-    windows = re.findall(r"Window \[[^\n]*", plan)
-    assert len(windows) == 1
-    assert "Aggregate" in plan[plan.index(windows[0]) :]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hash" not in plan
+    assert plan.count("BroadcastExchange") == 1
+    small = plan[plan.index("BroadcastExchange") :]
+    assert "ReadSchema: struct<__smelter_file:string,earlier:bigint>" in small
 
 
 def test_failed_tasks_are_repeated_without_trace(spark, tmp_path, database):
