@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -55,6 +56,20 @@ def test_a_hot_group_of_copies_is_cut_over_ranges(spark, monkeypatch):
     )
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_dense_keys_equal_a_sort_by_hand(spark, monkeypatch, seed):
+    """Random rows with nulls, copies and equal keys, over one range and over several."""
+    monkeypatch.setattr(keys_module, "SMALL_RANGE", 500 if seed % 2 else 1 << 20)
+    draw = random.Random(seed)
+    rows = [
+        (draw.choice([None, 1, 1, 2, draw.randrange(50)]), draw.choice([None, "", "a", "b", "é"]))
+        for _ in range(300)
+    ]
+    frame = spark.createDataFrame(rows, "n int, s string").repartition(5)
+    by_hand = sorted(rows, key=lambda r: [(v is not None, v) for v in r])
+    assert keyed(frame, ["n", "s"]) == [(i, *row) for i, row in enumerate(by_hand)]
+
+
 @pytest.mark.parametrize(
     ("size", "ranges"), [(0, 1), (100, 1), (1000, 1), (3999, 3), (10_000, 8), (1_000_000, 100)]
 )

@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,18 @@ def test_hash_dates_do_not_depend_on_partitioning_and_are_never_null(spark):
     assert "OrderDate=None" not in "".join(one)
 
 
+@pytest.mark.parametrize("days", [1, 7, 365])
+def test_hash_dates_by_hand(spark, days):
+    anchor = datetime.date(1998, 1, 1)
+    keys = [0, 1, -5, 2**31, 2**62, 99]
+    frame = spark.createDataFrame([(key,) for key in keys], "SalesOrderID bigint")
+    got = spread_dates(frame, anchor=F.lit(anchor), days=days).collect()
+    for key, date in got:
+        number = int(hashlib.md5(str(key).encode()).hexdigest()[:8], 16)
+        assert date == anchor + datetime.timedelta(days=number % days)
+    assert len(got) == len(keys)
+
+
 def test_default_anchor_is_1000_days_ago(spark):
     frame = spark.range(2000).select(F.col("id").alias("SalesOrderID"), F.lit(1).alias("OrderDate"))
     offsets = spread_dates(frame).select(F.datediff(F.current_date(), "OrderDate").alias("d"))
