@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smelter.operators.staging import stage, write_scratch
-from smelter.sources.files import list_folder
+from smelter.sources.files import folder_bytes
 
 _FILE, _ROW = "__smelter_file", "__smelter_row"
 
@@ -73,7 +73,7 @@ def _sorted(rows: DataFrame, order_by: list[str]) -> DataFrame:
 def _range_count(spark: SparkSession, path: str) -> int:
     """Ranges for the bytes in ``path``: one if a single task will do, else at least enough for
     each to be sorted in memory."""
-    size = sum(entry.length for entry in list_folder(spark, path))
+    size = folder_bytes(spark, path)
     shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(shuffle_partitions, size // SMALL_RANGE), -(-size // LARGE_RANGE))
 

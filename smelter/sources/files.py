@@ -16,11 +16,10 @@ class Entry(NamedTuple):
     length: int
 
 
-def list_folder(spark: SparkSession, root: str) -> list[Entry]:
-    """The direct children of ``root``, by name; hidden ones (``_`` or ``.``) are left out.
+def _file_system(spark: SparkSession, root: str):
+    """The Hadoop file system of ``root``, and ``root`` as a path in it.
 
-    One listing call: the files below a table folder are not visited. Storage settings made on
-    the session apply, as they do for reads.
+    Storage settings made on the session apply, as they do for reads.
     """
     context = spark.sparkContext
     hadoop = context._jvm.org.apache.hadoop
@@ -29,6 +28,15 @@ def list_folder(spark: SparkSession, root: str) -> list[Entry]:
         if name.startswith("fs."):
             conf.set(name, value)
     folder = hadoop.fs.Path(root)
+    return folder.getFileSystem(conf), folder
+
+
+def list_folder(spark: SparkSession, root: str) -> list[Entry]:
+    """The direct children of ``root``, by name; hidden ones (``_`` or ``.``) are left out.
+
+    One listing call: the files below a table folder are not visited.
+    """
+    system, folder = _file_system(spark, root)
     children = [
         Entry(
             path=child.getPath().toString(),
@@ -36,11 +44,17 @@ def list_folder(spark: SparkSession, root: str) -> list[Entry]:
             is_folder=child.isDirectory(),
             length=child.getLen(),
         )
-        for child in folder.getFileSystem(conf).listStatus(folder)
+        for child in system.listStatus(folder)
     ]
     return sorted((c for c in children if c.name[0] not in "_."), key=lambda c: c.name)
 
 
+def folder_bytes(spark: SparkSession, root: str) -> int:
+    """Bytes of all files below ``root``, summed by the file system."""
+    system, folder = _file_system(spark, root)
+    return system.getContentSummary(folder).getLength()
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,

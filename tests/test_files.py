@@ -14,6 +14,7 @@ from smelter.sources import (
     show_views,
     view_name,
 )
+from smelter.sources.files import folder_bytes
 
 
 @pytest.mark.parametrize(
@@ -41,6 +42,13 @@ def test_list_folder(spark, tmp_path):
     assert entries[1].path.endswith("/b.csv")
 
 
+def test_folder_bytes(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 10)
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "c").write_bytes(b"x" * 5)
+    assert folder_bytes(spark, str(tmp_path)) == 15
+
+
 def test_csv_types_are_inferred(spark, tmp_path):
     file = tmp_path / "x.csv"
     file.write_text('i,d,b,s,t\n1,1.5,True,"a,b",2008-06-01 00:00:00\n2,2.5,false,,\n')
