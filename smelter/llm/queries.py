@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import chat_format, exact_dedup, line_dedup, mixing
+from smelter.llm import bpe, chat_format, exact_dedup, line_dedup, mixing, token_counts, token_output
 from smelter.llm.tables import table
+from smelter.operators import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,6 +125,16 @@ select page_id, host,
 from marked group by page_id, host"""
 
 
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.decode(bpe.encode(docs)).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
 
@@ -145,8 +156,34 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, mixing.proportional_weights(docs))
 
 
+def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "tokens")
+    token_output.write_tokens(table(spark, folder, "documents"), target)
+    return token_output.read_tokens(spark, target).select(
+        "doc_id",
+        "start",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lengths = docs.select(bpe.token_count(F.col("text")).alias("n_tokens"))
+    return token_counts.suffix_sums(stage(token_counts.length_histogram(lengths), "lengths"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_chat_format, op3_line_dedup, op6_exact_dedup, op8_mixing)
+    f.__name__: f
+    for f in (
+        op2_chat_format,
+        op3_line_dedup,
+        op5_bpe,
+        op6_exact_dedup,
+        op8_mixing,
+        op9_token_output,
+        op10_token_counts,
+    )
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
