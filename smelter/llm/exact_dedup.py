@@ -14,16 +14,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.bloom import MOST_WORDS, flagged
 from smelter.llm.tables import named, with_results
 from smelter.operators import stage
 
-#: 64-bit words of the broadcast filter at most: 2M words are 16 MB of bits. With more repeated
-#: cells than four for each word, the filter lets more rows through to the shuffle.
-MOST_WORDS = 1 << 21
-
-_CELLS_PER_WORD = 4
-
-
 def normalised(text: Column) -> Column:
     """A-Z lower-cased and nothing else; null counts as the empty text."""
     return F.translate(
@@ -36,22 +30,6 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return with_results(docs, {"text_sha256": F.sha2(normalised(named(text)), 256)})
 
 
-def _mask(cell: Column) -> Column:
-    """Three bits of a 64-bit word, from bits of the cell that do not choose the word."""
-    one = F.lit(1).cast("long")
-    bits = [
-        F.call_function("shiftleft", one, F.shiftrightunsigned(cell, at).bitwiseAND(63).cast("int"))
-        for at in (40, 46, 52)
-    ]
-    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
-
-
-def _words(cells: int, most: int) -> int:
-    """Words of a filter for so many cells: a power of two, at most ``most``."""
-    wanted = max(1, cells // _CELLS_PER_WORD)
-    return min(1 << (wanted - 1).bit_length(), most)
-
-
 def exact_dedup(rows: DataFrame, key: str = "doc_id", most_words: int = MOST_WORDS) -> DataFrame:
     """``rows`` with ``text_sha256`` and, for each, the row of its group that stays.
 
@@ -63,26 +41,13 @@ def exact_dedup(rows: DataFrame, key: str = "doc_id", most_words: int = MOST_WOR
     them apart; an empty table gives an empty result; input columns named like a result are
     replaced.
     """
-    if most_words < 1 or most_words & (most_words - 1):
-        raise ValueError("most_words must be a power of two")
     hashed = rows.withColumn("__cell", F.xxhash64("text_sha256"))
     hits = hashed.groupBy("__cell").agg(F.count("*").alias("hits"))
     repeated = stage(hits.where("hits > 1").select("__cell"), "repeated-cells")
-    words = _words(repeated.count(), most_words)
-
-    word = F.col("__cell").bitwiseAND(words - 1)
-    bloom = repeated.groupBy(word.alias("__word")).agg(
-        F.bit_or(_mask(F.col("__cell"))).alias("__bits")
-    )
-    # At most ``most_words`` rows of two longs, whatever the size of the input.
-    tested = hashed.withColumn("__word", word).join(F.broadcast(bloom), "__word", "left")
-    possible = F.coalesce(
-        F.col("__bits").bitwiseAND(_mask(F.col("__cell"))) == _mask(F.col("__cell")), F.lit(False)
-    )
-    inner = ["__cell", "__word", "__bits"]
+    tested = flagged(hashed, "__cell", repeated, "__possible", most_words)
     own = named(key)
-    unique = tested.where(~possible).drop(*inner)
-    suspects = tested.where(possible).drop(*inner)
+    unique = tested.where(~F.col("__possible")).drop("__cell", "__possible")
+    suspects = tested.where(F.col("__possible")).drop("__cell", "__possible")
     groups = suspects.groupBy("text_sha256").agg(
         F.max(own).alias("__keep"), F.count("*").alias("__size")
     )

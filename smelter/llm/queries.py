@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.llm import bpe, chat_format, exact_dedup, line_dedup, mixing, token_counts, token_output
+from smelter.llm import (
+    bpe,
+    chat_format,
+    exact_dedup,
+    line_dedup,
+    minhash,
+    mixing,
+    token_counts,
+    token_output,
+)
 from smelter.llm.tables import table
 from smelter.operators import scratch_path, stage
 
@@ -151,6 +160,11 @@ select doc_id, text_sha256, keep_id, group_size, doc_id is not distinct from kee
 from hashed join groups using (text_sha256)"""
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return minhash.near_dedup(docs, width=3, similarity=0.85).drop("text")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source")
     return mixing.mix(docs, mixing.proportional_weights(docs))
@@ -180,6 +194,7 @@ QUERIES: dict[str, Query] = {
         op3_line_dedup,
         op5_bpe,
         op6_exact_dedup,
+        op7_minhash,
         op8_mixing,
         op9_token_output,
         op10_token_counts,
