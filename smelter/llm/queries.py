@@ -14,8 +14,10 @@ from smelter.llm import (
     line_dedup,
     minhash,
     mixing,
+    quality,
     token_counts,
     token_output,
+    toxicity,
 )
 from smelter.llm.tables import table
 from smelter.operators import scratch_path, stage
@@ -23,6 +25,11 @@ from smelter.operators import scratch_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, folder, "labels")).drop("text")
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = chat_format.swapped_answers(table(spark, folder, "conversations"))
     return chat_format.format_preferences(turns).select(
@@ -134,6 +141,14 @@ select page_id, host,
 from marked group by page_id, host"""
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The target are the documents labelled good, without every third of them: those stay for tests."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels")
+    target = labels.where((F.col("quality") == 1) & ~toxicity.held_out(F.col("doc_id")))
+    return quality.quality(docs, target).drop("text")
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.decode(bpe.encode(docs)).select(
@@ -190,8 +205,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_chat_format,
         op3_line_dedup,
+        op4_quality,
         op5_bpe,
         op6_exact_dedup,
         op7_minhash,
