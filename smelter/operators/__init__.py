@@ -1,12 +1,13 @@
 from smelter.operators.keys import surrogate_key
 from smelter.operators.project import project, spread_dates
-from smelter.operators.staging import scratch_path, stage
+from smelter.operators.staging import scratch_path, scratch_until_done, stage
 from smelter.operators.tables import preview, write_table, write_tables
 
 __all__ = [
     "preview",
     "project",
     "scratch_path",
+    "scratch_until_done",
     "spread_dates",
     "stage",
     "surrogate_key",

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from smelter.sources.files import delete_folder
+
+# Scratch folders made since the innermost ``scratch_until_done`` began; None outside of one.
+_MADE: ContextVar[list[str] | None] = ContextVar("smelter_scratch", default=None)
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below ``spark.checkpoint.dir``.
@@ -20,7 +28,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="smelter-")
         context.setCheckpointDir(base)
-    return f"{base}/smelter-{uuid.uuid4().hex}/{label}"
+    folder = f"{base}/smelter-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(folder)
+    return f"{folder}/{label}"
+
+
+@contextmanager
+def scratch_until_done(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders that are made inside once it is left, also after an error.
+
+    For steps that end with a write: nothing that reads scratch may be used afterwards.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for folder in made:
+            delete_folder(spark, folder)
 
 
 def write_scratch(df: DataFrame, label: str) -> str:

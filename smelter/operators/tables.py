@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from smelter.operators.staging import scratch_until_done
+from smelter.sources.files import delete_folder, folder_exists, rename_folder
 from smelter.together import together
 
+# Formats with a log of their own, whose overwrite is atomic.
+LOGGED = ("delta", "iceberg", "hudi")
+
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -21,13 +27,49 @@ def qualified(spark: SparkSession, name: str, database: str | None = None) -> st
 def write_table(
     df: DataFrame, root: str, name: str, fmt: str = "parquet", database: str | None = None
 ) -> DataFrame:
-    """Replace rows and schema of external table ``name`` below ``root``; return it read back."""
-    target = qualified(df.sparkSession, name, database)
-    options = {"overwriteSchema": "true"} if fmt == "delta" else {}
-    df.write.saveAsTable(
-        target, format=fmt, mode="overwrite", path=table_path(root, name), **options
-    )
-    return df.sparkSession.table(target)
+    """Replace rows and schema of external table ``name`` below ``root``; return it read back.
+
+    A write that fails leaves the old table as it was, and ``df`` may read the table it replaces. Formats
+    with a log see to that themselves; for others the rows go to a hidden folder beside
+    the table, which takes the table's place by two renames once all rows are there.
+    """
+    spark, target = df.sparkSession, qualified(df.sparkSession, name, database)
+    if fmt in LOGGED:
+        options = {"overwriteSchema": "true"} if fmt == "delta" else {}
+        df.write.saveAsTable(
+            target, format=fmt, mode="overwrite", path=table_path(root, name), **options
+        )
+        return spark.table(target)
+    path, mark = table_path(root, name), uuid.uuid4().hex
+    new, old = table_path(root, f".{name}-{mark}-new"), table_path(root, f".{name}-{mark}-old")
+    try:
+        df.write.format(fmt).save(new)
+    except BaseException:
+        delete_folder(spark, new)
+        raise
+    replaced = folder_exists(spark, path)
+    if replaced:
+        rename_folder(spark, path, old)
+    try:
+        rename_folder(spark, new, path)
+        _enter(df, target, path, fmt)
+    except BaseException:
+        delete_folder(spark, path)
+        if replaced:
+            rename_folder(spark, old, path)
+            _enter(spark.read.format(fmt).load(path), target, path, fmt)
+        raise
+    if replaced:
+        delete_folder(spark, old)
+    return spark.table(target)
+
+
+def _enter(df: DataFrame, target: str, path: str, fmt: str) -> None:
+    """Point the catalog's ``target`` at the files in ``path``."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.catalog.createTable(target, path=path, source=fmt, schema=df.schema)
+    spark.catalog.refreshByPath(path)
 
 
 def write_tables(
@@ -37,13 +79,14 @@ def write_tables(
     fmt: str = "parquet",
     database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Build and write independent tables side by side."""
+    """Build and write independent tables side by side; what they staged is deleted afterwards."""
+
+    def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with scratch_until_done(spark):
+            return write_table(build(), root, name, fmt, database)
+
     written = together(
-        spark,
-        *[
-            lambda name=name, build=build: write_table(build(), root, name, fmt, database)
-            for name, build in tables.items()
-        ],
+        spark, *[lambda name=name, build=build: write(name, build) for name, build in tables.items()]
     )
     return dict(zip(tables, written))
 

@@ -24,9 +24,6 @@ LAST_DATE = "2024-12-31"
 # Fixed value: the address that represents a customer who has several.
 PREFERRED_ADDRESS = "Main Office"
 
-# Up to this many addresses of one customer are joined within one task.
-MANY_ADDRESSES = 10_000
-
 # What a fact takes from an order line, after the header columns.
 LINE_COLUMNS = ["OrderQty", "ProductID", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
 
@@ -39,12 +36,11 @@ def _customer_addresses(customer: DataFrame, address: DataFrame) -> DataFrame:
 
 
 def _keyed(rows: DataFrame, key: str, natural: list[str], mode: str) -> DataFrame:
-    """Surrogate keys in the order of the natural key, then of the other columns.
+    """Surrogate keys in the order of the natural key.
 
-    A natural key that occurs twice by mistake then still gives the same keys in every run.
+    A natural key that occurs twice by mistake still gives the same keys in every run.
     """
-    order = natural + [column for column in rows.columns if column not in natural]
-    return surrogate_key(rows, key, order, mode)
+    return surrogate_key(rows, key, natural, mode)
 
 
 def dim_customer(customer: DataFrame, address: DataFrame, mode: str = "dense") -> DataFrame:
@@ -62,11 +58,11 @@ def dim_product_as_written(
 
 
 def dim_product(product: DataFrame, category: DataFrame, mode: str = "dense") -> DataFrame:
-    """Products with the names of their categories under ``ProductIDKey``."""
+    """Products with the names of their categories, if they have one, under ``ProductIDKey``."""
     names = category.select(
         "ProductCategoryID", "ParentProductCategoryID", F.col("Name").alias("CategoryName")
     )
-    rows = product.join(names, "ProductCategoryID").select(
+    rows = product.join(names, "ProductCategoryID", "left").select(
         *product.columns, "ParentProductCategoryID", "CategoryName"
     )
     return _keyed(rows, "ProductIDKey", ["ProductID"], mode)
@@ -86,10 +82,25 @@ def dim_date(spark: SparkSession, start: str = FIRST_DATE, end: str = LAST_DATE)
     return _calendar(days.select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("Date")))
 
 
-def dim_date_covering(rows: DataFrame, column: str) -> DataFrame:
-    """One row per day from the first to the last date in ``column``, in one lazy plan."""
+def dim_date_covering(
+    rows: DataFrame,
+    column: str,
+    start: str | None = None,
+    end: str | None = None,
+    at_least: tuple[str, str] | None = None,
+) -> DataFrame:
+    """One row per day from the first to the last date in ``column``, in one lazy plan.
+
+    ``start`` and ``end`` replace these bounds; ``at_least`` widens those that are not replaced.
+    """
     date = F.col(column).cast("date")
-    bounds = rows.agg(F.min(date).alias("first"), F.max(date).alias("last"))
+    first, last = F.min(date), F.max(date)
+    if at_least is not None:
+        first = F.least(first, F.lit(at_least[0]).cast("date"))
+        last = F.greatest(last, F.lit(at_least[1]).cast("date"))
+    first = first if start is None else F.lit(start).cast("date")
+    last = last if end is None else F.lit(end).cast("date")
+    bounds = rows.agg(first.alias("first"), last.alias("last")).where("first <= last")
     return _calendar(bounds.select(F.explode(F.sequence("first", "last")).alias("Date")))
 
 
@@ -167,13 +178,9 @@ def _per_address(header: DataFrame, customer: DataFrame) -> DataFrame:
     """``header`` left join ``customer`` on the customer.
 
     A left join can be split on its left side only, so a customer with very many addresses
-    would stay in one task. Where there is one, the matched and the unmatched headers are joined
-    apart: an inner join can be split on both sides.
+    would stay in one task. The matched and the unmatched headers are joined apart: an inner join
+    can be split on both sides.
     """
-    addresses = customer.groupBy("CustomerID").agg(F.count("*").alias("addresses"))
-    most = addresses.agg(F.max("addresses")).first()[0]
-    if most is None or most <= MANY_ADDRESSES:
-        return header.join(customer, "CustomerID", "left")
     known = stage(customer.select("CustomerID").distinct(), "customers")
     matched = header.join(customer, "CustomerID")
     unmatched = header.join(known, "CustomerID", "left_anti")

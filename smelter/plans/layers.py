@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from smelter.operators.project import spread_dates
-from smelter.operators.tables import write_table, write_tables
+from smelter.operators.tables import write_tables
 from smelter.plans import gold
 from smelter.plans.silver import SILVER_SOURCES, silver_table
 from smelter.sources.views import register_bronze, register_tables
@@ -63,13 +63,15 @@ def run_gold(
     fmt: str = "parquet",
     database: str | None = None,
     mode: str = "dense",
-    first_date: str = gold.FIRST_DATE,
-    last_date: str = gold.LAST_DATE,
+    first_date: str | None = None,
+    last_date: str | None = None,
     as_written: bool = False,
 ) -> dict[str, DataFrame]:
     """Register the silver folders as views and write three dimensions, then the sales fact.
 
     The fact takes its keys from the dimensions as written, not from a second run of their plans.
+    The calendar runs from ``first_date`` to ``last_date``; a bound that is not given is the usual one,
+    moved out as far as the order dates need.
     """
     silver = _by_name(register_tables(spark, silver_root, fmt))
     customer, address = silver["salescustomer"], silver["salescustomeraddress"]
@@ -84,21 +86,28 @@ def run_gold(
         {
             "dimProduct": product,
             "dimCustomer": lambda: gold.dim_customer(customer, address, mode),
-            "dimDate": lambda: gold.dim_date(spark, first_date, last_date),
+            "dimDate": lambda: gold.dim_date_covering(
+                silver["salesorderheader"],
+                "OrderDate",
+                first_date,
+                last_date,
+                at_least=(gold.FIRST_DATE, gold.LAST_DATE),
+            ),
         },
         gold_root,
         fmt,
         database,
     )
     fact = gold.fact_sales_as_written if as_written else gold.fact_sales
-    sales = fact(
-        silver["salesorderheader"],
-        silver["salesorderdetail"],
-        written["dimProduct"],
-        written["dimCustomer"],
-    )
-    written["factSales"] = write_table(sales, gold_root, "factSales", fmt, database)
-    return written
+    sales = {
+        "factSales": lambda: fact(
+            silver["salesorderheader"],
+            silver["salesorderdetail"],
+            written["dimProduct"],
+            written["dimCustomer"],
+        )
+    }
+    return written | write_tables(spark, sales, gold_root, fmt, database)
 
 
 def run_layers(

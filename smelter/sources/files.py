@@ -55,6 +55,29 @@ def folder_bytes(spark: SparkSession, root: str) -> int:
     return system.getContentSummary(folder).getLength()
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder within its file system. Not every object store does this in one step."""
+    system, folder = _file_system(spark, path)
+    if not system.rename(folder, _file_system(spark, to)[1]):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, if it exists."""
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
+
+
+def literal_path(path: str) -> str:
+    """``path`` for readers, which take some characters for patterns."""
+    return "".join("\\" + c if c in "{}[]*?\\," else c for c in path)
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from smelter.sources.files import Entry, list_folder, read_bronze, read_table
+from smelter.sources.files import Entry, list_folder, literal_path, read_bronze, read_table
 from smelter.together import together
 
 
@@ -20,10 +20,18 @@ def view_name(file_name: str) -> str:
 def _register(
     spark: SparkSession, read: Callable[[Entry], tuple[str, DataFrame]], entries: list[Entry]
 ) -> dict[str, DataFrame]:
-    """Read the entries side by side, as finding their types is a job each; then name them."""
+    """Read the entries side by side, as finding their types is a job each; then name them.
+
+    Session views do not differ in case only, so entries whose names do are an error.
+    """
+    taken: dict[str, Entry] = {}
+    for entry in entries:
+        other = taken.setdefault(view_name(entry.name).lower(), entry)
+        if other is not entry:
+            raise ValueError(f"{other.name} and {entry.name} would be the same view")
     views = dict(together(spark, *[partial(read, entry) for entry in entries]))
     for name, rows in views.items():
-        rows.createOrReplaceTempView(name)
+        rows.createOrReplaceTempView("`" + name.replace("`", "``") + "`")
     return views
 
 
@@ -43,7 +51,8 @@ def register_bronze(
 
     def read(entry: Entry) -> tuple[str, DataFrame]:
         name = view_name(entry.name)
-        return name, read_bronze(spark, entry.path, known.get(name.lower()), types, glob_suffix)
+        path, schema = literal_path(entry.path), known.get(name.lower())
+        return name, read_bronze(spark, path, schema, types, glob_suffix)
 
     return _register(spark, read, list_folder(spark, root))
 
@@ -52,7 +61,7 @@ def register_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> dic
     """One view per table folder in ``root``."""
 
     def read(entry: Entry) -> tuple[str, DataFrame]:
-        return entry.name, read_table(spark, entry.path, fmt)
+        return entry.name, read_table(spark, literal_path(entry.path), fmt)
 
     return _register(spark, read, [e for e in list_folder(spark, root) if e.is_folder])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -20,5 +21,8 @@ def together(spark: SparkSession, *builds: Callable[[], Result]) -> list[Result]
     The last tasks of one job leave executors idle; the other jobs use them.
     """
     with ThreadPoolExecutor(max_workers=MOST_JOBS) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(build)) for build in builds]
+        futures = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(build))
+            for build in builds
+        ]
         return [future.result() for future in futures]

@@ -1,10 +1,20 @@
+import pathlib
 import re
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from smelter.operators import preview, scratch_path, write_table
+from smelter.operators import (
+    preview,
+    scratch_path,
+    scratch_until_done,
+    stage,
+    surrogate_key,
+    tables,
+    write_table,
+    write_tables,
+)
 from smelter.sources import (
     list_folder,
     read_bronze,
@@ -128,6 +138,89 @@ def test_overwrite_replaces_rows_and_schema(spark, tmp_path, database):
     assert kind.first()["data_type"] == "EXTERNAL"
 
 
+def fail_at(spark, n):
+    """Rows 0 to n - 1, then an error."""
+
+    def rows(batches):
+        for batch in batches:
+            yield batch[batch.id < n]
+            raise RuntimeError("broken row")
+
+    return spark.range(0, 2 * n, 1, 1).mapInPandas(rows, "id bigint")
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path, database):
+    root = str(tmp_path / "silver")
+    write_table(spark.range(5), root, "numbers", database=database)
+    with pytest.raises(Exception, match="broken row"):
+        write_table(fail_at(spark, 3), root, "numbers", database=database)
+    assert spark.table(f"{database}.numbers").count() == 5
+    assert read_table(spark, f"{root}/numbers").count() == 5
+    assert [entry.name for entry in list_folder(spark, root)] == ["numbers"]
+    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["numbers"]
+
+
+def test_a_failed_catalog_entry_leaves_the_old_table(spark, tmp_path, database, monkeypatch):
+    root = str(tmp_path / "silver")
+    write_table(spark.range(5), root, "numbers", database=database)
+    enter, calls = tables._enter, []
+
+    def fail_first(*arguments):
+        calls.append(arguments)
+        if len(calls) == 1:
+            raise RuntimeError("no catalog")
+        enter(*arguments)
+
+    monkeypatch.setattr(tables, "_enter", fail_first)
+    with pytest.raises(RuntimeError, match="no catalog"):
+        write_table(spark.range(9), root, "numbers", database=database)
+    assert spark.table(f"{database}.numbers").count() == 5
+    assert read_table(spark, f"{root}/numbers").count() == 5
+
+
+def test_a_table_may_be_replaced_by_a_part_of_itself(spark, tmp_path, database):
+    root = str(tmp_path / "silver")
+    write_table(spark.range(5), root, "numbers", database=database)
+    got = write_table(
+        read_table(spark, f"{root}/numbers").where("id > 1"), root, "numbers", database=database
+    )
+    assert sorted(r.id for r in got.collect()) == [2, 3, 4]
+    got = write_table(spark.table(f"{database}.numbers").where("id > 2"), root, "numbers", database=database)
+    assert sorted(r.id for r in got.collect()) == [3, 4]
+    assert read_table(spark, f"{root}/numbers").count() == 2
+
+
+@pytest.mark.parametrize(
+    "names", [("Sales.Order.csv", "SalesOrder.csv"), ("SalesOrder.csv", "salesorder.csv")]
+)
+def test_files_with_one_view_name_are_an_error(spark, tmp_path, names):
+    for name in names:
+        (tmp_path / name).write_text("a\n1\n")
+    with pytest.raises(ValueError) as error:
+        register_bronze(spark, str(tmp_path))
+    assert all(name in str(error.value) for name in names)
+
+
+def test_listed_paths_are_no_patterns(spark, tmp_path):
+    (tmp_path / "Sales[1].csv").write_text("a\n1\n")
+    (tmp_path / "Sales1.csv").write_text("a\n2\n3\n")
+    views = register_bronze(spark, str(tmp_path))
+    assert {name: view.count() for name, view in views.items()} == {"Sales[1]": 1, "Sales1": 2}
+
+
+def test_scratch_is_deleted_when_done(spark, tmp_path, database):
+    base = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.iterdir()) if base.exists() else set()
+    built = {"keyed": lambda: surrogate_key(spark.range(50), "key", ["id"])}
+    written = write_tables(spark, built, str(tmp_path), database=database)
+    assert written["keyed"].where("key = id").count() == 50
+    assert set(base.iterdir()) == before
+    with pytest.raises(RuntimeError), scratch_until_done(spark):
+        stage(spark.range(3))
+        raise RuntimeError
+    assert set(base.iterdir()) == before
+
+
 def test_files_outlive_the_catalog_entry(spark, tmp_path, database):
     root = str(tmp_path / "silver")
     write_table(spark.range(5), root, "numbers", database=database)

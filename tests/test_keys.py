@@ -105,7 +105,25 @@ def test_keys_need_neither_window_nor_shuffle_when_read(spark):
     assert "Window" not in plan and "Exchange hash" not in plan
     assert plan.count("BroadcastExchange") == 1
     small = plan[plan.index("BroadcastExchange") :]
-    assert "ReadSchema: struct<__smelter_file:string,earlier:bigint>" in small
+    assert "ReadSchema: struct<__smelter_part:int,earlier:bigint>" in small
+
+
+def test_range_bounds_hold_no_text(spark):
+    """Beside the natural key: one hash of all other columns, and the row's place in two numbers."""
+    frame = spark.createDataFrame([(1, "x", {"k": "v"})], "n int, wide string, m map<string,string>")
+    ranges = keys_module._sorted(frame, ["n"])
+    assert ranges.columns == ["n", "wide", "m"]
+    staged = keys_module._located(ranges).withColumn("__smelter_file", F.xxhash64("__smelter_file"))
+    (tie,) = keys_module._tie(frame, ["n"])
+    order = staged.select("n", tie.alias("tie"), "__smelter_file", "__smelter_row")
+    assert [f.dataType.simpleString() for f in order.schema] == ["int"] + ["bigint"] * 3
+
+
+def test_ranges_have_an_upper_bound(spark, conf, monkeypatch, tmp_path):
+    monkeypatch.setattr(keys_module, "LARGE_RANGE", 10)
+    monkeypatch.setattr(keys_module, "MOST_RANGES", 7)
+    (tmp_path / "part-0").write_bytes(b"x" * 1000)
+    assert keys_module._range_count(spark, str(tmp_path)) == 7
 
 
 def test_failed_tasks_are_repeated_without_trace(spark, tmp_path, database):
