@@ -5,12 +5,13 @@
 2. Nodes that share a band key are candidates. Agreeing minima are counted by bits of the planes; corrected for
    chance collisions (two different minima agree in 1 of 16 cases) that estimates the similarity.
    Candidates five standard deviations below the threshold are dropped, the others confirmed on their full sets.
-3. Candidates come in three rounds, so that a large family of near copies costs links in proportion to
-   its size. First each node meets the nodes that are first in its buckets and follows its best estimate.
-   Then the components found so far meet: for each two that share a bucket, the best estimate between
-   one's nodes and the other's bucket firsts. Last, all candidates that are still in different
-   components are confirmed, each of them: after that, no two nodes that share a bucket have an
-   untested link.
+3. Candidates are confirmed so that a family of near copies costs no row for each of its pairs. First, each
+   node meets the nodes that are first in its buckets and is confirmed against its best estimate. The estimates of
+   these meetings also join nodes to families. In a family that is still several components, blocks of
+   nodes are compared within tasks: a product of 0/1 matrices gives all common shingles of two blocks, and only links that
+   join components come out. Nodes of the family's main component are not compared with each other. Last, candidates
+   in different families are confirmed one by one, each of them. After that, no two nodes that
+   share a bucket and pass the estimate have an untested link between their components.
 4. Components over the confirmed links give each document its class.
 
 With 32 bands of 4, a pair at the similarity 0.85 shares no band in 1 of 10^10 cases, at 0.8 in 1 of 10^7.
@@ -44,6 +45,9 @@ _BAND_FACTORS = _SEEDS[2 * MINIMA : 3 * MINIMA].reshape(BANDS, BAND_ROWS) | np.u
 _NODE_SEEDS = _SEEDS[-2:]
 _BLOCK = 1024
 
+#: Nodes and shingles of a block that is compared with others in one task, and matrix columns at a time.
+BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
+
 
 def _sets(words: Words, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text."""
@@ -124,14 +128,14 @@ def _node_of(width: int):
     @F.arrow_udf("struct<n_shingles: bigint, node: binary>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            sizes, nodes = [], []
             for part in slices(column):
+                sizes, nodes = [], []
                 for own in _sets(find_words(part), width):
                     sizes.append(len(own))
                     nodes.append(_node(own))
-            yield pa.StructArray.from_arrays(
-                [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], ["n_shingles", "node"]
-            )
+                yield pa.StructArray.from_arrays(
+                    [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], ["n_shingles", "node"]
+                )
 
     return run
 
@@ -187,6 +191,7 @@ class _Graph:
     def __init__(self, docs: DataFrame, width: int, similarity: float):
         """``docs`` has the columns key and text."""
         self.docs, self.width, self.similarity = docs, width, similarity
+        self.per_cent = round(100 * similarity)
         rows = docs.mapInArrow(
             _signature_columns(width),
             f"key {docs.schema['key'].dataType.simpleString()}, n_shingles long, node binary, "
@@ -226,12 +231,11 @@ class _Graph:
             F.col("agree") >= least_agreeing(self.similarity)
         )
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Links (u, v): the staged pairs (a, b) whose full sets are similar."""
-        wanted = stage(
-            pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted"
-        )
-        # Texts are found by the least key of their node; the filter spares the others the shuffle.
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(node, shingles) of the staged nodes in ``wanted``.
+
+        Texts are found by the least key of their node; the filter spares the others the shuffle.
+        """
         keys = stage(
             self.nodes.join(wanted, "node").select(F.xxhash64(F.col("key").cast("string")).alias("cell")).distinct(),
             "wanted-keys",
@@ -239,88 +243,210 @@ class _Graph:
         hashed = self.docs.withColumn("cell", F.xxhash64(F.col("key").cast("string")))
         texts = flagged(hashed, "cell", keys, "possible").where("possible")
         texts = texts.join(keys, "cell", "left_semi").select("text")
-        sets = stage(
+        return stage(
             texts.mapInArrow(_set_rows(self.width), "node binary, shingles array<long>")
             .join(wanted, "node", "left_semi")
             .groupBy("node")
             .agg(F.first("shingles").alias("shingles")),
             "sets",
         )
+
+    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links (u, v): the pairs (a, b) whose full sets are similar."""
         both = pairs.join(
             sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a"
         ).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
-        per_cent = round(100 * self.similarity)
         return stage(
-            both.where(F.lit(100) * common >= F.lit(per_cent) * union).select(
+            both.where(F.lit(100) * common >= F.lit(self.per_cent) * union).select(
                 F.col("a").alias("u"), F.col("b").alias("v")
             ),
             "confirmed",
         )
 
-    def labelled(self, links: DataFrame) -> DataFrame:
-        """Members with their component (``own``): its least node, or the node itself."""
-        roots = stage(components(links), "roots")
-        return stage(
-            self.members.join(roots, "node", "left").select(
-                "bucket", "node", "first", F.coalesce("root", "node").alias("own")
-            ),
-            "labelled",
+    def met(self) -> DataFrame:
+        """(a, b, agree): each node and the first nodes of its buckets, where the estimate suffices."""
+        pairs = self.members.where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+        return stage(self.estimated(pairs.distinct()), "met")
+
+    def within_families(self, families: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links (u, v) that join components of a family, from all pairs that can.
+
+        ``families``: (node, family, own), ``own`` being the component so far. Blocks hold about BLOCK_NODES nodes and
+        BLOCK_SHINGLES shingles at most. Rows go to as many tasks as their block meets others.
+        """
+        sized = stage(
+            families.join(sets, "node").select("node", "family", "own", "shingles", F.size("shingles").alias("n")), "family-sets"
+        )
+        parts = sized.groupBy("family", "own").agg(F.count("*").alias("nodes"), F.sum("n").alias("n"))
+        per_family = parts.groupBy("family").agg(
+            F.max(F.struct("nodes", "own"))["own"].alias("main"),
+            F.max("nodes").alias("main_nodes"),
+            F.sum("nodes").alias("nodes"),
+            F.sum("n").alias("n"),
+            F.count("*").alias("components"),
         )
 
-    def to_firsts(self) -> DataFrame:
-        """Each node's best estimate among the first nodes of its buckets."""
-        pairs = self.members.where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-        best = F.max(F.struct("agree", "b"))["b"]
-        return self.estimated(pairs.distinct()).groupBy("a").agg(best.alias("b"))
-
-    def between_components(self, links: DataFrame) -> DataFrame:
-        """For two components that meet in a bucket, the best estimate of a member and its first."""
-        labels = self.labelled(links)
-        firsts = labels.where("node = first").select("bucket", F.col("own").alias("other"))
-        pairs = (
-            labels.join(firsts, "bucket")
-            .where("own != other")
-            .select(F.col("node").alias("a"), F.col("first").alias("b"), "own", "other")
-            .distinct()
+        def blocks(nodes: Column) -> Column:
+            share = F.col("n") * nodes / F.col("nodes")
+            return F.greatest(F.lit(1), F.ceil(nodes / BLOCK_NODES), F.ceil(share / BLOCK_SHINGLES)).cast("int")
+
+        # Two nodes have met, as the family's only pair.
+        open_ = stage(
+            per_family.where("components > 1 and nodes > 2").select(
+                F.col("family").alias("f"),
+                "main",
+                blocks(F.col("main_nodes")).alias("main_blocks"),
+                blocks(F.col("nodes") - F.col("main_nodes")).alias("open_blocks"),
+            ),
+            "open-families",
+        )
+        rows = sized.join(open_, F.col("family") == F.col("f")).withColumn("is_main", F.col("own") == F.col("main"))
+        block = F.pmod(
+            F.xxhash64("node"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("open_blocks"))
+        ).cast("int")
+        # A main block (numbered behind the open ones) meets all open blocks; an open block also meets
+        # itself and each other open one once.
+        rows = rows.withColumn("block", block + F.when(F.col("is_main"), F.col("open_blocks")).otherwise(0))
+        all_blocks = F.sequence(F.lit(0), F.col("open_blocks") + F.col("main_blocks") - 1)
+        meetings = F.when(
+            F.col("is_main"),
+            F.transform(
+                F.sequence(F.lit(0), F.col("open_blocks") - 1), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"))
+            ),
+        ).otherwise(
+            F.transform(
+                all_blocks, lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j"))
+            )
         )
-        sides = [F.least("own", "other"), F.greatest("own", "other")]
-        best = F.max(F.struct("agree", "a", "b")).alias("best")
-        return self.estimated(pairs).groupBy(*sides).agg(best).select("best.a", "best.b")
+        dealt = rows.select("family", "node", "own", "shingles", "block", F.explode(meetings).alias("of"))
+        found = (
+            dealt.select("family", F.col("of.i").alias("i"), F.col("of.j").alias("j"),
+                         F.col("block") == F.col("of.i"), "node", "own", "shingles")
+            .toDF("family", "i", "j", "left", "node", "own", "shingles")
+            .groupBy("family", "i", "j")
+            .applyInArrow(_joining_links(self.per_cent), "u binary, v binary")
+        )
+        return stage(found, "family-links")
 
-    def all_others(self, links: DataFrame) -> DataFrame:
-        """All candidates in different components.
+    def across_families(self, families: DataFrame) -> DataFrame:
+        """Candidates (a, b) in different families and components.
 
-        In a bucket, members outside the component of its first node meet all others: a family that is
-        one component by now meets itself no more. Only pairs with a sufficient estimate leave the join.
+        In a bucket, members outside the family of its first node meet all others; only pairs with a sufficient
+        estimate leave the join.
         """
-        labels = self.labelled(links)
-        mixed = stage(
-            labels.groupBy("bucket").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo != hi"),
-            "mixed",
+        labels = stage(
+            self.members.join(families, "node", "left").select(
+                "bucket", "node", "first", F.coalesce("own", "node").alias("own"), F.coalesce("family", "node").alias("family")
+            ),
+            "labelled",
         )
-        firsts = labels.where("node = first").select("bucket", F.col("own").alias("main"))
+        mixed = labels.groupBy("bucket").agg(F.min("family").alias("lo"), F.max("family").alias("hi"))
+        firsts = labels.where("node = first").select(F.col("bucket").alias("fb"), F.col("family").alias("main"))
         open_ = stage(
-            labels.join(mixed.select("bucket"), "bucket")
-            .join(firsts, "bucket")
+            labels.join(stage(mixed.where("lo != hi").select("bucket"), "mixed"), "bucket")
+            .join(firsts, F.col("bucket") == F.col("fb"))
             .join(self.nodes.select("node", "planes"), "node")
-            .select("bucket", "node", "own", "main", "planes"),
+            .select("bucket", "node", "own", "family", "main", "planes"),
             "open",
         )
-        x = open_.where("own != main").select(
-            "bucket", F.col("node").alias("a"), F.col("own").alias("xa"), F.col("planes").alias("pa"), "main"
-        )
+        x = open_.where("family != main").select(
+            "bucket", F.col("node").alias("a"), F.col("own").alias("xo"), F.col("family").alias("xf"),
+            F.col("planes").alias("pa"), "main",
+        )
         y = open_.select(
-            F.col("bucket").alias("yb"), F.col("node").alias("b"), F.col("own").alias("xb"), F.col("planes").alias("pb")
-        )
+            F.col("bucket").alias("yb"), F.col("node").alias("b"), F.col("own").alias("yo"),
+            F.col("family").alias("yf"), F.col("planes").alias("pb"),
+        )
         meet = (
             (F.col("bucket") == F.col("yb"))
-            & (F.col("xa") != F.col("xb"))
-            & ((F.col("xb") == F.col("main")) | (F.col("a") < F.col("b")))
+            & (F.col("xf") != F.col("yf"))
+            & (F.col("xo") != F.col("yo"))
+            & ((F.col("yf") == F.col("main")) | (F.col("a") < F.col("b")))
             & (agreeing(F.col("pa"), F.col("pb")) >= least_agreeing(self.similarity))
         )
-        return x.join(y, meet).select("a", "b").distinct()
+        return stage(x.join(y, meet).select("a", "b").distinct(), "across")
+
+    def links(self) -> DataFrame:
+        """Confirmed links (u, v) that connect all that is to be connected."""
+        met = self.met()
+        best = met.groupBy("a").agg(F.max(F.struct("agree", "b"))["b"].alias("b"))
+        wanted = stage(met.select(F.col("a").alias("node")).union(met.select("b")).distinct(), "wanted")
+        sets = self.sets(wanted)
+        first = self.confirmed(best, sets)
+        own = components(first).withColumnRenamed("root", "own")
+        family = components(met.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        families = stage(
+            family.withColumnRenamed("root", "family")
+            .join(own, "node", "left")
+            .withColumn("own", F.coalesce("own", "node")),
+            "families",
+        )
+        second = self.within_families(families, sets)
+        pairs = self.across_families(families)
+        ends = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+        return first.unionByName(second).unionByName(self.confirmed(pairs, self.sets(ends)))
+
+
+def _joining_links(per_cent: int):
+    """Links between the two blocks of a meeting that join components; as few as do."""
+    kind = pa.schema([("u", pa.binary()), ("v", pa.binary())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        left = np.flatnonzero(rows.column("left").to_numpy())
+        right = np.flatnonzero(~rows.column("left").to_numpy())
+        right = right if len(right) else left
+        sizes, numbers = _numbered(rows.column("shingles").combine_chunks())
+        common = _common(sizes, numbers, left, right)
+        similar = 100 * common >= per_cent * (sizes[left][:, None] + sizes[right][None, :] - common)
+        nodes = rows.column("node").to_pylist()
+        parent = {own: own for own in rows.column("own").to_pylist()}
+
+        def root(x: bytes) -> bytes:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        own = rows.column("own").to_pylist()
+        out = ([], [])
+        for i, j in zip(*np.nonzero(similar)):
+            a, b = root(own[left[i]]), root(own[right[j]])
+            if a != b:
+                parent[a] = b
+                out[0].append(nodes[left[i]])
+                out[1].append(nodes[right[j]])
+        return pa.Table.from_arrays([pa.array(x, pa.binary()) for x in out], schema=kind)
+
+    return run
+
+
+def _numbered(lists: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sizes of the sets, and the sets as numbers of the shingles that occur twice or more."""
+    offsets = lists.offsets.to_numpy()
+    values = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+    _, which, times = np.unique(values, return_inverse=True, return_counts=True)
+    rank = np.cumsum(times > 1) - 1
+    bounds = offsets - offsets[0]
+    sets = [which[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    return np.diff(bounds), [rank[own[times[own] > 1]] for own in sets]
+
+
+def _common(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of all intersections of left and right sets, by products of 0/1 matrices of some columns at a time."""
+    width = 1 + max((int(own.max()) for own in sets if len(own)), default=-1)
+    total = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, width, COLUMNS):
+        sides = []
+        for side in (left, right):
+            matrix = np.zeros((len(side), min(COLUMNS, width - at)), np.float32)
+            for k, number in enumerate(side):
+                own = sets[number]
+                matrix[k, own[(own >= at) & (own < at + COLUMNS)] - at] = 1
+            sides.append(matrix)
+        total += (sides[0] @ sides[1].T).astype(np.int64)
+    return total
 
 
 def near_dedup(
@@ -342,11 +468,7 @@ def near_dedup(
     ``docs`` is read several times: stage it if it is dear to compute.
     """
     graph = _Graph(apart(docs, key=key, text=text), width, similarity)
-    first = graph.confirmed(stage(graph.to_firsts(), "pairs"))
-    second = graph.confirmed(stage(graph.between_components(first), "pairs"))
-    links = first.unionByName(second)
-    third = graph.confirmed(stage(graph.all_others(links), "pairs"))
-    roots = stage(components(links.unionByName(third)), "roots")
+    roots = stage(components(graph.links()), "roots")
     # Only classes of more than one document are looked up.
     rooted = graph.nodes.select("node", "key", "n").join(roots, "node", "left")
     classes = rooted.where("root is not null or n > 1").withColumn("root", F.coalesce("root", "node"))
