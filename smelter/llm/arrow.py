@@ -12,12 +12,15 @@ from smelter.llm.words import slices
 
 
 def from_texts(compute: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[Column], Column]:
-    """An Arrow function of one text column, called with a bounded number of bytes at a time."""
+    """An Arrow function of one text column, called with a bounded number of bytes at a time.
+
+    Results leave part by part, so a batch of long texts never has all its results in memory.
+    """
 
     @F.arrow_udf(kind)
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [compute(part) for part in slices(column)]
-            yield pa.concat_arrays(parts) if parts else compute(column)
+            for part in slices(column):
+                yield compute(part)
 
     return run

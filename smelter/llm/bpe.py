@@ -32,6 +32,8 @@ CHUNK = 32_768
 OVERLAP = 1_024
 #: Characters behind a pre-token that its match may have looked at ("'ll" is the longest case).
 _LOOKS = 3
+#: Rows whose results leave Python together.
+_ROWS = 256
 
 
 @lru_cache(maxsize=4)
@@ -171,7 +173,8 @@ def join_bytes(parts: Column) -> Column:
     @F.arrow_udf("binary")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            yield _joined(column)
+            for at in range(0, len(column), _ROWS):
+                yield _joined(column.slice(at, _ROWS))
 
     return run(parts)
 
@@ -238,7 +241,8 @@ def decode(
     @F.arrow_udf("binary")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            yield bytes_of(column)
+            for at in range(0, len(column), _ROWS):
+                yield bytes_of(column.slice(at, _ROWS))
 
     return with_results(rows, {"decoded": run(named(ids))})
 
