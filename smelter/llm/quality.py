@@ -147,8 +147,8 @@ def _scorer(spark, ratios: np.ndarray):
     @F.arrow_udf(f"struct<{_BASE}, score: double>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [_scored(part, model.value) for part in slices(column)]
-            yield pa.concat_arrays(parts) if parts else _scored(column, model.value)
+            for part in slices(column):
+                yield _scored(part, model.value)
 
     return run
 

@@ -255,12 +255,10 @@ def _vectors(spark: SparkSession, sample: DataFrame, vocabulary: Vocabulary) ->
     @F.arrow_udf("array<int>")
     def numbers(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            out = []
             for part in slices(column):
                 text, term = model.value.present(part)
                 bounds = np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32)
-                out.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(term.astype(np.int32))))
-            yield pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+                yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(term.astype(np.int32)))
 
     return sample.select("label", numbers("text").alias("terms"))
 
@@ -368,8 +366,8 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     @F.arrow_udf("double")
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            parts = [shared.value.scores(part) for part in slices(column)]
-            yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+            for part in slices(column):
+                yield pa.array(shared.value.scores(part), pa.float64())
 
     scored = docs.withColumn("__score", score(named(text)))
     return with_results(
