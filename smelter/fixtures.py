@@ -5,10 +5,9 @@ Columns without a source are left out, not invented.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smelter.operators.keys import surrogate_key
 from smelter.plans.silver import silver_table
 
 # Fixed value: product ids start here, so that no product id equals its surrogate key.
@@ -72,7 +71,7 @@ def bronze_customer_address(spark: SparkSession, folder: str) -> DataFrame:
 def bronze_product(
     spark: SparkSession, folder: str, category: DataFrame | None = None
 ) -> DataFrame:
-    """Parts; pass ``category`` where it is at hand, to number the types once."""
+    """Parts; pass ``category`` where it is at hand."""
     if category is None:
         category = bronze_product_category(spark, folder)
     return (
@@ -91,9 +90,10 @@ def bronze_product(
 
 
 def bronze_product_category(spark: SparkSession, folder: str) -> DataFrame:
-    """The part types, numbered from 1 by name."""
+    """The part types, numbered from 1 by name; there are a few of them, however many parts."""
     types = table(spark, folder, "part").select(F.col("p_type").alias("Name")).distinct()
-    return surrogate_key(types, "number", ["Name"]).select(
+    place = F.row_number().over(Window.orderBy("Name")).cast("bigint") - 1
+    return types.withColumn("number", place).select(
         (F.col("number") + 1).cast("int").alias("ProductCategoryID"),
         F.lit(None).cast("int").alias("ParentProductCategoryID"),
         "Name",
@@ -113,7 +113,7 @@ BRONZE = {
 
 
 def bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All six, with the types numbered once."""
+    """All six."""
     category = bronze_product_category(spark, folder)
     shared = {
         "salesProductCategory": category,
