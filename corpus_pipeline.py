@@ -1,8 +1,9 @@
 """A training corpus from ``documents``: five stages, each an operator of ``smelter.llm``.
 
-Each stage gets what its predecessor kept, written as Parquet and read again. All but the last return the columns of
-``documents``; rows are dropped by the toxicity and near-duplicate stages only, and lines by the line stage.
-The mix is the order of the rows in the files of its stage, and the last stage numbers it.
+Each stage gets what its predecessor kept, written as Parquet and read again. All but the last
+return the columns of ``documents``; rows are dropped by the toxicity and near-duplicate stages
+only, and lines by the line stage. The mix is the order of the rows in the files of its stage, and
+the last stage numbers it.
 """
 
 from __future__ import annotations
@@ -15,25 +16,31 @@ from smelter.llm import bpe, line_dedup, minhash, mixing, toxicity
 from smelter.llm.tables import table, with_results
 from smelter.operators import stage
 
-#: A classifier and graph components cannot be stated in SQL; the tests hold the rows against brute force.
+#: A classifier and graph components cannot be stated in SQL; the tests hold the rows against brute
+#: force.
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic; learnt from the labels of those that are not held out."""
+    """Documents that are not predicted toxic; learnt from the labels of those that are not held
+    out.
+    """
     scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
     return scored.where("predicted = 0").select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that are frequent within their source; ``n_chars`` is counted anew."""
+    """Documents without the lines that are frequent within their source; ``n_chars`` is counted
+    anew.
+    """
     cleaned = line_dedup.line_dedup(docs, "source")
     length = F.length("text").cast("long")
     return with_results(cleaned, {"n_chars": length}).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies: five-word shingles, 0.8 or more."""
+    """The document with the least id of each group of near copies: five-word shingles, 0.8 or more.
+    """
     return minhash.near_dedup(docs, width=5, similarity=0.8).where("kept").select(*docs.columns)
 
 
@@ -68,7 +75,9 @@ def _ranked(docs: DataFrame) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``lang``, ``source``, ``n_chars``, ``mix_rank``, ``n_tokens`` and ``ids`` of each document."""
+    """``doc_id``, ``lang``, ``source``, ``n_chars``, ``mix_rank``, ``n_tokens`` and ``ids`` of each
+    document.
+    """
     encoded = bpe.encode(_ranked(docs))
     n_tokens = F.floor(F.octet_length("ids") / 4).cast("long")
     return encoded.select(

@@ -1,7 +1,7 @@
 """A Bloom filter as a small table of 64-bit words, which a broadcast join tests in the JVM.
 
-Each hash sets three bits of one word. The table never has more than MOST_WORDS rows, however many hashes
-go in; beyond four hashes a word it only lets more rows through.
+Each hash sets three bits of one word. The table never has more than MOST_WORDS rows, however many
+hashes go in; beyond four hashes a word it only lets more rows through.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ def flagged(
 ) -> DataFrame:
     """``rows`` with ``flag``: false if the hash in ``column`` is surely not among ``hashes``.
 
-    ``hashes`` has one column of 64-bit hashes and is read twice: stage it. Nothing is shuffled but the
-    words of the filter.
+    ``hashes`` has one column of 64-bit hashes and is read twice: stage it. Nothing is shuffled but
+    the words of the filter.
     """
     if most_words < 1 or most_words & (most_words - 1):
         raise ValueError("most_words must be a power of two")

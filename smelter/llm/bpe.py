@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding.
 
-Short texts are encoded where they lie. Longer ones are cut into overlapping chunks that spread over the
-cluster; each is pre-tokenised by itself. In the overlap of two neighbours, the first position at
-which both have a pre-token boundary is where they resynchronise: the pattern looks at no character
-before a pre-token, so from there on both agree. The text is cut at these positions, the pieces are encoded
-in parallel, and their ids are put together in order. Decoding concatenates raw bytes.
+Short texts are encoded where they lie. Longer ones are cut into overlapping chunks that spread over
+the cluster; each is pre-tokenised by itself. In the overlap of two neighbours, the first position
+at which both have a pre-token boundary is where they resynchronise: the pattern looks at no
+character before a pre-token, so from there on both agree. The text is cut at these positions, the
+pieces are encoded in parallel, and their ids are put together in order. Decoding concatenates raw
+bytes.
 
 Ids are carried as little-endian unsigned 32-bit integers in a binary column.
 """
@@ -97,14 +98,16 @@ def _chunk_rows(chunk: int, overlap: int):
 def _may_cut(text: str, at: int) -> bool:
     """Between ASCII characters, the first of them printable and no space.
 
-    Every engine agrees on their classes, and a piece that ends with white space would read otherwise alone.
+    Every engine agrees on their classes, and a piece that ends with white space would read
+    otherwise alone.
     """
     return 0 < at < len(text) and "!" <= text[at - 1] <= "~" and (" " <= text[at] <= "~" or text[at] in "\n\t\r")
 
 
 def _boundaries(chunk: int, overlap: int, pattern: str):
-    """Rows of chunks to (key, no, head, tail): the boundaries in a chunk's two overlaps, as positions
-    relative to the chunk that the overlap begins."""
+    """Rows of chunks to (key, no, head, tail): the boundaries in a chunk's two overlaps, as
+    positions relative to the chunk that the overlap begins.
+    """
     kind = pa.schema(
         [("key", pa.string()), ("no", pa.int32()), ("head", pa.list_(pa.int32())), ("tail", pa.list_(pa.int32()))]
     )
@@ -130,8 +133,8 @@ def _boundaries(chunk: int, overlap: int, pattern: str):
 def _cuts(boundaries: DataFrame, chunk: int) -> DataFrame:
     """(key, cuts): ascending positions at which the text may be cut.
 
-    The first pair of neighbours that does not resynchronise ends the list: behind it, nothing is known
-    to be a boundary of the whole text, and the rest stays one piece.
+    The first pair of neighbours that does not resynchronise ends the list: behind it, nothing is
+    known to be a boundary of the whole text, and the rest stays one piece.
     """
     chunks = F.sort_array(F.collect_list(F.struct("no", "head", "tail")))
     pairs = boundaries.groupBy("key").agg(chunks.alias("c")).select(
@@ -201,14 +204,15 @@ def encode(
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
 ) -> DataFrame:
-    """``docs`` with ``ids``, as the tiktoken library encodes each whole text without special tokens.
+    """``docs`` with ``ids``, as the tiktoken library encodes each whole text without special
+    tokens.
 
     ``ranks`` is the path of a rank file that every executor can open.
 
-    Defined cases: a null text is the empty text, whose ids are empty; a long text that many rows repeat is
-    encoded once; a long text in which two neighbours never agree within their overlap is not cut behind that
-    point; rows are kept as they are, repeated ones too; an input column named ``ids`` is replaced.
-    ``docs`` is read three times: stage it if it is dear to compute.
+    Defined cases: a null text is the empty text, whose ids are empty; a long text that many rows
+    repeat is encoded once; a long text in which two neighbours never agree within their overlap is
+    not cut behind that point; rows are kept as they are, repeated ones too; an input column named
+    ``ids`` is replaced. ``docs`` is read three times: stage it if it is dear to compute.
     """
     if not 0 < overlap <= chunk:
         raise ValueError("the overlap must be positive and no longer than a chunk")

@@ -85,10 +85,10 @@ def format_preferences(
     Columns: ``pair`` (under its name), ``n_prompt_turns``, ``prompt``, ``chosen``, ``rejected``,
     ``chosen_spans``, ``rejected_spans``.
 
-    Defined cases: turns are ordered by turn, role and text, nulls first, so repeated turn numbers have one
-    order; rows whose pair or side is null belong to no conversation and are left out; a pair with
-    one side only has an empty prompt and a null for the side it lacks; a side that ends within
-    the prefix has an empty completion; equal conversations are all prompt. Other columns are
+    Defined cases: turns are ordered by turn, role and text, nulls first, so repeated turn numbers
+    have one order; rows whose pair or side is null belong to no conversation and are left out; a
+    pair with one side only has an empty prompt and a null for the side it lacks; a side that ends
+    within the prefix has an empty completion; equal conversations are all prompt. Other columns are
     ignored, whatever their names.
     """
     rows = apart(turns, pair=pair, side=chosen, turn=turn, role=role, text=text).select(
@@ -120,10 +120,11 @@ def format_preferences(
 def swapped_answers(conversations: DataFrame) -> DataFrame:
     """Turns as preference pairs: each conversation, and the same one ended by another's answer.
 
-    The table marks no preferences, so this rule stands in for them. Pair k: the chosen side is conversation
-    k; the rejected side has its turns before its last assistant turn, then the last assistant
-    turn of conversation k xor 1. A conversation without assistant turns is rejected as a whole: the
-    sides are equal. Where the other conversation has no answer, the rejected side ends early.
+    The table marks no preferences, so this rule stands in for them. Pair k: the chosen side is
+    conversation k; the rejected side has its turns before its last assistant turn, then the last
+    assistant turn of conversation k xor 1. A conversation without assistant turns is rejected as a
+    whole: the sides are equal. Where the other conversation has no answer, the rejected side ends
+    early.
     """
     turns = apart(conversations, conv_id="conv_id", turn="turn", role="role", text="text").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"

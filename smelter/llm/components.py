@@ -1,7 +1,8 @@
 """Connected components of links, by alternating large-star and small-star steps.
 
-Each step points every node at the least node it knows of, so links shrink to stars. Steps are aggregates and
-joins of (node, node) rows; nothing is gathered, and the rows are staged after each round.
+Each step points every node at the least node it knows of, so links shrink to stars. Steps are
+aggregates and joins of (node, node) rows; nothing is gathered, and the rows are staged after each
+round.
 """
 
 from __future__ import annotations
@@ -51,7 +52,8 @@ def _state(links: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node that the links (u, v) touch; the root is the component's least node.
+    """(node, root) for every node that the links (u, v) touch; the root is the component's least
+    node.
 
     Links of a node with itself are ignored; repeated ones and both directions do no harm.
     """

@@ -1,9 +1,9 @@
 """Boilerplate lines by their frequency within a site, in DataFrame functions only.
 
-For each host, the pages that contain a line are divided by the pages of the host; lines above a ratio
-are dropped from every page of that host. A page counts a line once however often it repeats
-it, so the counts are summed on the map side and a line that a third of all pages share is a handful of
-rows after that. Lines travel as 96 bits of hash, never as text.
+For each host, the pages that contain a line are divided by the pages of the host; lines above a
+ratio are dropped from every page of that host. A page counts a line once however often it repeats
+it, so the counts are summed on the map side and a line that a third of all pages share is a handful
+of rows after that. Lines travel as 96 bits of hash, never as text.
 """
 
 from __future__ import annotations
@@ -58,11 +58,11 @@ def line_dedup(
 ) -> DataFrame:
     """``pages`` without the boilerplate lines of their host.
 
-    Replaces ``text`` and adds ``n_lines`` (before), ``n_dropped_lines``. Lines end at ``\\n`` and are
-    compared as they are; blank ones (nothing but white space) are never counted nor dropped.
+    Replaces ``text`` and adds ``n_lines`` (before), ``n_dropped_lines``. Lines end at ``\\n`` and
+    are compared as they are; blank ones (nothing but white space) are never counted nor dropped.
 
-    Defined cases: a null host is a host of its own; a null text stays null with no lines; a page
-    of boilerplate alone keeps its row with an empty text; an empty table gives an empty result.
+    Defined cases: a null host is a host of its own; a null text stays null with no lines; a page of
+    boilerplate alone keeps its row with an empty text; an empty table gives an empty result.
     ``pages`` is read twice: stage it if it is dear to compute.
     """
     site, own = named(host), named(text)

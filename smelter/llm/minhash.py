@@ -1,20 +1,24 @@
 """Near duplicates by b-bit MinHash.
 
-1. Each text becomes its set of word shingles; texts with equal sets are one node. A node's 128 minima
-   are reduced to their low 4 bits and packed as bit planes; 32 bands of 4 whole minima give its band keys.
-2. Nodes that share a band key are candidates. Agreeing minima are counted by bits of the planes; corrected for
-   chance collisions (two different minima agree in 1 of 16 cases) that estimates the similarity.
-   Candidates five standard deviations below the threshold are dropped, the others confirmed on their full sets.
-3. Candidates are confirmed so that a family of near copies costs no row for each of its pairs. First, each
-   node meets the nodes that are first in its buckets and is confirmed against its best estimate. The estimates of
-   these meetings also join nodes to families. In a family that is still several components, blocks of
-   nodes are compared within tasks: a product of 0/1 matrices gives all common shingles of two blocks, and only links that
-   join components come out. Nodes of the family's main component are not compared with each other. Last, candidates
-   in different families are confirmed one by one, each of them. After that, no two nodes that
-   share a bucket and pass the estimate have an untested link between their components.
+1. Each text becomes its set of word shingles; texts with equal sets are one node. A node's 128
+   minima are reduced to their low 4 bits and packed as bit planes; 32 bands of 4 whole minima give
+   its band keys.
+2. Nodes that share a band key are candidates. Agreeing minima are counted by bits of the planes;
+   corrected for chance collisions (two different minima agree in 1 of 16 cases) that estimates the
+   similarity. Candidates five standard deviations below the threshold are dropped, the others
+   confirmed on their full sets.
+3. Candidates are confirmed so that a family of near copies costs no row for each of its pairs.
+   First, each node meets the nodes that are first in its buckets and is confirmed against its best
+   estimate. The estimates of these meetings also join nodes to families. In a family that is still
+   several components, blocks of nodes are compared within tasks: a product of 0/1 matrices gives
+   all common shingles of two blocks, and only links that join components come out. Nodes of the
+   family's main component are not compared with each other. Last, candidates in different families
+   are confirmed one by one, each of them. After that, no two nodes that share a bucket and pass the
+   estimate have an untested link between their components.
 4. Components over the confirmed links give each document its class.
 
-With 32 bands of 4, a pair at the similarity 0.85 shares no band in 1 of 10^10 cases, at 0.8 in 1 of 10^7.
+With 32 bands of 4, a pair at the similarity 0.85 shares no band in 1 of 10^10 cases, at 0.8 in 1 of
+10^7.
 """
 
 from __future__ import annotations
@@ -45,7 +49,8 @@ _BAND_FACTORS = _SEEDS[2 * MINIMA : 3 * MINIMA].reshape(BANDS, BAND_ROWS) | np.u
 _NODE_SEEDS = _SEEDS[-2:]
 _BLOCK = 1024
 
-#: Nodes and shingles of a block that is compared with others in one task, and matrix columns at a time.
+#: Nodes and shingles of a block that is compared with others in one task, and matrix columns at a
+#: time.
 BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
 
 
@@ -75,7 +80,9 @@ def _minima(own: np.ndarray) -> np.ndarray:
 
 
 def _planes(minima: np.ndarray) -> np.ndarray:
-    """The low bits of mixed minima: for each text BITS x MINIMA bits in 64-bit integers, bit by bit."""
+    """The low bits of mixed minima: for each text BITS x MINIMA bits in 64-bit integers, bit by
+    bit.
+    """
     mixed = mix(minima.astype(np.uint64))
     planes = [np.packbits(((mixed >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), axis=1) for b in range(BITS)]
     return np.ascontiguousarray(np.concatenate(planes, axis=1)).view("<i8")
@@ -180,7 +187,8 @@ def estimated_similarity(agree: Column) -> Column:
 
 
 def least_agreeing(similarity: float) -> int:
-    """Agreeing minima that a pair at ``similarity`` has, SLACK standard deviations below the mean."""
+    """Agreeing minima that a pair at ``similarity`` has, SLACK standard deviations below the mean.
+    """
     share = similarity + (1 - similarity) * 2.0**-BITS
     return max(0, math.floor(MINIMA * share - SLACK * math.sqrt(MINIMA * share * (1 - share))))
 
@@ -266,15 +274,17 @@ class _Graph:
         )
 
     def met(self) -> DataFrame:
-        """(a, b, agree): each node and the first nodes of its buckets, where the estimate suffices."""
+        """(a, b, agree): each node and the first nodes of its buckets, where the estimate suffices.
+        """
         pairs = self.members.where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
         return stage(self.estimated(pairs.distinct()), "met")
 
     def within_families(self, families: DataFrame, sets: DataFrame) -> DataFrame:
         """Links (u, v) that join components of a family, from all pairs that can.
 
-        ``families``: (node, family, own), ``own`` being the component so far. Blocks hold about BLOCK_NODES nodes and
-        BLOCK_SHINGLES shingles at most. Rows go to as many tasks as their block meets others.
+        ``families``: (node, family, own), ``own`` being the component so far. Blocks hold about
+        BLOCK_NODES nodes and BLOCK_SHINGLES shingles at most. Rows go to as many tasks as their
+        block meets others.
         """
         sized = stage(
             families.join(sets, "node").select("node", "family", "own", "shingles", F.size("shingles").alias("n")), "family-sets"
@@ -306,8 +316,8 @@ class _Graph:
         block = F.pmod(
             F.xxhash64("node"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("open_blocks"))
         ).cast("int")
-        # A main block (numbered behind the open ones) meets all open blocks; an open block also meets
-        # itself and each other open one once.
+        # A main block (numbered behind the open ones) meets all open blocks; an open block also
+        # meets itself and each other open one once.
         rows = rows.withColumn("block", block + F.when(F.col("is_main"), F.col("open_blocks")).otherwise(0))
         all_blocks = F.sequence(F.lit(0), F.col("open_blocks") + F.col("main_blocks") - 1)
         meetings = F.when(
@@ -333,8 +343,8 @@ class _Graph:
     def across_families(self, families: DataFrame) -> DataFrame:
         """Candidates (a, b) in different families and components.
 
-        In a bucket, members outside the family of its first node meet all others; only pairs with a sufficient
-        estimate leave the join.
+        In a bucket, members outside the family of its first node meet all others; only pairs with a
+        sufficient estimate leave the join.
         """
         labels = stage(
             self.members.join(families, "node", "left").select(
@@ -434,7 +444,9 @@ def _numbered(lists: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _common(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Sizes of all intersections of left and right sets, by products of 0/1 matrices of some columns at a time."""
+    """Sizes of all intersections of left and right sets, by products of 0/1 matrices of some
+    columns at a time.
+    """
     width = 1 + max((int(own.max()) for own in sets if len(own)), default=-1)
     total = np.zeros((len(left), len(right)), np.int64)
     for at in range(0, width, COLUMNS):
@@ -459,13 +471,14 @@ def near_dedup(
     """``docs`` with ``n_shingles``, ``component_id`` and ``kept``.
 
     Texts are compared as sets of ``width``-word shingles with A-Z in lower case; a text with fewer
-    words is one shingle. Texts at ``similarity`` (hundredths) or above are linked. ``component_id`` is the
-    least key that can be reached over links, ``kept`` tells whether it is the row's own.
-
-    Defined cases: a text without words, or a null one, has no shingles and is linked with nothing; null keys
-    are reached last, so a component has a null id only if all its keys are null; rows that repeat both key and text are
-    kept or dropped alike; an empty table gives an empty result; input columns named like a result are replaced.
-    ``docs`` is read several times: stage it if it is dear to compute.
+    words is one shingle. Texts at ``similarity`` (hundredths) or above are linked. ``component_id``
+    is the least key that can be reached over links, ``kept`` tells whether it is the row's own.
+
+    Defined cases: a text without words, or a null one, has no shingles and is linked with nothing;
+    null keys are reached last, so a component has a null id only if all its keys are null; rows
+    that repeat both key and text are kept or dropped alike; an empty table gives an empty result;
+    input columns named like a result are replaced. ``docs`` is read several times: stage it if it
+    is dear to compute.
     """
     graph = _Graph(apart(docs, key=key, text=text), width, similarity)
     roots = stage(components(graph.links()), "roots")

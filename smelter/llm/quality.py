@@ -1,8 +1,9 @@
 """Quality rules and a log-likelihood ratio of hashed n-grams.
 
-Byte n-grams of all texts are counted in hashed buckets, once over the raw corpus and once over a trusted target.
-A text's score is the mean over its n-grams of log(target share / raw share) of the bucket, so it does
-not depend on its length. Every text at or above a fixed threshold is kept; nothing is sampled.
+Byte n-grams of all texts are counted in hashed buckets, once over the raw corpus and once over a
+trusted target. A text's score is the mean over its n-grams of log(target share / raw share) of the
+bucket, so it does not depend on its length. Every text at or above a fixed threshold is kept;
+nothing is sampled.
 """
 
 from __future__ import annotations
@@ -182,13 +183,14 @@ def quality(
 ) -> DataFrame:
     """``docs`` with base counts, ``base_failed``, ``score`` and ``kept``.
 
-    ``target_keys`` holds the keys of the trusted documents, under the name ``key``. Counts of n-grams are taken over
-    every text of ``docs``, for the target over every text with such a key.
+    ``target_keys`` holds the keys of the trusted documents, under the name ``key``. Counts of
+    n-grams are taken over every text of ``docs``, for the target over every text with such a key.
 
-    Defined cases: a null or empty text has no words, so its base fails, and the score 0, as has a text too short
-    for an n-gram; without any target row all scores are about 0; null keys are no target; a target key
-    that many rows share counts each of them; rows are kept as they are, repeated ones too; an empty table gives an
-    empty result; input columns named like a result are replaced.
+    Defined cases: a null or empty text has no words, so its base fails, and the score 0, as has a
+    text too short for an n-gram; without any target row all scores are about 0; null keys are no
+    target; a target key that many rows share counts each of them; rows are kept as they are,
+    repeated ones too; an empty table gives an empty result; input columns named like a result are
+    replaced.
     """
     if buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")

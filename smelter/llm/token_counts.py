@@ -1,8 +1,8 @@
 """An exact histogram of encoded lengths, which answers questions about every context limit.
 
-Documents are counted by length in one aggregate that is combined on the map side. Sums over the longer
-lengths then tell, for any limit, how many documents and tokens exceed it and how many tokens are left when
-each document is cut at the limit.
+Documents are counted by length in one aggregate that is combined on the map side. Sums over the
+longer lengths then tell, for any limit, how many documents and tokens exceed it and how many tokens
+are left when each document is cut at the limit.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ def length_histogram(rows: DataFrame, length: str = "n_tokens") -> DataFrame:
 def suffix_sums(histogram: DataFrame, band: int = BAND) -> DataFrame:
     """One row per length L, with what a context limit of L tokens means.
 
-    ``n_docs`` documents have L tokens; ``docs_at_least`` and ``tokens_at_least`` count those
-    of L or more, ``docs_up_to`` those of L or fewer; ``truncated_tokens`` is the total after cutting each
-    document at L. The window over bands holds one row per BAND lengths, those within them BAND rows.
+    ``n_docs`` documents have L tokens; ``docs_at_least`` and ``tokens_at_least`` count those of L
+    or more, ``docs_up_to`` those of L or fewer; ``truncated_tokens`` is the total after cutting
+    each document at L. The window over bands holds one row per BAND lengths, those within them BAND
+    rows.
 
     An empty histogram gives an empty result.
     """

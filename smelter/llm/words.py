@@ -1,8 +1,8 @@
 """Words of Arrow text columns, found and hashed over all bytes of a batch at once.
 
-A word is a run of bytes other than the separators 0x20 and 0x09-0x0D, so words of UTF-8 text are those of
-``[^\\x20\\x09-\\x0D]+``. Word hashes are polynomials over a random table of bytes, taken modulo 2^64
-and mixed: equal words have equal hashes on every machine.
+A word is a run of bytes other than the separators 0x20 and 0x09-0x0D, so words of UTF-8 text are
+those of ``[^\\x20\\x09-\\x0D]+``. Word hashes are polynomials over a random table of bytes, taken
+modulo 2^64 and mixed: equal words have equal hashes on every machine.
 """
 
 from __future__ import annotations

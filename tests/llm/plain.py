@@ -74,7 +74,9 @@ def site_lines(pages, most_share, least_pages, least_hits):
 
 
 def schedule(weights, periods=1):
-    """Slots of a Pfair schedule: the released block with the earliest deadline, then the first source."""
+    """Slots of a Pfair schedule: the released block with the earliest deadline, then the first
+    source.
+    """
     total = sum(weights)
     taken, out = [0] * len(weights), []
     for slot in range(total * periods):

@@ -282,7 +282,8 @@ def test_damaged_frames_are_found(tmp_path):
 
 
 def test_token_encoder_equals_the_library():
-    """Words are encoded apart, texts with odd white space otherwise; the ids are those of the text."""
+    """Words are encoded apart, texts with odd white space otherwise; the ids are those of the text.
+    """
     path = token_output.public_tokenizers.path("byte_bpe_50k.json")
     own = token_output.Tokenizer.from_file(path)
     own.encode_special_tokens = True
