@@ -501,7 +501,8 @@ def _layers(spark: SparkSession, folder: str, name: str) -> DataFrame:
                                              interval 1 day)) as date) as Date
           from ({spread_sql(HEADER)}) h) d""")
 def gold_dim_date(spark: SparkSession, folder: str) -> DataFrame:
-    """The calendar that the gold step writes, with its usual bounds moved out to the order dates."""
+    """The calendar that the gold step writes, with its usual bounds moved out to the order dates.
+    """
     return _layers(spark, folder, "dimDate")
 
 

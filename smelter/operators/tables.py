@@ -29,9 +29,9 @@ def write_table(
 ) -> DataFrame:
     """Replace rows and schema of external table ``name`` below ``root``; return it read back.
 
-    A write that fails leaves the old table as it was, and ``df`` may read the table it replaces. Formats
-    with a log see to that themselves; for others the rows go to a hidden folder beside
-    the table, which takes the table's place by two renames once all rows are there.
+    A write that fails leaves the old table as it was, and ``df`` may read the table it replaces.
+    Formats with a log see to that themselves; for others the rows go to a hidden folder beside the
+    table, which takes the table's place by two renames once all rows are there.
     """
     spark, target = df.sparkSession, qualified(df.sparkSession, name, database)
     if fmt in LOGGED:

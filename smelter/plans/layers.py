@@ -70,8 +70,8 @@ def run_gold(
     """Register the silver folders as views and write three dimensions, then the sales fact.
 
     The fact takes its keys from the dimensions as written, not from a second run of their plans.
-    The calendar runs from ``first_date`` to ``last_date``; a bound that is not given is the usual one,
-    moved out as far as the order dates need.
+    The calendar runs from ``first_date`` to ``last_date``; a bound that is not given is the usual
+    one, moved out as far as the order dates need.
     """
     silver = _by_name(register_tables(spark, silver_root, fmt))
     customer, address = silver["salescustomer"], silver["salescustomeraddress"]
