@@ -2,8 +2,9 @@
 
 For each host, the pages that contain a line are divided by the pages of the host; lines above a
 ratio are dropped from every page of that host. A page counts a line once however often it repeats
-it, so the counts are summed on the map side and a line that a third of all pages share is a handful
-of rows after that. Lines travel as 96 bits of hash, never as text.
+it, and pages of a host with equal text count as one page: the lines of a page that was copied often
+are no boilerplate. Counts are summed on the map side, so a line that a third of all pages share is
+a handful of rows after that. Lines travel as 96 bits of hash, never as text.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.tables import named, with_results
+from smelter.operators import stage
 
 #: A line on more than this share of a host's pages is boilerplate.
-MOST_SHARE = 0.02
+MOST_SHARE = 0.1
 #: Hosts with fewer pages have no evidence: all their lines stay.
 LEAST_PAGES = 20
 #: A line on fewer pages than this is no boilerplate, whatever the share.
@@ -69,15 +71,26 @@ def line_dedup(
     lines = F.split(F.coalesce(own, F.lit("")), "\n", -1)
     solid = F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\r\f\v")) != "")
 
-    counted = pages.select(site.alias("__host"), solid.alias("lines"))
+    whole = F.coalesce(own, F.lit(""))
+    once = stage(
+        pages.select(
+            site.alias("__host"),
+            F.xxhash64(whole).alias("x"),
+            F.hash(whole).alias("y"),
+            F.array_distinct(_hashes(solid)).alias("lines"),
+        )
+        .groupBy("__host", "x", "y")
+        .agg(F.first("lines").alias("lines")),
+        "pages-once",
+    )
     hits = (
-        counted.select("__host", F.explode(F.array_distinct(_hashes(F.col("lines")))).alias("line"))
+        once.select("__host", F.explode("lines").alias("line"))
         .groupBy("__host", "line.a", "line.b")
         .agg(F.count("*").alias("hits"))
         .where(F.col("hits") >= least_hits)
     )
     sites = (
-        pages.groupBy(site.alias("__site"))
+        once.groupBy(F.col("__host").alias("__site"))
         .agg(F.count("*").alias("of"))
         .where(F.col("of") >= least_pages)
     )

@@ -119,18 +119,19 @@ with pages_text as (
                '[\n\r][ \t\n\r]*', chr(10), 'g'), chr(10) || chr(13) || chr(9) || ' ') as text
     from pages
 ), lines as (
-    select page_id, host, unnest(string_split(text, chr(10))) as line,
+    select page_id, host, text, unnest(string_split(text, chr(10))) as line,
            unnest(range(len(string_split(text, chr(10))))) as pos
     from pages_text
 ), solid as (
     select *, trim(line, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) <> '' as solid from lines
 ), sites as (
-    select host, count(*) as of_pages from pages_text group by host having count(*) >= 20
+    select host, count(distinct text) as of_pages from pages_text
+    group by host having count(distinct text) >= 20
 ), bad as (
     select host, line
-    from (select host, line, count(distinct page_id) as hits from solid where solid group by host, line)
+    from (select host, line, count(distinct text) as hits from solid where solid group by host, line)
     join sites using (host)
-    where hits >= 3 and hits > cast(0.02 as double) * of_pages
+    where hits >= 3 and hits > cast(0.1 as double) * of_pages
 ), marked as (
     select s.*, b.line is not null as gone
     from solid s left join bad b on s.host = b.host and s.line = b.line and s.solid
@@ -142,7 +143,9 @@ from marked group by page_id, host"""
 
 
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """The target are the documents labelled good, without every third of them: those stay for tests."""
+    """The target are the documents labelled good, without every third of them: those stay for
+    tests.
+    """
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels")
     target = labels.where((F.col("quality") == 1) & ~toxicity.held_out(F.col("doc_id")))

@@ -57,10 +57,11 @@ def base_counts(text):
 
 def site_lines(pages, most_share, least_pages, least_hits):
     """key -> (host, text) without boilerplate lines, from key -> (host, text)."""
-    sizes = Counter(host for host, _ in pages.values())
+    once = {(host, text or "") for host, text in pages.values()}
+    sizes = Counter(host for host, _ in once)
     solid = lambda line: line.strip(" \t\r\f\v")
     hits = Counter(
-        (host, line) for host, text in pages.values() for line in set((text or "").split("\n")) if solid(line)
+        (host, line) for host, text in once for line in set(text.split("\n")) if solid(line)
     )
 
     def bad(host, line):

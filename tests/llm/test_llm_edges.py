@@ -152,6 +152,13 @@ def test_line_dedup_cases(spark):
     assert got[31].text == "" and got[31].n_dropped_lines == 1
 
 
+def test_a_page_that_was_copied_is_no_boilerplate(spark):
+    rows = [(i, "h", "top\ncopied\ntwice" if i % 3 == 0 else f"top\nown {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, host string, text string")
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(docs, "host").collect()}
+    assert got[0] == got[3] == "copied\ntwice" and got[1] == "own 1"
+
+
 def test_html_lines(spark):
     html = "<html><head><title>t</title></head><body><p>a<b>b</b></p>\n <br/>c <!-- x --><script>y</script> d</body>"
     frame = spark.createDataFrame([(html, "HTTP://Ex.org:80/a"), (None, None)], "html string, url string")
