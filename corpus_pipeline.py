@@ -66,9 +66,9 @@ def _ranked(docs: DataFrame) -> DataFrame:
     part = F.regexp_extract("__file", r"^part-(\d+)", 1).cast("int")
     before = Window.orderBy(part, "__file").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("__file").agg(F.count("*").alias("n"))
-    # One row per file, and one file per partition of the mix.
+    # One row per file: as small as it is, Spark broadcasts it.
     offsets = sizes.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    ranked = placed.join(F.broadcast(stage(offsets, "offsets")), "__file")
+    ranked = placed.join(stage(offsets, "offsets"), "__file")
     return with_results(ranked, {"mix_rank": F.col("__before") + F.col("__row")}).drop(
         "__file", "__row", "__before"
     )

@@ -41,71 +41,57 @@ def suffix_sums(histogram: DataFrame, band: int = BAND) -> DataFrame:
     bands = banded.groupBy("band").agg(F.sum("n_docs").alias("docs"), F.sum(tokens).alias("tokens"))
     later = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
+    everything = Window.partitionBy()
     beyond = bands.select(
         "band",
+        F.sum("docs").over(everything).alias("all_docs"),
+        F.sum("tokens").over(everything).alias("all_tokens"),
         F.coalesce(F.sum("docs").over(later), zero).alias("docs_beyond"),
         F.coalesce(F.sum("tokens").over(later), zero).alias("tokens_beyond"),
     )
-    everything = histogram.agg(F.sum("n_docs").alias("all_docs"), F.sum(tokens).alias("all_tokens"))
     own = Window.partitionBy("band").orderBy(F.desc("n_tokens"))
     at_least = (
         banded.withColumn("docs", F.sum("n_docs").over(own))
         .withColumn("tokens", F.sum(tokens).over(own))
         .join(beyond, "band")
-        .select(
-            "n_tokens",
-            "n_docs",
-            (F.col("docs") + F.col("docs_beyond")).alias("docs_at_least"),
-            (F.col("tokens") + F.col("tokens_beyond")).alias("tokens_at_least"),
-        )
+        .withColumn("docs_at_least", F.col("docs") + F.col("docs_beyond"))
+        .withColumn("tokens_at_least", F.col("tokens") + F.col("tokens_beyond"))
     )
-    # One row.
-    return at_least.join(F.broadcast(everything)).select(
+    shorter = F.col("all_tokens") - F.col("tokens_at_least")
+    return at_least.select(
         "n_tokens",
         "n_docs",
         "docs_at_least",
         "tokens_at_least",
         (F.col("all_docs") - F.col("docs_at_least") + F.col("n_docs")).alias("docs_up_to"),
-        (F.col("all_tokens") - F.col("tokens_at_least") + F.col("n_tokens") * F.col("docs_at_least")).alias(
-            "truncated_tokens"
-        ),
+        (shorter + F.col("n_tokens") * F.col("docs_at_least")).alias("truncated_tokens"),
     )
 
 
 def at_limits(spark: SparkSession, sums: DataFrame, limits: Iterable[int]) -> DataFrame:
     """Totals for any limits, occurring as lengths or not: (limit, docs_over, truncated_tokens).
 
-    Everything longer than a limit starts at the next length that occurs.
+    Everything longer than a limit starts at the next length that occurs; one pass finds them all.
     """
-    rows = spark.createDataFrame([(int(x),) for x in limits], "limit long")
-    total = sums.agg(F.max("tokens_at_least").alias("total"))
-    longer = (
-        rows.join(sums, F.col("n_tokens") > F.col("limit"), "left")
-        .groupBy("limit")
-        .agg(F.min(F.struct("n_tokens", "docs_at_least", "tokens_at_least")).alias("next"))
-        .join(F.broadcast(total))
-    )
-    zero = F.lit(0).cast("long")
-    over = F.coalesce(F.col("next.docs_at_least"), zero)
-    return longer.select(
-        "limit",
-        over.alias("docs_over"),
-        (
-            F.coalesce("total", zero)
-            - F.coalesce(F.col("next.tokens_at_least"), zero)
-            + F.col("limit") * over
-        ).alias("truncated_tokens"),
-    )
+    limits = sorted({int(x) for x in limits})
+    longer = F.struct("n_tokens", "docs_at_least", "tokens_at_least")
+    found = sums.agg(
+        F.coalesce(F.max("tokens_at_least"), F.lit(0)),
+        *[F.min(F.when(F.col("n_tokens") > limit, longer)) for limit in limits],
+    ).first()
+    rows = [
+        (limit, over.docs_at_least, found[0] - over.tokens_at_least + limit * over.docs_at_least)
+        if over
+        else (limit, 0, found[0])
+        for limit, over in zip(limits, found[1:])
+    ]
+    return spark.createDataFrame(rows, "limit long, docs_over long, truncated_tokens long")
 
 
 def quantiles(spark: SparkSession, sums: DataFrame, shares: Iterable[float]) -> DataFrame:
     """(share, n_tokens): the shortest length that at least the share of documents do not exceed."""
-    rows = spark.createDataFrame([(float(x),) for x in shares], "share double")
-    total = sums.agg(F.max("docs_at_least").alias("docs"))
-    reached = F.col("docs_up_to") >= F.col("share") * F.col("docs")
-    return (
-        rows.join(F.broadcast(total))
-        .join(sums.select("n_tokens", "docs_up_to"), reached, "left")
-        .groupBy("share")
-        .agg(F.min("n_tokens").alias("n_tokens"))
-    )
+    shares = sorted({float(x) for x in shares})
+    total = sums.agg(F.max("docs_at_least")).first()[0] or 0
+    lengths = [F.min(F.when(F.col("docs_up_to") >= x * total, F.col("n_tokens"))) for x in shares]
+    found = sums.agg(F.lit(0), *lengths).first()[1:]
+    return spark.createDataFrame(list(zip(shares, found)), "share double, n_tokens long")
