@@ -2,8 +2,8 @@
 
 Pass one hits one cell of a counting filter per row. The cells are kept sparsely, as a table of
 (cell, hits) that is summed up on the map side before 16 bytes a cell move; cells hit twice or more
-may hold repeated hashes. Pass two tests every row, where it lies, against a Bloom filter of
-those cells: rows that miss it are unique and pass straight through, and only the others shuffle to be
+may hold repeated hashes. Pass two tests every row, where it lies, against a Bloom filter of those
+cells: rows that miss it are unique and pass straight through, and only the others shuffle to be
 grouped by their full SHA-256. A false positive costs a shuffled row, never a wrong result.
 """
 
@@ -18,6 +18,7 @@ from smelter.llm.bloom import MOST_WORDS, flagged
 from smelter.llm.tables import named, with_results
 from smelter.operators import stage
 
+
 def normalised(text: Column) -> Column:
     """A-Z lower-cased and nothing else; null counts as the empty text."""
     return F.translate(
@@ -37,8 +38,8 @@ def exact_dedup(rows: DataFrame, key: str = "doc_id", most_words: int = MOST_WOR
     read several times: stage it if it is dear to compute (see ``mark_copies``).
 
     Defined cases: a null key loses to any other; a group of null keys only has a null ``keep_id``
-    and keeps its rows; rows that repeat both text and key are kept or dropped alike, as nothing tells
-    them apart; an empty table gives an empty result; input columns named like a result are
+    and keeps its rows; rows that repeat both text and key are kept or dropped alike, as nothing
+    tells them apart; an empty table gives an empty result; input columns named like a result are
     replaced.
     """
     hashed = rows.withColumn("__cell", F.xxhash64("text_sha256"))
@@ -48,10 +49,11 @@ def exact_dedup(rows: DataFrame, key: str = "doc_id", most_words: int = MOST_WOR
     own = named(key)
     unique = tested.where(~F.col("__possible")).drop("__cell", "__possible")
     suspects = tested.where(F.col("__possible")).drop("__cell", "__possible")
-    groups = suspects.groupBy("text_sha256").agg(
+    groups = suspects.groupBy(F.col("text_sha256").alias("__sha")).agg(
         F.max(own).alias("__keep"), F.count("*").alias("__size")
     )
-    groups = groups.withColumnRenamed("text_sha256", "__sha")
+    # Staged, so that both inputs of the join are bare shuffles and Spark can split a large group.
+    groups = stage(groups, "groups")
     copies = suspects.join(groups, F.col("text_sha256") == F.col("__sha")).drop("__sha")
     return with_results(
         unique.select("*", own.alias("__keep"), F.lit(1).cast("long").alias("__size")).unionByName(
