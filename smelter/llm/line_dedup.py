@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.tables import named, with_results
-from smelter.operators import stage
+from smelter.operators import scratch_path, scratch_until_done, stage
 
 #: A line on more than this share of a host's pages is boilerplate.
 MOST_SHARE = 0.1
@@ -50,28 +50,20 @@ def _hashes(lines: Column) -> Column:
     return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.hash(x).alias("b")))
 
 
-def line_dedup(
+def _boilerplate(
     pages: DataFrame,
-    host: str,
-    text: str = "text",
-    most_share: float = MOST_SHARE,
-    least_pages: int = LEAST_PAGES,
-    least_hits: int = LEAST_HITS,
+    site: Column,
+    text: Column,
+    solid: Column,
+    most_share: float,
+    least_pages: int,
+    least_hits: int,
 ) -> DataFrame:
-    """``pages`` without the boilerplate lines of their host.
-
-    Replaces ``text`` and adds ``n_lines`` (before), ``n_dropped_lines``. Lines end at ``\\n`` and
-    are compared as they are; blank ones (nothing but white space) are never counted nor dropped.
+    """(__site, __boilerplate): the hashes of each host's boilerplate lines.
 
-    Defined cases: a null host is a host of its own; a null text stays null with no lines; a page of
-    boilerplate alone keeps its row with an empty text; an empty table gives an empty result.
-    ``pages`` is read twice: stage it if it is dear to compute.
+    A host has at most (mean lines of a page / most_share) such lines, so its set fits a cell.
     """
-    site, own = named(host), named(text)
-    lines = F.split(F.coalesce(own, F.lit("")), "\n", -1)
-    solid = F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\r\f\v")) != "")
-
-    whole = F.coalesce(own, F.lit(""))
+    whole = F.coalesce(text, F.lit(""))
     once = stage(
         pages.select(
             site.alias("__host"),
@@ -94,16 +86,42 @@ def line_dedup(
         .agg(F.count("*").alias("of"))
         .where(F.col("of") >= least_pages)
     )
-    # A host has at most (mean lines of a page / most_share) such lines, so its set fits a cell.
-    boilerplate = (
+    return (
         hits.join(sites, F.col("__host").eqNullSafe(F.col("__site")))
         .where(F.col("hits") > F.lit(most_share) * F.col("of"))
         .groupBy("__site")
         .agg(F.collect_list(F.struct("a", "b")).alias("__boilerplate"))
     )
-    # The few sets meet the pages by host: Spark broadcasts them if they are small, else it
-    # splits the partitions of large hosts.
-    joined = pages.join(boilerplate, site.eqNullSafe(F.col("__site")), "left")
+
+
+def line_dedup(
+    pages: DataFrame,
+    host: str,
+    text: str = "text",
+    most_share: float = MOST_SHARE,
+    least_pages: int = LEAST_PAGES,
+    least_hits: int = LEAST_HITS,
+) -> DataFrame:
+    """``pages`` without the boilerplate lines of their host.
+
+    Replaces ``text`` and adds ``n_lines`` (before), ``n_dropped_lines``. Lines end at ``\\n`` and
+    are compared as they are; blank ones (nothing but white space) are never counted nor dropped.
+
+    Defined cases: a null host is a host of its own; a null text stays null with no lines; a page of
+    boilerplate alone keeps its row with an empty text; an empty table gives an empty result.
+    ``pages`` is read twice: stage it if it is dear to compute.
+    """
+    site, own = named(host), named(text)
+    lines = F.split(F.coalesce(own, F.lit("")), "\n", -1)
+    solid = F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\r\f\v")) != "")
+
+    spark, path = pages.sparkSession, scratch_path(pages.sparkSession, "boilerplate")
+    with scratch_until_done(spark):
+        found = _boilerplate(pages, site, own, solid, most_share, least_pages, least_hits)
+        found.write.parquet(path)
+    # Written, so that Spark knows the size of the sets when it plans the join: small ones are
+    # broadcast and no page moves, else partitions of large hosts are split.
+    joined = pages.join(spark.read.parquet(path), site.eqNullSafe(F.col("__site")), "left")
     bad = F.col("__boilerplate")
     stays = F.filter(
         lines,

@@ -105,7 +105,7 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         line_dedup.host_of(F.col("url")).alias("host"),
         line_dedup.html_lines(F.col("html")).alias("text"),
     )
-    return line_dedup.line_dedup(pages, "host")
+    return line_dedup.line_dedup(stage(pages, "pages"), "host")
 
 
 OP3_SQL = r"""
