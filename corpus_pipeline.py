@@ -41,7 +41,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies: five-word shingles, 0.8 or more.
     """
-    return minhash.near_dedup(docs, width=5, similarity=0.8).where("kept").select(*docs.columns)
+    return minhash.drop_near_copies(docs, width=5, similarity=0.8)
 
 
 def interleave(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,24 +44,32 @@ def _small_star(links: DataFrame) -> DataFrame:
     )
 
 
-def _state(links: DataFrame) -> tuple:
-    """Count and an order-free sum over the links: equal for equal sets of links."""
-    return links.agg(
-        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
-    ).first()[:]
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each link points down to a root: no node has two links or a link at either end."""
+    ends = links.select(
+        F.col("u").alias("n"), F.lit(1).alias("out"), (F.col("u") < F.col("v")).cast("int").alias("bad")
+    ).unionByName(links.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(0).alias("bad")))
+    nodes = ends.groupBy("n").agg(
+        F.sum("out").alias("out"), F.count("*").alias("all"), F.max("bad").alias("bad")
+    )
+    return nodes.where("bad = 1 or out > 1 or (out = 1 and all > 1)").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) for every node that the links (u, v) touch; the root is the component's least
     node.
 
-    Links of a node with itself are ignored; repeated ones and both directions do no harm.
+    Links of a node with itself are ignored; repeated ones and both directions do no harm. With
+    ``rounds``, it ends after so many: nodes with equal roots are then connected, but connected
+    nodes may have different roots.
     """
-    links = stage(links.where("u != v").select("u", "v").distinct(), "links")
-    before = None
-    while (now := _state(links)) != before:
-        before = now
-        links = stage(_small_star(stage(_large_star(links).distinct(), "stars")).distinct(), "links")
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    links = stage(links.where("u != v").select("u", "v"), "links")
+    done = 0
+    while (rounds is None or done < rounds) and not _are_stars(links):
+        stars = stage(_large_star(links), "stars")
+        links = stage(_small_star(stars).distinct(), "links")
+        done += 1
+    ends = links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        links.select(F.col("v").alias("node"), F.col("v").alias("root"))
     )
+    return ends.groupBy("node").agg(F.min("root").alias("root"))

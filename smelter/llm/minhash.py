@@ -35,7 +35,7 @@ from smelter.llm.bloom import flagged
 from smelter.llm.components import components
 from smelter.llm.tables import apart, named, with_results
 from smelter.llm.words import Words, find_words, mix, shingles, slices
-from smelter.operators import stage
+from smelter.operators import scratch_path, scratch_until_done, stage
 
 # Shape of a signature.
 MINIMA, BITS, BANDS, BAND_ROWS = 128, 4, 32, 4
@@ -385,7 +385,8 @@ class _Graph:
         wanted = stage(met.select(F.col("a").alias("node")).union(met.select("b")).distinct(), "wanted")
         sets = self.sets(wanted)
         first = self.confirmed(best, sets)
-        own = components(first).withColumnRenamed("root", "own")
+        # One round is enough for most: what it leaves apart only costs comparisons.
+        own = components(first, rounds=1).withColumnRenamed("root", "own")
         family = components(met.select(F.col("a").alias("u"), F.col("b").alias("v")))
         families = stage(
             family.withColumnRenamed("root", "family")
@@ -461,6 +462,18 @@ def _common(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right:
     return total
 
 
+def _write_classes(graph: _Graph, path: str) -> None:
+    """Write (__node, __class): the least key of each class of more than one document."""
+    roots = stage(components(graph.links()), "roots")
+    rooted = graph.nodes.select("node", "key", "n").join(roots, "node", "left")
+    classes = rooted.where("root is not null or n > 1").withColumn(
+        "root", F.coalesce("root", "node")
+    )
+    least = stage(classes.groupBy("root").agg(F.min("key").alias("__class")), "least")
+    found = classes.select("node", "root").join(least, "root")
+    found.select(F.col("node").alias("__node"), "__class").write.parquet(path)
+
+
 def near_dedup(
     docs: DataFrame,
     key: str = "doc_id",
@@ -480,15 +493,10 @@ def near_dedup(
     input columns named like a result are replaced. ``docs`` is read several times: stage it if it
     is dear to compute.
     """
-    graph = _Graph(apart(docs, key=key, text=text), width, similarity)
-    roots = stage(components(graph.links()), "roots")
-    # Only classes of more than one document are looked up.
-    rooted = graph.nodes.select("node", "key", "n").join(roots, "node", "left")
-    classes = rooted.where("root is not null or n > 1").withColumn("root", F.coalesce("root", "node"))
-    least = stage(classes.groupBy("root").agg(F.min("key").alias("__class")), "classes")
-    named_classes = stage(
-        classes.select("node", "root").join(least, "root").select(F.col("node").alias("__node"), "__class"), "named"
-    )
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "classes")
+    with scratch_until_done(spark):
+        _write_classes(_Graph(apart(docs, key=key, text=text), width, similarity), path)
+    named_classes = spark.read.parquet(path)
     own = _node_of(width)(named(text))
     rows = docs.withColumn("__own", own).withColumn("__found", F.col("__own.node"))
     joined = rows.join(named_classes, F.col("__found") == F.col("__node"), "left")
@@ -501,3 +509,37 @@ def near_dedup(
             "kept": named(key).eqNullSafe(component),
         },
     ).drop("__own", "__found", "__node", "__class")
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    similarity: float = 0.8,
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_dedup`` keeps.
+
+    Texts of rows that surely stay are not shuffled: a Bloom filter of the others tells them where
+    they lie.
+    """
+    print_ = F.xxhash64(named(text))
+    judged = near_dedup(
+        docs.select(named(key).alias("key"), named(text).alias("text"), print_.alias("print")),
+        "key",
+        "text",
+        width,
+        similarity,
+    )
+    gone = stage(
+        judged.where("not kept").select(F.col("key").alias("__key"), F.col("print").alias("__print")).distinct(),
+        "gone",
+    )
+    cells = stage(gone.select(F.xxhash64("__key", "__print").alias("cell")).distinct(), "cells")
+    hashed = docs.withColumn("__cell", F.xxhash64(named(key), print_))
+    tested = flagged(hashed, "__cell", cells, "__possible")
+    suspects = tested.where("__possible").join(
+        gone, named(key).eqNullSafe(F.col("__key")) & (print_ == F.col("__print")), "left_anti"
+    )
+    columns = [named(c) for c in docs.columns]
+    return tested.where("not __possible").select(*columns).unionByName(suspects.select(*columns))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from smelter.llm.bloom import flagged
 from smelter.llm.tables import apart, named, with_results
 from smelter.llm.words import SLICE, buffers, find_words, mix, shingles, slices
-from smelter.operators import stage
+from smelter.operators import scratch_until_done, stage
 
 #: Bytes of an n-gram, and buckets: the model is one number for each, whatever the corpus.
 GRAM = 4
@@ -194,12 +194,15 @@ def quality(
     """
     if buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two")
-    trusted = _rows_with_keys(docs.select(named(key).alias(key), named(text).alias(text)), target_keys, key)
-    target = stage(gram_counts(trusted, text, buckets), "target")
-    if target.isEmpty():
-        ratios = np.zeros(buckets, np.float32)
-    else:
-        ratios = log_ratios(target, stage(gram_counts(docs, text, buckets), "raw"), buckets)
+    with scratch_until_done(docs.sparkSession):
+        rows = docs.select(named(key).alias(key), named(text).alias(text))
+        trusted = _rows_with_keys(rows, target_keys, key)
+        target = stage(gram_counts(trusted, text, buckets), "target")
+        if target.isEmpty():
+            ratios = np.zeros(buckets, np.float32)
+        else:
+            raw = stage(gram_counts(docs, text, buckets), "raw")
+            ratios = log_ratios(target, raw, buckets)
     found = docs.withColumn("__found", _scorer(docs.sparkSession, ratios)(named(text)))
     part = lambda name: F.col(f"__found.{name}")
     failed = base_failed(part("n_words"), part("n_repeat_words"))

@@ -1,13 +1,13 @@
 """Toxicity by weak supervision.
 
-Voters are terms (words, and stems of 4 to 6 bytes) that are much commoner in texts labelled toxic, and patterns of
-writing. A generative label model estimates, by expectation maximisation, how often each voter fires on toxic and on
-clean texts, how correlated voters of one class are, and how reliable the given labels are; voters that say the
-same thing share one vote. Its posterior labels train a logistic regression over the presence of terms and patterns, which
-scores every whole text.
-
-The model is fitted on bounded samples of rows (MOST_LABELLED, MOST_UNLABELLED), chosen by a hash of their key; scoring covers
-all rows. Rows that are held out are never sampled.
+Voters are terms (words, and stems of 4 to 6 bytes) that are much commoner in texts labelled toxic,
+and patterns of writing. A generative label model estimates, by expectation maximisation, how often
+each voter fires on toxic and on clean texts, how correlated voters of one class are, and how
+reliable the given labels are; voters that say the same thing share one vote. Its posterior labels
+train a logistic regression over the presence of terms and patterns, which scores every whole text.
+
+The model is fitted on bounded samples of rows (MOST_LABELLED, MOST_UNLABELLED), chosen by a hash of
+their key; scoring covers all rows. Rows that are held out are never sampled.
 """
 
 from __future__ import annotations
@@ -26,11 +26,12 @@ from pyspark.sql import types as T
 
 from smelter.llm.tables import apart, named, with_results
 from smelter.llm.words import Words, find_words, mix, slices
-from smelter.operators import stage
+from smelter.operators import scratch_until_done, stage
 
 #: Rows that the model is fitted on at most, with and without a label.
-MOST_LABELLED, MOST_UNLABELLED = 40_000, 5_000
-#: Toxic texts in which a term must occur; terms looked at, used by the classifier, and made voters at most.
+MOST_LABELLED, MOST_UNLABELLED = 30_000, 5_000
+#: Toxic texts in which a term must occur; terms looked at, used by the classifier, and made voters
+#: at most.
 LEAST_SUPPORT, MOST_CANDIDATES, MOST_FEATURES, MOST_VOTERS = 5, 200_000, 4_000, 256
 #: Share of toxic texts among those with a term, as a lower bound, that makes it a feature.
 LEAST_PRECISION = 0.5
@@ -147,7 +148,9 @@ class Vocabulary:
 
 @dataclass
 class LabelModel:
-    """A generative model of votes: rates of firing by class, redundancy, and the label's reliability."""
+    """A generative model of votes: rates of firing by class, redundancy, and the label's
+    reliability.
+    """
 
     prior: float
     rates: np.ndarray  # by class (clean, toxic) and voter
@@ -156,12 +159,15 @@ class LabelModel:
     silences: np.ndarray  # by class, how often no telling voter fires
 
     @staticmethod
-    def _redundancy(votes: np.ndarray, posterior: np.ndarray, rates: np.ndarray) -> np.ndarray:
-        """1 / (1 + sum of the correlations of SAME or more with other voters within the classes)."""
+    def _redundancy(votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
+        """1 / (1 + sum of the correlations of SAME or more with other voters within the classes).
+        """
         total = np.zeros((votes.shape[1], votes.shape[1]))
-        for c, weight in enumerate((1 - posterior, posterior)):
-            centred = votes - rates[c]
-            covariance = (centred * weight[:, None]).T @ centred / max(weight.sum(), 1e-9)
+        for weight in (1 - posterior, posterior):
+            weighted = votes * weight[:, None].astype(np.float32)
+            size = max(weight.sum(), 1e-9)
+            mean = weighted.sum(axis=0) / size
+            covariance = weighted.T @ votes / size - np.outer(mean, mean)
             deviation = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
             correlation = np.clip(covariance / np.outer(deviation, deviation), 0, 1)
             total = np.maximum(total, np.where(correlation >= SAME, correlation, 0))
@@ -170,8 +176,9 @@ class LabelModel:
 
     @classmethod
     def fit(cls, votes: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> tuple[LabelModel, np.ndarray]:
-        """From votes (texts x voters, 0 or 1) and labels (1, 0, or -1 for none); also the posterior labels."""
-        votes = votes.astype(np.float32)
+        """From votes (texts x voters, 0 or 1) and labels (1, 0, or -1 for none); also the posterior
+        labels.
+        """
         known = labels >= 0
         base = labels[known].mean() if known.any() else 0.0
         posterior = np.where(known, np.where(labels == 1, 0.98, 0.02), base).astype(np.float64)
@@ -186,14 +193,15 @@ class LabelModel:
             label_rates = (toxic + np.array([5.0, 95.0])) / (of_known + 100)
             silent = votes[:, rates[1] > TELLING * rates[0]].sum(axis=1) == 0
             silences = (weights @ silent + 0.5) / (size + 1)
-            shares = cls._redundancy(votes, posterior, rates)
+            shares = cls._redundancy(votes, posterior)
             model = cls(float(prior), rates, shares, label_rates, silences)
             posterior = model.posterior(votes, labels)
         return model, posterior
 
     def posterior(self, votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        """Probability of toxic. A voter that does not fire abstains; only the silence of all telling
-        ones speaks, once, as they are not independent."""
+        """Probability of toxic. A voter that does not fire abstains; only the silence of all
+        telling ones speaks, once, as they are not independent.
+        """
         fired = np.log(self.rates[1] / self.rates[0])
         odds = math.log(self.prior / (1 - self.prior)) + votes @ (fired * self.shares)
         silent = votes[:, self.rates[1] > TELLING * self.rates[0]].sum(axis=1) == 0
@@ -294,21 +302,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label_key: str,
         base = vectors.agg(F.avg("label")).first()[0] or 0.0
         return Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), _log_odds(base))
 
-    # Terms get new numbers: their rank among the useful ones.
-    rank = F.broadcast(spark.createDataFrame([(int(t), i) for i, t in enumerate(features)], "term int, rank int"))
-    numbered = vectors.withColumn("row", F.monotonically_increasing_id())
-    kept = (
-        numbered.select("row", F.explode("terms").alias("term")).join(rank, "term")
-        .groupBy("row").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
-    )
-    sparse = stage(
-        numbered.join(kept, "row", "left").select("label", F.coalesce("ranks", F.expr("cast(array() as array<int>)")).alias("ranks")),
-        "sparse",
+    vocabulary = Vocabulary(candidates.terms[features])
+    voters = np.searchsorted(vocabulary.terms, candidates.terms[features[:MOST_VOTERS]])
+    # At most MOST_LABELLED + MOST_UNLABELLED rows of a few numbers.
+    rows = _vectors(spark, sample, vocabulary).collect()
+    labels = np.array([-1 if row.label is None else row.label for row in rows])
+    _, posterior = LabelModel.fit(_votes(rows, voters, len(vocabulary)), labels)
+    weights, bias = _regression(
+        spark, [(row.terms, float(p)) for row, p in zip(rows, posterior)], len(vocabulary)
     )
-    posterior = _posteriors(sparse, min(MOST_VOTERS, len(features)))
-    weights, bias = _regression(spark, posterior, len(features))
-    order = np.argsort(candidates.terms[features])
-    return Model(Vocabulary(candidates.terms[features]), weights[order], bias)
+    return Model(vocabulary, weights, bias)
 
 
 def _log_odds(share: float) -> float:
@@ -316,18 +319,20 @@ def _log_odds(share: float) -> float:
     return math.log(share / (1 - share))
 
 
-def _posteriors(sparse: DataFrame, voters: int) -> list[tuple[list[int], float]]:
-    """(ranks, posterior label) of the sampled texts."""
-    rows = sparse.collect()  # at most MOST_LABELLED + MOST_UNLABELLED rows of a few numbers
-    votes = np.zeros((len(rows), voters), np.float32)
+def _votes(rows: list, voters: np.ndarray, size: int) -> np.ndarray:
+    """Which voters fire on each text."""
+    column = np.full(size, -1)
+    column[voters] = np.arange(len(voters))
+    votes = np.zeros((len(rows), len(voters)), np.float32)
     for i, row in enumerate(rows):
-        votes[i, [r for r in row.ranks if r < voters]] = 1
-    labels = np.array([-1 if row.label is None else row.label for row in rows])
-    _, posterior = LabelModel.fit(votes, labels)
-    return [(row.ranks, float(p)) for row, p in zip(rows, posterior)]
+        own = column[row.terms]
+        votes[i, own[own >= 0]] = 1
+    return votes
 
 
-def _regression(spark: SparkSession, texts: list[tuple[list[int], float]], size: int) -> tuple[np.ndarray, float]:
+def _regression(
+    spark: SparkSession, texts: list[tuple[list[int], float]], size: int
+) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels: each text counts for both classes, by its posterior.
 
     Equal texts count once, with the sum of their weights.
@@ -390,11 +395,14 @@ def toxicity(
 ) -> DataFrame:
     """``docs`` with ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from THRESHOLD on).
 
-    Only labels of rows that are not held out are learnt from; nothing but the text is an input of a score.
+    Only labels of rows that are not held out are learnt from; nothing but the text is an input of a
+    score.
 
-    Defined cases: a null or empty text scores by the bias alone and its few words; labels other than 0 and 1, and those
-    of null keys, are ignored; of several labels of a key the largest holds; without labels, or with one
-    class only, every score is the share of that class (at least 0.0001); an empty table gives an empty result; input
-    columns named like a result are replaced.
+    Defined cases: a null or empty text scores by the bias alone and its few words; labels other
+    than 0 and 1, and those of null keys, are ignored; of several labels of a key the largest holds;
+    without labels, or with one class only, every score is the share of that class (at least
+    0.0001); an empty table gives an empty result; input columns named like a result are replaced.
     """
-    return score_texts(docs, fit(docs, labels, key, text, label_key, label), key, text)
+    with scratch_until_done(docs.sparkSession):
+        model = fit(docs, labels, key, text, label_key, label)
+    return score_texts(docs, model, key, text)
