@@ -523,9 +523,9 @@ def drop_near_copies(
     Texts of rows that surely stay are not shuffled: a Bloom filter of the others tells them where
     they lie.
     """
-    print_ = F.xxhash64(named(text))
+    content = F.xxhash64(named(text))
     judged = near_dedup(
-        docs.select(named(key).alias("key"), named(text).alias("text"), print_.alias("print")),
+        docs.select(named(key).alias("key"), named(text).alias("text"), content.alias("print")),
         "key",
         "text",
         width,
@@ -536,10 +536,10 @@ def drop_near_copies(
         "gone",
     )
     cells = stage(gone.select(F.xxhash64("__key", "__print").alias("cell")).distinct(), "cells")
-    hashed = docs.withColumn("__cell", F.xxhash64(named(key), print_))
+    hashed = docs.withColumn("__cell", F.xxhash64(named(key), content))
     tested = flagged(hashed, "__cell", cells, "__possible")
     suspects = tested.where("__possible").join(
-        gone, named(key).eqNullSafe(F.col("__key")) & (print_ == F.col("__print")), "left_anti"
+        gone, named(key).eqNullSafe(F.col("__key")) & (content == F.col("__print")), "left_anti"
     )
     columns = [named(c) for c in docs.columns]
     return tested.where("not __possible").select(*columns).unionByName(suspects.select(*columns))
