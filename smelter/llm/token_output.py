@@ -2,17 +2,18 @@
 
 A shard holds documents in ascending order of their key. Its parts:
 
-- independent zstandard frames, each with the ids of whole documents as little-endian unsigned 32-bit
-  integers and with its own content checksum;
+- independent zstandard frames, each with the ids of whole documents as little-endian unsigned
+  32-bit integers and with its own content checksum;
 - a frame with the shard's index, an Arrow stream of (key, frame, offset, n_tokens);
 - a skippable frame with the seek table of the public seekable format: compressed and raw size of
-  each frame and the low half of the XXH64 of its content, then the number of frames, a flag byte and the
-  magic number.
+  each frame and the low half of the XXH64 of its content, then the number of frames, a flag byte
+  and the magic number.
 
-A reader takes the footer, the seek table and the index, and then only the frames of the documents it wants.
+A reader takes the footer, the seek table and the index, and then only the frames of the documents
+it wants.
 
-Tasks write under names of their own and report them in a manifest that Spark commits: a task that is lost or runs
-twice leaves a file that no manifest names.
+Tasks write under names of their own and report them in a manifest that Spark commits: a task that
+is lost or runs twice leaves a file that no manifest names.
 """
 
 from __future__ import annotations
@@ -38,9 +39,11 @@ from smelter.llm.tables import apart, named
 
 #: Raw bytes after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 1 << 18
-LEVEL = 3
-#: Words of which a process remembers the ids.
-CACHED_WORDS = 600_000
+LEVEL = 1
+#: Words of which a process remembers the ids; with more, it starts anew.
+CACHED_WORDS = 1_600_000
+#: New words that are encoded as one text.
+JOINED_WORDS = 1_000
 
 # The public seekable format.
 _SKIPPABLE, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -56,33 +59,89 @@ _SPACES = re.compile(r"\s | \s")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
+def _plain(text: str) -> bool:
+    """Whether each space of a text stands between two characters that are no white space."""
+    if "  " in text or "\n " in text or " \n" in text or any(c in text for c in "\t\r\v\f"):
+        return False
+    return text.isascii() or not _SPACES.search(text)
+
+
 class Encoder:
-    """The ids of texts by the tokenizers library, which sees each distinct word once.
+    """The ids of texts by the tokenizers library, which sees a distinct word once.
 
-    Texts are cut before single spaces, where the byte-level pre-tokenizer always cuts, so the ids of the
-    parts are those of the text.
+    Texts are cut before single spaces, where the byte-level pre-tokenizer always cuts, so the ids
+    of the words are those of the text. For the same reason new words are encoded many at a time, as
+    one text, and their ids told apart by the bytes that each id stands for.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def parts(self, text: str) -> list[str]:
-        if _SPACES.search(text):
-            return _BEFORE_SPACE.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]]
+        self.known: dict[str, bytes] = {}  # ids of a space and the word
+        # A byte-level token is written with one character for each byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.size[number] = len(token)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4") for x in found]
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Words without white space at their ends, each to be encoded behind a space."""
+        known, ends, new = self.known, {}, set()
+        for word in words:
+            if word[-1] in ".,":
+                # A letter ends its pre-token before a stop or comma, and these end at the next
+                # space.
+                bare = word.rstrip(".,")
+                if bare and bare[-1].isalpha():
+                    ends[word] = bare
+                    if bare not in known:
+                        new.add(bare)
+                    continue
+            new.add(word)
+        new = list(new)
+        runs = [new[at : at + JOINED_WORDS] for at in range(0, len(new), JOINED_WORDS)]
+        for run, ids in zip(runs, self._whole([" " + " ".join(run) for run in runs])):
+            sizes = [1 + (len(w) if w.isascii() else len(w.encode())) for w in run]
+            bytes_to, reached = np.cumsum(sizes), np.cumsum(self.size[ids])
+            at = np.searchsorted(reached, bytes_to)
+            if at[-1] >= len(ids) or (reached[at] != bytes_to).any():
+                raise ValueError("this tokenizer does not cut before spaces")
+            raw, bounds = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+            known.update((w, raw[a:b]) for w, a, b in zip(run, bounds, bounds[1:]))
+        marks = list({word[len(bare) :] for word, bare in ends.items()})
+        of_marks = {mark: ids.tobytes() for mark, ids in zip(marks, self._whole(marks))}
+        known.update((word, known[bare] + of_marks[word[len(bare) :]]) for word, bare in ends.items())
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        parts = [self.parts(text) for text in texts]
-        new = list(set().union(*parts) - self.known.keys())
+        words: dict[int, list[str]] = {}
+        others: list[tuple[int, str]] = []  # what is encoded whole
+        for i, text in enumerate(texts):
+            if _plain(text):
+                first, *words[i] = text.split(" ")
+                if words[i] and (not words[i][-1] or words[i][-1][-1].isspace()):
+                    first, words[i] = text, []
+                others.append((i, first))
+            else:
+                others.extend((i, part) for part in _BEFORE_SPACE.split(text))
+        wanted = set().union(*words.values())
+        new = wanted.difference(self.known)
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known.clear()
-            new = list(set().union(*parts))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, own)) for own in parts]
+            new = wanted
+        if new:
+            self._learn(new)
+        out = [b""] * len(texts)
+        parts = [part for _, part in others]
+        found: dict[int, list[bytes]] = {}
+        for (i, _), ids in zip(others, self._whole(parts)):
+            found.setdefault(i, []).append(ids.tobytes())
+        for i, first in found.items():
+            out[i] = b"".join([*first, *map(self.known.__getitem__, words.get(i, ()))])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -161,8 +220,9 @@ class ShardReader:
         return raw
 
     def documents(self, keys: Iterable[int] | None = None) -> Iterator[tuple[int | None, bytes]]:
-        """(key, ids) in the shard's order: of all documents, or of those wanted, for which only their
-        frames are read."""
+        """(key, ids) in the shard's order: of all documents, or of those wanted, for which only
+        their frames are read.
+        """
         wanted = None if keys is None else set(keys)
         at, raw = -1, b""
         for batch in self.index.to_batches():
@@ -219,14 +279,16 @@ def write_tokens(
     end_id: int = 0,
     frame_bytes: int = FRAME_BYTES,
 ) -> DataFrame:
-    """Write the ids of ``docs`` in ascending order of ``key``; return the manifest, one row per shard.
+    """Write the ids of ``docs`` in ascending order of ``key``; return the manifest, one row per
+    shard.
 
-    ``folder`` is a path or URI that the driver and all executors reach; it must not exist yet. The manifest
-    (shard, file, documents, tokens, first_token) is kept there as Parquet, below ``manifest``.
-    ``tokenizer`` is the path of a tokenizers file that every executor can open.
+    ``folder`` is a path or URI that the driver and all executors reach, in a store that both Spark
+    and ``pyarrow.fs`` know; it must not exist yet. The manifest (shard, file, documents, tokens,
+    first_token) is kept there as Parquet, below ``manifest``. ``tokenizer`` is the path of a
+    tokenizers file that every executor can open.
 
-    Defined cases: null keys come first, equal keys in the order of their texts; a null text is empty, so it has the
-    end id only; an empty table gives no shard; other columns are not written.
+    Defined cases: null keys come first, equal keys in the order of their texts; a null text is
+    empty, so it has the end id only; an empty table gives no shard; other columns are not written.
     """
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     rows = apart(docs, key=key, text=text).select(F.col("key").cast("long"), "text")
@@ -274,8 +336,8 @@ def _shard_reader(folder: str, keys: list[int] | None):
 def read_tokens(spark: SparkSession, folder: str, key: str = "doc_id", keys: list[int] | None = None) -> DataFrame:
     """(key, start, ids) of the documents in ``folder``, or of those with the given keys.
 
-    ``start`` counts the ids of all documents before it. With ``keys``, shards give only the frames that
-    hold them.
+    ``start`` counts the ids of all documents before it. With ``keys``, shards give only the frames
+    that hold them.
     """
     manifest = spark.read.parquet(f"{folder}/manifest")
     rows = manifest.repartition("file").mapInArrow(
