@@ -16,6 +16,10 @@ from smelter.llm import bpe, line_dedup, minhash, mixing, toxicity
 from smelter.llm.tables import table, with_results
 from smelter.operators import stage
 
+#: A line on more than this share of a source's documents is boilerplate. Stricter than for pages:
+#: what goes here is gone before near copies are looked for.
+MOST_SHARE = 0.1
+
 #: A classifier and graph components cannot be stated in SQL; the tests hold the rows against brute
 #: force.
 ORACLE_SQL = None
@@ -33,7 +37,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Documents without the lines that are frequent within their source; ``n_chars`` is counted
     anew.
     """
-    cleaned = line_dedup.line_dedup(docs, "source")
+    cleaned = line_dedup.line_dedup(docs, "source", most_share=MOST_SHARE)
     length = F.length("text").cast("long")
     return with_results(cleaned, {"n_chars": length}).select(*docs.columns)
 

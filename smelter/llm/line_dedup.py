@@ -16,7 +16,7 @@ from smelter.llm.tables import named, with_results
 from smelter.operators import scratch_path, scratch_until_done, stage
 
 #: A line on more than this share of a host's pages is boilerplate.
-MOST_SHARE = 0.1
+MOST_SHARE = 0.02
 #: Hosts with fewer pages have no evidence: all their lines stay.
 LEAST_PAGES = 20
 #: A line on fewer pages than this is no boilerplate, whatever the share.

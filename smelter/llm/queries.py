@@ -105,7 +105,8 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         line_dedup.host_of(F.col("url")).alias("host"),
         line_dedup.html_lines(F.col("html")).alias("text"),
     )
-    return line_dedup.line_dedup(stage(pages, "pages"), "host")
+    # The values that OP3_SQL states.
+    return line_dedup.line_dedup(stage(pages, "pages"), "host", most_share=0.1)
 
 
 OP3_SQL = r"""

@@ -159,6 +159,12 @@ def test_a_page_that_was_copied_is_no_boilerplate(spark):
     assert got[0] == got[3] == "copied\ntwice" and got[1] == "own 1"
 
 
+def test_a_footer_on_a_few_pages_of_a_host_goes(spark):
+    rows = [(i, "h", f"own {i}\nfooter {i % 20}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, host string, text string")
+    assert {r.text for r in line_dedup.line_dedup(docs, "host").collect()} == {f"own {i}" for i in range(100)}
+
+
 def test_html_lines(spark):
     html = "<html><head><title>t</title></head><body><p>a<b>b</b></p>\n <br/>c <!-- x --><script>y</script> d</body>"
     frame = spark.createDataFrame([(html, "HTTP://Ex.org:80/a"), (None, None)], "html string, url string")
