@@ -17,8 +17,8 @@ from smelter.operators import scratch_path, scratch_until_done, stage
 
 #: A line on more than this share of a host's pages is boilerplate.
 MOST_SHARE = 0.02
-#: Hosts with fewer pages have no evidence: all their lines stay.
-LEAST_PAGES = 20
+#: Hosts with fewer pages keep all their lines. 1: hosts of every size are judged by their lines.
+LEAST_PAGES = 1
 #: A line on fewer pages than this is no boilerplate, whatever the share.
 LEAST_HITS = 3
 

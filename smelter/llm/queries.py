@@ -106,7 +106,7 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         line_dedup.html_lines(F.col("html")).alias("text"),
     )
     # The values that OP3_SQL states.
-    return line_dedup.line_dedup(stage(pages, "pages"), "host", most_share=0.1)
+    return line_dedup.line_dedup(stage(pages, "pages"), "host", most_share=0.1, least_pages=20)
 
 
 OP3_SQL = r"""

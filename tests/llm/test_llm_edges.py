@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing column names."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -165,6 +167,15 @@ def test_a_footer_on_a_few_pages_of_a_host_goes(spark):
     assert {r.text for r in line_dedup.line_dedup(docs, "host").collect()} == {f"own {i}" for i in range(100)}
 
 
+def test_small_hosts_are_judged_by_their_lines(spark):
+    sizes = {"nineteen": 19, "three": 3, "two": 2}
+    rows = [(h, f"own {i}\nfooter") for h, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "host string, text string")
+    got = Counter((r.host, "footer" in r.text) for r in line_dedup.line_dedup(docs, "host").collect())
+    # Two pages are less than LEAST_HITS.
+    assert got == {("nineteen", False): 19, ("three", False): 3, ("two", True): 2}
+
+
 def test_html_lines(spark):
     html = "<html><head><title>t</title></head><body><p>a<b>b</b></p>\n <br/>c <!-- x --><script>y</script> d</body>"
     frame = spark.createDataFrame([(html, "HTTP://Ex.org:80/a"), (None, None)], "html string, url string")
