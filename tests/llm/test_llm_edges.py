@@ -266,6 +266,47 @@ def test_sources_need_weights(spark, docs):
         mixing.mix(docs, wide).collect()
 
 
+def _mixed(spark, sizes, block_rows):
+    """The mix of so many rows per source, by proportional weights; its invariants are checked."""
+    rows = [(s * 10**6 + i, f"s{s}") for s, n in enumerate(sizes) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(docs, mixing.proportional_weights(docs), block_rows=block_rows, range_rows=500)
+    got = got.orderBy("position").collect()
+    assert sorted((r.doc_id, r.source) for r in got) == rows
+    assert len({r.position for r in got}) == len(rows)
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    owners = {r.slot: (r.source, r.block) for r in got}
+    assert len(owners) == len(set(owners.values())) == len({(r.source, r.block) for r in got})
+    return [owners[slot][0] for slot in sorted(owners)]
+
+
+def test_many_sources_keep_their_shares(spark):
+    """A hot source and 300 equal ones, by roots: 20 / (20 + 300 * 2) of the mix while all last."""
+    sources = _mixed(spark, [400] + [4] * 300, 1)
+    share = 20 / 620
+    # Both kinds run out in virtual time with their root: the small ones after 2 units, the other after 20.
+    for n in range(1, 1_200):
+        assert abs(sources[:n].count("s0") - share * n) < 3
+    assert sources[1_300:] == ["s0"] * 300
+
+
+def test_more_sources_than_a_schedule_holds(spark):
+    sources = _mixed(spark, [900] + [1] * (mixing.MOST_SOURCES + 200), 1)
+    assert abs(sources[:1_200].count("s0") - 1_200 * 30 / 1_230) < 3
+    whole = spark.createDataFrame([(f"s{i}", 1) for i in range(1_500)], "source string, weight int")
+    docs = spark.createDataFrame([(i, f"s{i % 1_500}") for i in range(3_000)], "doc_id long, source string")
+    got = mixing.mix(docs, whole, block_rows=1).orderBy("position").collect()
+    assert len({r.source for r in got[:1_500]}) == 1_500 and len(got) == 3_000
+
+
+def test_few_sources_of_different_sizes(spark):
+    """Shares are not rounded to hundredths: a source of 1 row and one of 10,000 share as 1 to 100."""
+    docs = spark.range(10_101).selectExpr("id as doc_id", "case when id = 0 then 'a' when id <= 100 then 'b' else 'c' end as source")
+    weights = {r.source: r.weight for r in mixing.proportional_weights(docs).collect()}
+    assert weights["b"] / weights["a"] == pytest.approx(10, rel=0.05)
+    assert weights["c"] / weights["a"] == pytest.approx(100, rel=0.05)
+
+
 def test_token_files(spark, docs):
     folder = scratch_path(spark, "tokens")
     token_output.write_tokens(docs, folder, frame_bytes=64)
