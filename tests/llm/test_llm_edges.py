@@ -307,6 +307,12 @@ def test_few_sources_of_different_sizes(spark):
     assert weights["c"] / weights["a"] == pytest.approx(100, rel=0.05)
 
 
+def test_the_fit_sees_forty_thousand_labels(spark):
+    docs = spark.range(70_000).selectExpr("id as key", "'t' as text")
+    labels = spark.range(70_000).selectExpr("id as key", "int(id % 2) as label")
+    assert toxicity._sample(docs, labels).where("label is not null").count() == 40_000
+
+
 def test_token_files(spark, docs):
     folder = scratch_path(spark, "tokens")
     token_output.write_tokens(docs, folder, frame_bytes=64)
