@@ -7,7 +7,8 @@ reliable the given labels are; voters that say the same thing share one vote. It
 train a logistic regression over the presence of terms and patterns, which scores every whole text.
 
 The model is fitted on bounded samples of rows (MOST_LABELLED, MOST_UNLABELLED), chosen by a hash of
-their key; scoring covers all rows. Rows that are held out are never sampled.
+their key; scoring covers all rows. Rows that are held out are never sampled. Rows of equal key and
+text are one document to learn from.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ from smelter.operators import scratch_until_done, stage
 
 #: Rows that the model is fitted on at most, with and without a label.
 MOST_LABELLED, MOST_UNLABELLED = 40_000, 5_000
+#: Different texts of one key among them at most.
+MOST_TEXTS = 16
 #: Toxic texts in which a term must occur; terms looked at, used by the classifier, and made voters
 #: at most.
 LEAST_SUPPORT, MOST_CANDIDATES, MOST_FEATURES, MOST_VOTERS = 5, 200_000, 4_000, 256
@@ -229,7 +232,9 @@ class Model:
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, label): the rows to learn from; the label is null where there is none.
 
-    The keys are bounded by their limits, so they are broadcast and texts are not shuffled.
+    The keys are bounded by their limits, so they are broadcast. Rows of equal key and text count
+    once, and if keys have several texts, the first of each key come before any second one: the
+    limits hold for rows too. Texts are shuffled only if a sampled one repeats.
     """
     order = F.xxhash64(F.lit("sample"), "key")
     given = (
@@ -246,7 +251,27 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .select("key", F.lit(None).cast("int").alias("label"))
     )
     keys = stage(known.unionByName(others).distinct(), "sample")
-    return docs.join(F.broadcast(keys), "key").select("text", "label")
+    marked = docs.withColumn("x", F.xxhash64("text")).withColumn("y", F.hash("text"))
+    found = (
+        docs.join(F.broadcast(keys), "key")
+        .groupBy("key", "label", F.xxhash64("text").alias("x"), F.hash("text").alias("y"))
+        .agg(F.count("*").alias("copies"))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("x", "y")))
+        .where(F.col("nth") <= MOST_TEXTS)
+    )
+    found = stage(found, "sample-keys")
+
+    def first(given: Column, most: int) -> DataFrame:
+        return found.where(given).orderBy("nth", order).limit(most)
+
+    chosen = first(F.col("label").isNotNull(), MOST_LABELLED).unionByName(
+        first(F.col("label").isNull(), MOST_UNLABELLED)
+    )
+    chosen = stage(chosen.select("key", "x", "y", "label", "copies"), "sample-rows")
+    rows = marked.join(F.broadcast(chosen.drop("copies")), ["key", "x", "y"])
+    if not chosen.where("copies > 1").isEmpty():
+        rows = rows.groupBy("key", "x", "y").agg(F.first("text").alias("text"), F.first("label").alias("label"))
+    return rows.select("text", "label")
 
 
 def _lower_bound(hits: Column, of: Column, z: float = 2.0) -> Column:

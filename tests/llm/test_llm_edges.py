@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing column names."""
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -313,6 +314,23 @@ def test_the_fit_sees_forty_thousand_labels(spark):
     assert toxicity._sample(docs, labels).where("label is not null").count() == 40_000
 
 
+def test_a_repeated_key_does_not_fill_the_sample(spark, monkeypatch):
+    """Copies of a row count once, and a key with many texts gives the rest no less room."""
+    monkeypatch.setattr(toxicity, "MOST_LABELLED", 40)
+    monkeypatch.setattr(toxicity, "MOST_UNLABELLED", 5)
+    keys = [k for k in range(100) if zlib.crc32(str(k).encode()) % 3 != 1][:40]
+    same, many = keys[:2]
+    rows = [(k, f"text {k}") for k in keys] + [(same, f"text {same}")] * 500 + [(many, f"other {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "key long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in keys], "key long, label int")
+    got = Counter(tuple(r) for r in toxicity._sample(docs, labels).collect())
+    assert len(got) == sum(got.values()) == 40
+    assert {(f"text {k}", k % 2) for k in keys if k != many} <= set(got)
+    fewer = labels.where(f"key in ({same}, {many})")
+    got = Counter(r.text for r in toxicity._sample(docs, fewer).where("label is not null").collect())
+    assert len(got) == sum(got.values()) == 1 + toxicity.MOST_TEXTS
+
+
 def test_token_files(spark, docs):
     folder = scratch_path(spark, "tokens")
     token_output.write_tokens(docs, folder, frame_bytes=64)
