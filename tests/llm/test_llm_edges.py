@@ -168,6 +168,19 @@ def test_a_footer_on_a_few_pages_of_a_host_goes(spark):
     assert {r.text for r in line_dedup.line_dedup(docs, "host").collect()} == {f"own {i}" for i in range(100)}
 
 
+def test_near_copies_above_the_ratio_lose_their_lines(spark):
+    """The gap that the README names: the near-duplicate stage finds nothing to compare."""
+    lines = [f"line {i} of one text with words {i * 7} {i * 11}" for i in range(20)]
+    copies = ["\n".join(lines[:i] + lines[i + 1 :]) for i in range(6)]
+    rows = [(i, "s", t) for i, t in enumerate(copies + [f"own text number {i}" for i in range(40)])]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    near = {r.doc_id for r in minhash.drop_near_copies(docs, width=5, similarity=0.8).collect()}
+    assert near & set(range(6)) == {0}
+    cut = line_dedup.line_dedup(docs, "source", most_share=0.1, least_pages=20).select("doc_id", "source", "text")
+    kept = {r.doc_id: r.text for r in minhash.drop_near_copies(cut, width=5, similarity=0.8).collect()}
+    assert [kept[i] for i in range(6)] == [""] * 6
+
+
 def test_small_hosts_are_judged_by_their_lines(spark):
     sizes = {"nineteen": 19, "three": 3, "two": 2}
     rows = [(h, f"own {i}\nfooter") for h, n in sizes.items() for i in range(n)]
