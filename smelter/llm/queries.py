@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from smelter.llm import (
     bpe,
     chat_format,
+    contamination,
     exact_dedup,
     line_dedup,
     minhash,
     mixing,
     quality,
+    runs,
     token_counts,
     token_output,
     toxicity,
+    whitening,
 )
 from smelter.llm.tables import table
 from smelter.operators import scratch_path, stage
@@ -206,6 +209,98 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.suffix_sums(stage(token_counts.length_histogram(lengths), "lengths"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document, by crc32 of its id, is made periodic from some word on.
+    """
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    marked = docs.withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    sized = marked.withColumn("a", F.when(n > 0, (g % n).cast("int")))
+    sized = sized.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    own, a, p = F.col("words"), F.col("a"), F.col("p")
+    tail = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(own, a + i % p))
+    planted = F.array_join(F.concat(F.slice(own, F.lit(1), a), tail), " ")
+    return sized.select("doc_id", F.when(a.isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = planted_periods(table(spark, folder, "documents"))
+    found = runs.periodic_runs(docs)
+
+    def denser(best, run):
+        return F.when(
+            best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run
+        ).otherwise(best)
+
+    kind = "struct<start: bigint, length: bigint, period: bigint>"
+    best = F.aggregate("runs", F.lit(None).cast(kind), denser)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return contamination.contamination(docs, table(spark, folder, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP13_SQL = r"""
+with texts as (
+    select row_number() over () as id, doc_id,
+           list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as words
+    from documents
+), items as (
+    select coalesce(cast(item_id as varchar), '') as item,
+           list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as words
+    from benchmark
+), starts as (
+    select item, words, least(len(words), 10) as size, unnest(range(greatest(len(words) - 9, 1))) as pos
+    from items where len(words) > 0
+), windows as (
+    select distinct item, size, array_to_string(words[pos + 1 : pos + size], ' ') as span from starts
+), places as (
+    select id, size, words, unnest(range(greatest(len(words) - size + 1, 0))) as pos
+    from texts, (select distinct size from windows)
+), hits as (
+    select id, pos, size, item
+    from (select id, pos, size, array_to_string(words[pos + 1 : pos + size], ' ') as span from places)
+    join windows using (size, span)
+), covered as (
+    select id, count(distinct word) as n_hit
+    from (select id, unnest(range(pos, pos + size)) as word from (select distinct id, pos, size from hits))
+    group by id
+), held as (
+    select id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+    from (select distinct id, item from hits) group by id
+)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+       coalesce(n_items, 0) as n_items, sha256(coalesce(listed, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from texts left join covered using (id) left join held using (id)"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -219,10 +314,14 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_token_output,
         op10_token_counts,
+        op11_whitening,
+        op12_runs,
+        op13_contamination,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
     "op6_exact_dedup": OP6_SQL,
+    "op13_contamination": OP13_SQL,
 }
