@@ -88,3 +88,46 @@ def schedule(weights, periods=1):
         taken[i] += 1
         out.append(i)
     return out
+
+
+def runs(symbols, least_length, least_periods):
+    """(start, length, period) of all runs, by trying every period."""
+    n, stretches = len(symbols), {}
+    for q in range(1, n // 2 + 1):
+        start = None
+        for i in range(n - q + 1):
+            same = i + q < n and symbols[i] == symbols[i + q]
+            if same and start is None:
+                start = i
+            elif not same and start is not None:
+                # Of stretches with the same ends, the first period found is the smallest.
+                stretches.setdefault((start, i + q - start), q)
+                start = None
+    long = [(s, m, q) for (s, m), q in stretches.items() if m >= max(least_length, least_periods * q)]
+    return sorted(long, key=lambda r: (r[0], r[2]))
+
+
+CONTAMINATION_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(texts, items, window):
+    """For each text: words, words inside a window of an item, and the items found."""
+    words = lambda text: CONTAMINATION_WORDS.findall((text or "").translate(LOWER))
+    holders = defaultdict(set)
+    for item, text in items:
+        own = words(text)
+        for i in range(max(1, len(own) - window + 1)):
+            if own:
+                holders[tuple(own[i : i + window])].add(item)
+    sizes = {len(w) for w in holders}
+    out = []
+    for text in texts:
+        own, hit, found = words(text), set(), set()
+        for size in sizes:
+            for i in range(len(own) - size + 1):
+                got = holders.get(tuple(own[i : i + size]))
+                if got:
+                    hit.update(range(i, i + size))
+                    found |= got
+        out.append((len(own), len(hit), sorted(found)))
+    return out

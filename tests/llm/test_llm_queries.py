@@ -43,7 +43,7 @@ def results(spark, folder):
 
 def test_every_number_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "near_dedup", "mixing", "bpe"

@@ -1,0 +1,116 @@
+"""Lyndon arrays, runs and collapsed texts against plain versions."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+import plain
+from smelter.llm import runs
+from smelter.llm.queries import QUERIES
+
+LARGE = "word after word until the end of it all and then " * 100_000
+
+
+def lyndon(symbols):
+    """Longest Lyndon prefix of each suffix, by Duval's scan."""
+    out = []
+    for i in range(len(symbols)):
+        j, k = i + 1, i
+        while j < len(symbols) and symbols[k] <= symbols[j]:
+            k = i if symbols[k] < symbols[j] else k + 1
+            j += 1
+        out.append(j - k)
+    return out
+
+
+def sequences(n, seed=5):
+    rng = random.Random(seed)
+    for t in range(n):
+        size, letters = rng.randint(0, 45), rng.choice([1, 2, 3, 6])
+        own = [rng.randrange(letters) for _ in range(size)]
+        if t % 3 == 0 and size > 3:
+            p = rng.randint(1, size // 3 + 1)
+            own = (own[:p] * size)[:size]
+            own[rng.randrange(size)] = 1
+        yield own
+
+
+def test_lyndon_arrays():
+    for own in sequences(600):
+        assert runs.lyndon_array(np.array(own, np.int32)).tolist() == lyndon(own)
+
+
+@pytest.mark.parametrize("least", [(2, 2), (3, 2), (6, 3), (12, 4)])
+def test_all_runs_of_short_sequences(least):
+    for own in sequences(400):
+        symbols = np.array(own, np.int32)
+        want = plain.runs(own, *least)
+        assert [tuple(r) for r in runs.find_runs(symbols, *least).tolist()] == want
+        assert [tuple(r) for r in runs.runs_of_text(symbols, *least).tolist()] == want
+
+
+def test_colliding_hashes_change_nothing(monkeypatch):
+    """Extensions that hold everything for equal still give the true runs."""
+    monkeypatch.setattr(runs.Extensions, "same", lambda self, a, b, length: np.ones(len(a), bool))
+    for own in sequences(150):
+        found = runs.find_runs(np.array(own, np.int32), 6, 3)
+        assert [tuple(r) for r in found.tolist()] == plain.runs(own, 6, 3)
+
+
+def test_one_period_is_no_run():
+    with pytest.raises(ValueError):
+        runs.find_runs(np.zeros(9, np.int32), 3, 1)
+
+
+def test_words_are_numbered_in_parts(monkeypatch):
+    monkeypatch.setattr(runs, "_PIECE", 7)
+    text = "eins zwei\tdrei\x0bzwei x \n eins".encode()
+    numbers, words = runs.number_words(text)
+    assert [words[i] for i in numbers] == text.split()
+    assert numbers.tolist() == [0, 1, 2, 3, 0]
+
+
+def test_defined_cases(spark):
+    texts = [None, "", " \n ", "a b c", "x " * 30, "a b c " * 8 + "d", LARGE, "a b c " * 8 + "d"]
+    rows = [(i, t, "clash", "clash") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, RUNS string, collapsed string")
+    got = {r.doc_id: r for r in runs.periodic_runs(docs).collect()}
+    assert [got[i].n_words for i in range(4)] == [0, 0, 0, 3]
+    assert all(got[i].runs == [] for i in range(4)) and got[0].collapsed == "" == got[2].collapsed
+    assert [tuple(r) for r in got[4].runs] == [(0, 30, 1)] and got[4].collapsed == "x"
+    assert [tuple(r) for r in got[5].runs] == [(0, 24, 3)] and got[5].collapsed == "a b c d"
+    assert [tuple(r) for r in got[6].runs] == [(0, 1_100_000, 11)]
+    assert got[6].collapsed == "word after word until the end of it all and then"
+    assert got[7].runs == got[5].runs
+    assert runs.periodic_runs(docs.limit(0)).collect() == []
+
+
+def test_query(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in QUERIES["op12_runs"](spark, folder).collect()}
+    assert len(got) == len(docs)
+    some = 0
+    for doc_id, text in docs:
+        words = plain.WORDS.findall(text or "")
+        h = zlib.crc32(str(doc_id).encode())
+        n, g = len(words), h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+        found = plain.runs(words, 24, 3)
+        gone = {i for s, n, q in found for i in range(s + q, s + n)}
+        row = got[doc_id]
+        assert row.n_runs == len(found)
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        assert row.runs_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        assert row.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+        best = min(found, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=(None, None, None))
+        assert (row.start, row.length, row.period) == best
+        assert row.exponent_milli == (1000 * best[1] // best[2] if found else None)
+        some += bool(found)
+    assert some > 5

@@ -1,0 +1,93 @@
+"""Exact scatter matrices, and whitened vectors against numpy."""
+
+import numpy as np
+import pytest
+
+from smelter.llm import whitening
+from smelter.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("span", [1, 2, 700, 2**20, 2**40, 2**62])
+def test_scatter_is_exact(span):
+    rng = np.random.default_rng(span % 97)
+    u = rng.integers(-span, span, (130, 5))
+    u[:, 2] = 7
+    exact = u.astype(object)
+    sums, products = whitening.scatter(u)
+    assert (sums == exact.sum(0)).all() and (products == np.triu(exact.T.dot(exact))).all()
+    parts = whitening.Sums(5)
+    for at in range(0, 130, 40):
+        parts.add(u[at : at + 40])
+    sums, products = parts.total()
+    assert (sums == exact.sum(0)).all() and (products == np.triu(exact.T.dot(exact))).all()
+
+
+def expected(vectors):
+    x = np.floor(1024 * np.array(vectors, np.float64)).astype(np.int64) + 100_000
+    n, sums = len(x), x.sum(0)
+    centred = x - sums / n
+    values, parts = np.linalg.eigh(centred.T @ centred / n)
+    return x, n, sums, centred, values[::-1], parts[:, ::-1]
+
+
+def compare(rows, vectors, ids, most=8):
+    x, n, sums, centred, values, parts = expected(vectors)
+    by = {}
+    for r in rows:
+        by.setdefault(r.vec_id, {})[r.component] = r
+    assert set(by) == set(ids)
+    size = min(most, x.shape[1])
+    got = np.array([[by[i][c + 1].whitened for c in range(size)] for i in ids])
+    want = centred @ parts[:, :size] / np.sqrt(values[:size])
+    want *= np.sign((want * got).sum(0))
+    assert np.allclose(got, want, atol=1e-9)
+    for i, own in zip(ids, x):
+        exact = sum((n * int(v) - int(s)) ** 2 for v, s in zip(own, sums))
+        assert all(r.deviation == exact and r.deviation_digits == str(exact) and r.n == n for r in by[i].values())
+    first = by[ids[0]]
+    assert np.allclose([first[c + 1].explained for c in range(size)], values[:size] / values.sum(), rtol=1e-9)
+    assert {r.identity_error for r in rows} == {first[1].identity_error} and first[1].identity_error < 1e-9
+
+
+def test_query(spark, folder):
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    rows = QUERIES["op11_whitening"](spark, folder).collect()
+    assert len(rows) == 8 * len(table)
+    compare(rows, [r.embedding for r in table], [r.vec_id for r in table])
+
+
+def test_defined_cases(spark):
+    rng = np.random.default_rng(2)
+    good = [[float(v) for v in row] for row in rng.normal(size=(40, 3))]
+    bad = [None, [], [1.0, None, 2.0], [1.0, float("nan"), 0.0], [float("inf"), 0.0, 0.0], [1.0, 2.0]]
+    rows = [(i, v, "clash") for i, v in enumerate(good + bad)]
+    table = spark.createDataFrame(rows, "vec_id int, embedding array<double>, whitened string").repartition(5)
+    found = whitening.whiten(table).collect()
+    compare(found, good, list(range(40)), 3)
+    assert len(found) == 120  # three dimensions have three components
+
+
+def test_no_variance_and_empty_tables(spark):
+    kind = "vec_id int, embedding array<float>"
+    constant = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [1.0, 2.0])], kind)
+    rows = whitening.whiten(constant).collect()
+    assert len(rows) == 6
+    assert all(r.whitened is None and r.explained is None and r.deviation == 0 for r in rows)
+    assert all(r.identity_error == 0 and r.n == 3 for r in rows)
+    line = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 1.0])], kind)
+    rows = {(r.vec_id, r.component): r for r in whitening.whiten(line).collect()}
+    assert abs(abs(rows[1, 1].whitened) - 1) < 1e-12 and rows[1, 2].whitened is None
+    assert rows[1, 1].identity_error < 1e-12
+    for table in (constant.limit(0), spark.createDataFrame([(1, None)], kind)):
+        empty = whitening.whiten(table)
+        assert empty.collect() == [] and empty.columns == whitening.whiten(line).columns
+
+
+def test_huge_entries_stay_exact(spark):
+    kind = "vec_id int, embedding array<double>"
+    table = spark.createDataFrame([(1, [1e300, 0.0]), (2, [-1e300, 1.0]), (3, [0.0, 2.0])], kind)
+    row = whitening.whiten(table).where("vec_id = 1 and component = 1").first()
+    x = [(2**62, 0), (-(2**62), 1024), (0, 2048)]
+    sums = [sum(v) for v in zip(*x)]
+    assert row.deviation is None
+    assert int(row.deviation_digits) == sum((3 * v - s) ** 2 for v, s in zip(x[0], sums))
