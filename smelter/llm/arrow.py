@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +12,23 @@ from pyspark.sql import functions as F
 from smelter.llm.words import slices
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        return  # not the GNU allocator
+
+
+def releasing(values: Iterator) -> Iterator:
+    """``values``; once they end, memory is released."""
+    try:
+        yield from values
+    finally:
+        release()
+
+
 def from_texts(compute: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[Column], Column]:
     """An Arrow function of one text column, called with a bounded number of bytes at a time.
 
@@ -19,8 +37,6 @@ def from_texts(compute: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[
 
     @F.arrow_udf(kind)
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for part in slices(column):
-                yield compute(part)
+        yield from releasing(compute(part) for column in columns for part in slices(column))
 
     return run

@@ -31,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.arrow import from_texts, release
 from smelter.llm.bloom import flagged
 from smelter.llm.components import components
 from smelter.llm.tables import apart, named, with_results
-from smelter.llm.words import Words, find_words, mix, shingles, slices
+from smelter.llm.words import buffers, distinct_hashes, find_words, is_long, mix, run_hashes, shingles, slices
 from smelter.operators import scratch_path, scratch_until_done, stage
 
 # Shape of a signature.
@@ -54,9 +55,13 @@ _BLOCK = 1024
 BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
 
 
-def _sets(words: Words, width: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingles of each text."""
-    hashes, bounds = shingles(words, width)
+def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each text; those of a long text come together from its parts.
+    """
+    if is_long(column):
+        yield distinct_hashes(run_hashes(buffers(column)[0], width))
+        return
+    hashes, bounds = shingles(find_words(column), width)
     for at, to in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         yield np.unique(hashes[at:to])
 
@@ -65,8 +70,11 @@ def _node(own: np.ndarray) -> bytes | None:
     """128 bits that stand for a set, null for the empty one."""
     if not len(own):
         return None
-    parts = [np.add.reduce(mix(own ^ seed), dtype=np.uint64) for seed in _NODE_SEEDS]
-    return np.array(parts, dtype="<u8").tobytes()
+    total = np.zeros(len(_NODE_SEEDS), dtype="<u8")
+    for at in range(0, len(own), 1 << 16):
+        part = own[at : at + (1 << 16)]
+        total += np.array([np.add.reduce(mix(part ^ seed), dtype=np.uint64) for seed in _NODE_SEEDS])
+    return total.tobytes()
 
 
 def _minima(own: np.ndarray) -> np.ndarray:
@@ -111,7 +119,7 @@ def _signature_columns(width: int):
             at = 0
             for part in slices(batch.column("text")):
                 sizes, nodes, minima = [], [], []
-                for own in _sets(find_words(part), width):
+                for own in _sets(part, width):
                     sizes.append(len(own))
                     nodes.append(_node(own))
                     minima.append(_minima(own))
@@ -125,6 +133,7 @@ def _signature_columns(width: int):
                 ]
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(columns, ["key", "n_shingles", "node", "planes", "bands"])
+        release()
 
     return run
 
@@ -132,19 +141,16 @@ def _signature_columns(width: int):
 def _node_of(width: int):
     """(n_shingles, node) of a text."""
 
-    @F.arrow_udf("struct<n_shingles: bigint, node: binary>")
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for part in slices(column):
-                sizes, nodes = [], []
-                for own in _sets(find_words(part), width):
-                    sizes.append(len(own))
-                    nodes.append(_node(own))
-                yield pa.StructArray.from_arrays(
-                    [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], ["n_shingles", "node"]
-                )
+    def compute(part: pa.Array) -> pa.Array:
+        sizes, nodes = [], []
+        for own in _sets(part, width):
+            sizes.append(len(own))
+            nodes.append(_node(own))
+        return pa.StructArray.from_arrays(
+            [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], ["n_shingles", "node"]
+        )
 
-    return run
+    return from_texts(compute, "struct<n_shingles: bigint, node: binary>")
 
 
 def _set_rows(width: int):
@@ -153,7 +159,7 @@ def _set_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column("text")):
-                sets = [own for own in _sets(find_words(part), width) if len(own)]
+                sets = [own for own in _sets(part, width) if len(own)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([_node(own) for own in sets], pa.binary()),
@@ -161,6 +167,7 @@ def _set_rows(width: int):
                     ],
                     ["node", "shingles"],
                 )
+        release()
 
     return run
 

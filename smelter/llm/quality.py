@@ -15,9 +15,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.arrow import from_texts, release
 from smelter.llm.bloom import flagged
 from smelter.llm.tables import apart, named, with_results
-from smelter.llm.words import SLICE, buffers, find_words, mix, shingles, slices
+from smelter.llm.words import (
+    SLICE,
+    buffers,
+    column_of,
+    find_words,
+    is_long,
+    line_hashes,
+    mix,
+    pieces,
+    run_hashes,
+    shingles,
+    slices,
+)
 from smelter.operators import scratch_until_done, stage
 
 #: Bytes of an n-gram, and buckets: the model is one number for each, whatever the corpus.
@@ -42,15 +55,25 @@ def _per_text(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
+_SPACES, _SYMBOLS = np.zeros(256, bool), np.zeros(256, bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_SYMBOLS[list(SYMBOLS.encode())] = True
+#: Cells in which the windows of a long text are counted at most; with more windows, more of them
+#: are counted again by their whole hash.
+_CELLS = 1 << 24
+
+
+def _word_chars(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is the first one of a code point in a word."""
+    return ((data & 0xC0) != 0x80) & ~_SPACES[data]
+
+
 def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     """What the rules look at, for each text."""
+    if is_long(column):
+        return _long_base_counts(buffers(column)[0])
     words = find_words(column, fold=False)
     n, counts = len(words), words.counts()
-    letter = (words.data & 0xC0) != 0x80  # first bytes of code points
-    spaces = np.zeros(256, bool)
-    spaces[[0x20, *range(0x09, 0x0E)]] = True
-    symbols = np.zeros(256, bool)
-    symbols[list(SYMBOLS.encode())] = True
 
     lines = find_words(column, fold=False, separators=(0x0A,))
     solid = np.searchsorted(words.start, lines.end) > np.searchsorted(words.start, lines.start)
@@ -72,13 +95,64 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     repeated = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
     return {
         "n_words": counts.astype(np.int64),
-        "word_chars": _per_text(letter & ~spaces[words.data], words.offsets),
-        "n_symbols": _per_text(symbols[words.data], words.offsets),
+        "word_chars": _per_text(_word_chars(words.data), words.offsets),
+        "n_symbols": _per_text(_SYMBOLS[words.data], words.offsets),
         "n_dup_lines": np.bincount(line_text, minlength=n) - distinct,
         "n_repeat_words": repeated[words.first[1:]] - repeated[words.first[:-1]],
     }
 
 
+def _long_base_counts(data: np.ndarray) -> dict[str, np.ndarray]:
+    """``base_counts`` of one text, piece by piece: 1 byte a word stays, and the hashes of what
+    repeats."""
+    chars = symbols = n_words = 0
+    for piece in pieces(data):
+        chars += int(_word_chars(piece).sum())
+        symbols += int(_SYMBOLS[piece].sum())
+        n_words += len(find_words(column_of(piece), fold=False).start)
+    lines = np.concatenate([np.zeros(0, np.uint64), *line_hashes(data)])
+    lines.sort()
+    counts = [n_words, chars, symbols, int((lines[1:] == lines[:-1]).sum()), _long_repeats(data, n_words)]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return {name: np.array([count], np.int64) for name, count in zip(names, counts)}
+
+
+def _long_repeats(data: np.ndarray, n_words: int) -> int:
+    """Words in windows that occur twice or more in one text.
+
+    Windows are first counted in cells by a few bits of their hash; only those in a cell that is
+    hit twice are told apart by their whole hash.
+    """
+    if n_words < WINDOW:
+        return 0
+    size = min(_CELLS, 1 << (4 * n_words - 1).bit_length())
+    seen, twice = np.zeros(size, bool), np.zeros(size, bool)
+    for hashes in run_hashes(data, WINDOW, fold=False):
+        cells = (hashes & np.uint64(size - 1)).astype(np.int64)
+        twice[cells[seen[cells]]] = True
+        cells.sort()
+        twice[cells[1:][cells[1:] == cells[:-1]]] = True
+        seen[cells] = True
+    del seen
+    values, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for hashes in run_hashes(data, WINDOW, fold=False):
+        own = hashes[twice[(hashes & np.uint64(size - 1)).astype(np.int64)]]
+        values, which = np.unique(np.concatenate([values, own]), return_inverse=True)
+        more = np.bincount(which[len(times) :], minlength=len(values))
+        more[which[: len(times)]] += times
+        times = more
+    often = values[times > 1]
+    covered = np.zeros(n_words, bool)
+    at = 0
+    for hashes in run_hashes(data, WINDOW, fold=False):
+        place = np.minimum(np.searchsorted(often, hashes), max(len(often) - 1, 0))
+        hit = np.flatnonzero(often[place] == hashes) + at if len(often) else np.zeros(0, np.int64)
+        for i in range(WINDOW):
+            covered[hit + i] = True
+        at += len(hashes)
+    return int(covered.sum())
+
+
 def _grams(data: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets of the n-grams that start at each byte but the last few."""
     if len(data) < GRAM:
@@ -107,6 +181,7 @@ def _gram_counts(buckets: int):
                     for own in _parts(data[at:to]):
                         np.add.at(total, _grams(own, buckets), 1)
         used = np.flatnonzero(total)
+        release()
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
 
     return run
@@ -145,13 +220,7 @@ def _scorer(spark, ratios: np.ndarray):
     """A function of a text: its base counts and mean log ratio."""
     model = spark.sparkContext.broadcast(ratios)  # one number per bucket
 
-    @F.arrow_udf(f"struct<{_BASE}, score: double>")
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for part in slices(column):
-                yield _scored(part, model.value)
-
-    return run
+    return from_texts(lambda part: _scored(part, model.value), f"struct<{_BASE}, score: double>")
 
 
 def _scored(column: pa.Array, ratios: np.ndarray) -> pa.Array:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.arrow import release
 from smelter.llm.tables import named, with_results
 from smelter.llm.words import buffers, mix
 
@@ -332,6 +333,7 @@ def _finder(least_length: int, least_periods: int):
                     rows, size = [], 0
             if rows:
                 yield _found(rows)
+        release()
 
     return run
 

@@ -25,8 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smelter.llm.arrow import from_texts, release
 from smelter.llm.tables import apart, named, with_results
-from smelter.llm.words import Words, find_words, mix, slices
+from smelter.llm.words import Words, buffers, column_of, distinct_hashes, find_words, is_long, mix, pieces, slices
 from smelter.operators import scratch_until_done, stage
 
 #: Rows that the model is fitted on at most, with and without a label.
@@ -64,7 +65,6 @@ def _patterns(column: pa.Array, words: Words) -> np.ndarray:
     """Which patterns each text shows."""
     data, offsets = words.data, words.offsets
     n = len(words)
-    size = np.diff(offsets)
 
     def some(marks: np.ndarray, width: int = 1) -> np.ndarray:
         # A mark at i covers bytes i to i + width - 1, all of which must lie in one text.
@@ -74,24 +74,56 @@ def _patterns(column: pa.Array, words: Words) -> np.ndarray:
         end = np.maximum(offsets[1:] - (width - 1), offsets[:-1])
         return sums[end] - sums[offsets[:-1]]
 
+    doubled, tripled = _marks(data)
+    counted = [
+        some(tripled, 3), some(doubled, 2),
+        some((data >= 65) & (data <= 90)), some(((data | 32) >= 97) & ((data | 32) <= 122)),
+        words.counts(), some((data >= 48) & (data <= 57)),
+    ]
+    return _shown(np.stack(counted, axis=1) if n else np.zeros((0, 6), np.int64))
+
+
+def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a symbol is followed by itself once, and twice."""
     symbol = np.isin(data, _SYMBOLS)
     doubled = symbol[1:] & (data[1:] == data[:-1]) if len(data) > 1 else np.zeros(0, bool)
     tripled = doubled[1:] & doubled[:-1] if len(data) > 2 else np.zeros(0, bool)
-    capitals = some((data >= 65) & (data <= 90))
-    letters = some(((data | 32) >= 97) & ((data | 32) <= 122))
-    digits = some((data >= 48) & (data <= 57))
-    out = np.zeros((n, len(PATTERNS)), bool)
-    out[:, 0] = some(tripled, 3) > 0
-    out[:, 1] = some(doubled, 2) > 0
-    out[:, 2] = 2 * capitals > np.maximum(letters, 1)
-    out[:, 3] = words.counts() < 10
-    out[:, 4] = digits > 0
-    out[size == 0, 3] = True
-    return out
+    return doubled, tripled
+
+
+def _shown(counted: np.ndarray) -> np.ndarray:
+    """Patterns from counts: tripled and doubled symbols, capitals, letters, words, digits."""
+    tripled, doubled, capitals, letters, n_words, digits = counted.T
+    few = n_words < 10
+    return np.stack([tripled > 0, doubled > 0, 2 * capitals > np.maximum(letters, 1), few, digits > 0], axis=1)
+
+
+def _long_pairs(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_pairs`` of one text, piece by piece; its patterns come last."""
+    counted = np.zeros((1, 6), np.int64)
+    at = 0
+    for piece in pieces(data, _MARKS):
+        words = find_words(column_of(piece), separators=_MARKS, prefixes=STEMS)
+        for values in (words.hash, *words.prefix.values()):
+            values = np.unique(values[values != 0])
+            yield np.zeros(len(values), np.int64), values
+        # Symbols that are repeated across the end of the piece count for it.
+        doubled, tripled = (marks[: len(piece)] for marks in _marks(data[at : at + len(piece) + 2]))
+        low = piece | 32
+        counted += [
+            tripled.sum(), doubled.sum(), ((piece >= 65) & (piece <= 90)).sum(), ((low >= 97) & (low <= 122)).sum(),
+            len(words.start), ((piece >= 48) & (piece <= 57)).sum(),
+        ]
+        at += len(piece)
+    which = np.flatnonzero(_shown(counted)[0])
+    yield np.zeros(len(which), np.int64), _PATTERN_HASHES[which]
 
 
 def _pairs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text, hash) of the terms and patterns of some texts, repeated ones included."""
+    if is_long(column):
+        yield from _long_pairs(buffers(column)[0])
+        return
     words = find_words(column, separators=_MARKS, prefixes=STEMS)
     text = words.text_of()
     yield text, words.hash
@@ -114,10 +146,14 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (text) to (term, n): in how many texts of a part each term occurs."""
     for batch in batches:
         for part in slices(batch.column("text")):
-            found = list(_pairs(part))
-            _, terms = _distinct(np.concatenate([t for t, _ in found]), np.concatenate([h for _, h in found]))
+            if is_long(part):
+                terms = distinct_hashes(values for _, values in _pairs(part))
+            else:
+                found = list(_pairs(part))
+                _, terms = _distinct(np.concatenate([t for t, _ in found]), np.concatenate([h for _, h in found]))
             terms, n = np.unique(terms, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n)], ["term", "n"])
+    release()
 
 
 class Vocabulary:
@@ -285,15 +321,12 @@ def _vectors(spark: SparkSession, sample: DataFrame, vocabulary: Vocabulary) ->
     """(label, terms): numbers of the terms that each sampled text has."""
     model = spark.sparkContext.broadcast(vocabulary)
 
-    @F.arrow_udf("array<int>")
-    def numbers(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for part in slices(column):
-                text, term = model.value.present(part)
-                bounds = np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32)
-                yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(term.astype(np.int32)))
+    def numbers(part: pa.Array) -> pa.Array:
+        text, term = model.value.present(part)
+        bounds = np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(term.astype(np.int32)))
 
-    return sample.select("label", numbers("text").alias("terms"))
+    return sample.select("label", from_texts(numbers, "array<int>")("text").alias("terms"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label_key: str, label: str) -> Model:
@@ -393,12 +426,7 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     """``docs`` with ``held_out``, ``score`` and ``predicted``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_FEATURES weights
 
-    @F.arrow_udf("double")
-    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for part in slices(column):
-                yield pa.array(shared.value.scores(part), pa.float64())
-
+    score = from_texts(lambda part: pa.array(shared.value.scores(part), pa.float64()), "double")
     scored = docs.withColumn("__score", score(named(text)))
     return with_results(
         scored,

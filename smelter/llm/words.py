@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-#: Bytes handled at once; the temporaries of a slice take some 40 times as much.
-SLICE = 1 << 20
+#: Bytes handled at once; the temporaries of a slice take some 75 times as much.
+SLICE = 1 << 18
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2^64
@@ -96,14 +96,100 @@ def slices(column: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
         at = to
 
 
+def is_long(column: pa.Array) -> bool:
+    """Whether a slice is one text of more bytes than are handled at once."""
+    return len(column) == 1 and len(buffers(column)[0]) > SLICE
+
+
+def column_of(data: np.ndarray) -> pa.Array:
+    """A column of one text, without a copy."""
+    offsets = pa.py_buffer(np.array([0, len(data)], np.int64))
+    return pa.LargeStringArray.from_buffers(1, offsets, pa.py_buffer(data))
+
+
+def pieces(data: np.ndarray, separators: tuple[int, ...] = SEPARATORS) -> Iterator[np.ndarray]:
+    """Parts of one text that end between words, of at most SLICE bytes or of one word."""
+    offsets = np.array([0, len(data)], np.int64)
+    breaks = np.zeros(256, bool)
+    breaks[list(separators)] = True
+    at = 0
+    while at < len(data):
+        to = min(at + SLICE, len(data))
+        if to < len(data):
+            to = _cut(data, offsets, breaks, at, to)
+        yield data[at:to]
+        at = to
+
+
+def run_hashes(data: np.ndarray, width: int, fold: bool = True) -> Iterator[np.ndarray]:
+    """Hashes of all runs of ``width`` words of one text, piece by piece; the last words of a piece
+    are carried to the next. They are those of ``shingles``."""
+    carried, full = np.zeros(0, np.uint64), False
+    for piece in pieces(data):
+        own = np.concatenate([carried, find_words(column_of(piece), fold).hash])
+        if len(own) >= width:
+            full = True
+            yield _run_hash(own, np.arange(len(own) - width + 1), width)
+        carried = own[max(0, len(own) - width + 1) :]
+    if not full and len(carried):
+        yield _run_hash(carried, np.zeros(1, np.int64), len(carried))
+
+
+def line_hashes(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the lines of one text that hold a word, piece by piece. A line may be longer than a
+    piece: its sum goes on with the next one."""
+    spaces = np.zeros(256, bool)
+    spaces[list(SEPARATORS)] = True
+    total, length, solid = 0, 0, False  # of the line that is open
+    powers, inverses = _powers(SLICE)
+    for at in range(0, len(data), SLICE):
+        piece = data[at : at + SLICE]
+        ends = np.flatnonzero(piece == 0x0A)
+        start, end = np.concatenate([[0], ends + 1]), np.concatenate([ends, [len(piece)]])
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_RANDOM_BYTES[piece] * powers[: len(piece)], out=sums[1:])
+        own = (sums[end] - sums[start]) * inverses[start]
+        sizes = (end - start).astype(np.uint64)
+        words = np.zeros(len(piece) + 1, np.int64)
+        np.cumsum(~spaces[piece], out=words[1:])
+        holds = words[end] > words[start]
+        factor = np.uint64(pow(_BASE, length, 1 << 64))
+        own[:1] = own[:1] * factor + np.uint64(total)
+        sizes[:1] += np.uint64(length)
+        holds[0] |= solid
+        total, length, solid = int(own[-1]), int(sizes[-1]), bool(holds[-1])
+        yield mix(own[:-1] + sizes[:-1])[holds[:-1]]
+    if solid:
+        yield mix(np.array([total], np.uint64) + np.uint64(length))
+
+
+def _run_hash(words: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+    total = np.full(len(first), width, np.uint64) * _STEP
+    for i in range(width):
+        total = mix(total ^ words[first + i])
+    return total
+
+
+def distinct_hashes(parts: Iterator[np.ndarray]) -> np.ndarray:
+    """The sorted distinct values of some arrays."""
+    found = [np.unique(part) for part in parts]
+    whole = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    found.clear()
+    whole.sort()
+    new = np.ones(len(whole), bool)
+    new[1:] = whole[1:] != whole[:-1]
+    return whole[new]
+
+
 def find_words(
     column: pa.Array,
     fold: bool = True,
     separators: tuple[int, ...] = SEPARATORS,
     prefixes: tuple[int, ...] = (),
 ) -> Words:
-    """The words of each text; ``fold`` hashes A-Z as a-z. Long texts are gone through in parts
-    that end between words."""
+    """The words of each text; ``fold`` hashes A-Z as a-z. Columns of more than a slice are gone
+    through in parts that end between words; the result holds some 25 bytes a word, so texts beyond
+    a slice (``is_long``) are better taken by ``pieces``."""
     data, offsets = buffers(column)
     breaks = np.zeros(256, bool)
     breaks[list(separators)] = True
@@ -161,7 +247,8 @@ def _part(data, offsets, breaks, base, fold, prefixes):
     after[-1] = False
     after[:-1] = word[1:]
     end = np.flatnonzero(word & (~after | text_start[1:])) + 1
-    powers, inverses = _powers(max(SLICE, 1 << (n - 1).bit_length()))
+    # Tables for one word of more than a slice are not kept.
+    powers, inverses = _powers(SLICE) if n <= SLICE else _powers.__wrapped__(n)
     sums = np.zeros(n + 1, np.uint64)
     letters = _RANDOM_BYTES[_FOLD[data] if fold else data]
     np.cumsum(letters * powers[:n], out=sums[1:])

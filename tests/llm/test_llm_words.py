@@ -1,15 +1,19 @@
 """Words, shingles and counts over the bytes of a batch, against plain Python."""
 
+import pathlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 import plain
-from smelter.llm import quality, words
+from smelter.llm import minhash, quality, toxicity, words
 from smelter.llm.components import components
 
+ROOT = pathlib.Path(__file__).resolve().parents[2]
 LETTERS = ["a", "B", "é", "日", " ", "  ", "\n", "\t", "\x0b", "\x00", ".", "#", "|", " ", "long" * 9]
 
 
@@ -74,6 +78,55 @@ def test_grams_of_parts(monkeypatch):
     assert parts.tolist() == whole.tolist()
 
 
+@pytest.mark.parametrize("size", [1, 5, 16, 40])
+def test_long_texts_piece_by_piece(monkeypatch, size):
+    """What is told of a text does not depend on the pieces it is gone through in."""
+    rows = [t for t in texts(size, 60) if t] + ["a b c d e f " * 9, "##!!!x" * 9, "x\n y \n\nx\nx", "\n\n", "A1" * 30]
+    for text in rows:
+        column = pa.array([text])
+        monkeypatch.setattr(words, "SLICE", 1 << 18)
+        terms = set(np.concatenate([h for _, h in toxicity._pairs(column)]).tolist())
+        sets = {w: next(minhash._sets(column, w)).tolist() for w in (1, 3, 5)}
+        monkeypatch.setattr(words, "SLICE", size)
+        assert words.is_long(column) == (len(text.encode()) > size)
+        found = quality.base_counts(column)
+        assert {name: int(values[0]) for name, values in found.items()} == plain.base_counts(text)
+        assert {w: next(minhash._sets(column, w)).tolist() for w in (1, 3, 5)} == sets
+        # A word of several pieces is one piece.
+        assert set(np.concatenate([h for _, h in toxicity._pairs(column)]).tolist()) - {0} == terms - {0}
+
+
+_PEAK = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from smelter.llm import minhash, quality, toxicity, words
+rng = np.random.default_rng(1)
+letters = rng.integers(97, 123, 8 << 20).astype(np.uint8)
+letters[rng.random(8 << 20) < 0.4] = 32
+letters[:: 1000] = 10
+column = pa.array([letters.tobytes().decode()])
+small = pa.array(["some words to load the code with " * 99] * 50)
+vocabulary = toxicity.Vocabulary(np.arange(4000, dtype=np.uint64))
+work = {
+    "op1": lambda c: (vocabulary.present(c), list(toxicity._term_counts(iter([pa.RecordBatch.from_arrays([c], ["text"])])))),
+    "op4": lambda c: quality._scored(c, np.zeros(1 << 18, np.float32)),
+    "op7": lambda c: list(minhash._signature_columns(3)(iter([pa.RecordBatch.from_arrays([c, c], ["key", "text"])]))),
+}[sys.argv[1]]
+work(small)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+work(column)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize("name", ["op1", "op4", "op7"])
+def test_memory_of_a_very_long_text(name):
+    """8 MB of short words take less than 150 MB."""
+    run = subprocess.run([sys.executable, "-c", _PEAK, name], capture_output=True, text=True, cwd=ROOT)
+    assert run.returncode == 0, run.stderr
+    assert int(run.stdout) < 150
+
+
 def test_components(spark):
     """Chains, stars and rings, with repeated links in both directions."""
     draw = random.Random(5)
