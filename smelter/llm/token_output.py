@@ -27,15 +27,17 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer  # noqa: F401
 
 from smelter.llm.tables import apart, named
+from smelter.llm.words import slices
 
 #: Raw bytes after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 1 << 18
@@ -44,6 +46,8 @@ LEVEL = 1
 CACHED_WORDS = 1_600_000
 #: New words that are encoded as one text.
 JOINED_WORDS = 1_000
+#: Bytes of texts whose words are looked up at once.
+BATCH_BYTES = 1 << 24
 
 # The public seekable format.
 _SKIPPABLE, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -55,15 +59,10 @@ INDEX = pa.schema(
 )
 
 # A space between two other characters begins a pre-token, so a text may be cut before it.
-_SPACES = re.compile(r"\s | \s")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-
-
-def _plain(text: str) -> bool:
-    """Whether each space of a text stands between two characters that are no white space."""
-    if "  " in text or "\n " in text or " \n" in text or any(c in text for c in "\t\r\v\f"):
-        return False
-    return text.isascii() or not _SPACES.search(text)
+# White space that is no single space between two other characters, as Python's \s sees it.
+_WHITE = r"\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ODD = f"[{_WHITE}] | [{_WHITE}]|[\\t\\r\\v\\f]|[{_WHITE}]$"
 
 
 class Encoder:
@@ -71,37 +70,68 @@ class Encoder:
 
     Texts are cut before single spaces, where the byte-level pre-tokenizer always cuts, so the ids
     of the words are those of the text. For the same reason new words are encoded many at a time, as
-    one text, and their ids told apart by the bytes that each id stands for.
+    one text, and their ids told apart by the bytes that each id stands for. The ids of all words
+    that are known lie in one array; those of a batch are gathered from it at once.
+
+    Special tokens are found in texts as the library's default call finds them.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[str, bytes] = {}  # ids of a space and the word
         # A byte-level token is written with one character for each byte.
         vocabulary = self.tokenizer.get_vocab()
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.size[number] = len(token)
+        self.wide = []  # special tokens that a cut before a space might change
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.size[number] = len(token.content.encode())
+            odd = token.lstrip or token.rstrip or token.single_word or token.normalized
+            if odd or any(c in " .," or c.isspace() for c in token.content):
+                self.wide.append(token.content)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # the number of a word, encoded behind a space
+        self.flat, self.bounds = np.zeros(1 << 12, "<u4"), np.zeros(1 << 10, np.int64)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4") for x in found]
 
+    def _add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Remember words whose ids follow each other, up to ``ends``."""
+        n, start = len(self.known), int(self.bounds[len(self.known)])
+        while len(self.flat) < start + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self.bounds) < n + 1 + len(words):
+            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+        self.flat[start : start + len(ids)] = ids
+        self.bounds[n + 1 : n + 1 + len(words)] = start + ends
+        self.known.update(zip(words, range(n, n + len(words))))
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after the other, and where those of each end."""
+        starts = self.bounds[numbers]
+        sizes = self.bounds[numbers + 1] - starts
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)], ends
+
     def _learn(self, words: Iterable[str]) -> None:
-        """Words without white space at their ends, each to be encoded behind a space."""
-        known, ends, new = self.known, {}, set()
+        """New words without white space at their ends, each to be encoded behind a space."""
+        ended, new = {}, {}
         for word in words:
-            if word[-1] in ".,":
+            if word[-1:] in (".", ","):
                 # A letter ends its pre-token before a stop or comma, and these end at the next
                 # space.
                 bare = word.rstrip(".,")
                 if bare and bare[-1].isalpha():
-                    ends[word] = bare
-                    if bare not in known:
-                        new.add(bare)
+                    ended[word] = bare
+                    if bare not in self.known:
+                        new[bare] = None
                     continue
-            new.add(word)
+            new[word] = None
         new = list(new)
         runs = [new[at : at + JOINED_WORDS] for at in range(0, len(new), JOINED_WORDS)]
         for run, ids in zip(runs, self._whole([" " + " ".join(run) for run in runs])):
@@ -110,37 +140,73 @@ class Encoder:
             at = np.searchsorted(reached, bytes_to)
             if at[-1] >= len(ids) or (reached[at] != bytes_to).any():
                 raise ValueError("this tokenizer does not cut before spaces")
-            raw, bounds = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
-            known.update((w, raw[a:b]) for w, a, b in zip(run, bounds, bounds[1:]))
-        marks = list({word[len(bare) :] for word, bare in ends.items()})
-        of_marks = {mark: ids.tobytes() for mark, ids in zip(marks, self._whole(marks))}
-        known.update((word, known[bare] + of_marks[word[len(bare) :]]) for word, bare in ends.items())
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        words: dict[int, list[str]] = {}
-        others: list[tuple[int, str]] = []  # what is encoded whole
-        for i, text in enumerate(texts):
-            if _plain(text):
-                first, *words[i] = text.split(" ")
-                if words[i] and (not words[i][-1] or words[i][-1][-1].isspace()):
-                    first, words[i] = text, []
-                others.append((i, first))
-            else:
-                others.extend((i, part) for part in _BEFORE_SPACE.split(text))
-        wanted = set().union(*words.values())
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = wanted
-        if new:
-            self._learn(new)
-        out = [b""] * len(texts)
-        parts = [part for _, part in others]
+            self._add(run, ids, at + 1)
+        marks = list({word[len(bare) :] for word, bare in ended.items()})
+        of_marks = dict(zip(marks, self._whole(marks)))
+        if ended:
+            bare, ends = self._gathered(np.array([self.known[b] for b in ended.values()], np.int64))
+            tails = [of_marks[word[len(b) :]] for word, b in ended.items()]
+            size = np.array([len(t) for t in tails])
+            at = np.repeat(ends, size)  # tails go in behind their words
+            self._add(list(ended), np.insert(bare, at, np.concatenate(tails)), ends + np.cumsum(size))
+
+    def _numbers(self, words: list[str], used: np.ndarray) -> np.ndarray:
+        """The numbers of the words that are used, which are learnt if they are new."""
+        found = np.array([self.known.get(word, -1) for word in words], np.int64)
+        new = np.flatnonzero(used & (found < 0))
+        if len(new):
+            if len(self.known) + 2 * len(new) > CACHED_WORDS:
+                self._forget()
+                new = np.flatnonzero(used)
+            fresh = [words[i] for i in new.tolist()]
+            self._learn(fresh)
+            found[new] = [self.known[word] for word in fresh]
+        return found
+
+    def _plain(self, column: pa.Array) -> list[bytes]:
+        """Ids of texts whose spaces all stand between two characters that are no white space."""
+        listed = pc.split_pattern(column, " ")
+        offsets = listed.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        words = listed.flatten().dictionary_encode()
+        first = offsets[:-1]
+        follows = np.ones(len(words), bool)
+        follows[first] = False
+        which = words.indices.to_numpy()
+        used = np.zeros(len(words.dictionary), bool)
+        used[which[follows]] = True
+        spelled = words.dictionary.to_pylist()
+        numbers = self._numbers(spelled, used)
+        ids, ends = self._gathered(numbers[which[follows]])
+        raw, ends = ids.tobytes(), np.concatenate([[0], 4 * ends])
+        bounds = ends[offsets - np.arange(len(offsets))].tolist()
+        heads = self._whole([spelled[i] for i in which[first].tolist()])
+        return [head.tobytes() + raw[a:b] for head, a, b in zip(heads, bounds, bounds[1:])]
+
+    def ids(self, column: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers; null has none."""
+        column = pa.array(column, pa.string()) if isinstance(column, list) else column
+        column = column.cast(pa.large_string()).fill_null("")
+        whole = np.zeros(len(column), bool)
+        for content in self.wide:
+            whole |= pc.match_substring(column, content).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False) | whole
+        out = [b""] * len(column)
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            for i, ids in zip(plain.tolist(), self._plain(column.take(pa.array(plain)))):
+                out[i] = ids
+        parts, owner = [], []
+        for i in np.flatnonzero(odd).tolist():
+            text = column[i].as_py()
+            own = [text] if whole[i] else _BEFORE_SPACE.split(text)
+            parts += own
+            owner += [i] * len(own)
         found: dict[int, list[bytes]] = {}
-        for (i, _), ids in zip(others, self._whole(parts)):
+        for i, ids in zip(owner, self._whole(parts)):
             found.setdefault(i, []).append(ids.tobytes())
-        for i, first in found.items():
-            out[i] = b"".join([*first, *map(self.known.__getitem__, words.get(i, ()))])
+        for i, own in found.items():
+            out[i] = b"".join(own)
         return out
 
 
@@ -179,6 +245,8 @@ class ShardWriter:
         self.open, self.size = [], 0
 
     def _frame(self, raw: bytes) -> None:
+        if len(raw) >= 1 << 32:
+            raise ValueError("a frame of 4 GiB or more does not fit the seek table")
         packed = self.compressor.compress(raw)
         self.out.write(packed)
         self.seek.append((len(packed), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
@@ -251,15 +319,15 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, frame_bytes: int):
         store.create_dir(root, recursive=True)
         encoder, writer, out, documents, tokens = _encoder(tokenizer), None, None, 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            keys, at = batch.column("key").to_pylist(), 0
+            for texts in slices(batch.column("text"), BATCH_BYTES):
                 if writer is None:
                     out = store.open_output_stream(f"{root}/{name}", compression=None)
                     writer = ShardWriter(out, frame_bytes)
-                texts = [text or "" for text in part.column("text").to_pylist()]
-                for key, ids in zip(part.column("key").to_pylist(), encoder.ids(texts)):
+                for key, ids in zip(keys[at : at + len(texts)], encoder.ids(texts)):
                     writer.add(key, ids + end)
                     documents, tokens = documents + 1, tokens + len(ids) // 4 + 1
+                at += len(texts)
         if writer is not None:
             writer.close()
             out.close()
@@ -287,8 +355,12 @@ def write_tokens(
     first_token) is kept there as Parquet, below ``manifest``. ``tokenizer`` is the path of a
     tokenizers file that every executor can open.
 
-    Defined cases: null keys come first, equal keys in the order of their texts; a null text is
-    empty, so it has the end id only; an empty table gives no shard; other columns are not written.
+    A special token's string in a text is that token, as in the library's default call.
+
+    Defined cases: null keys come first, equal keys in the order of their texts; keys are cast to
+    long, and a string that is no number is an error; a null text is empty, so it has the end id
+    only; an empty table gives no shard; other columns are not written. A document is one frame at
+    most, of less than 4 GiB of ids (a billion); a longer one is an error.
     """
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     rows = apart(docs, key=key, text=text).select(F.col("key").cast("long"), "text")
@@ -340,7 +412,8 @@ def read_tokens(spark: SparkSession, folder: str, key: str = "doc_id", keys: lis
     that hold them.
     """
     manifest = spark.read.parquet(f"{folder}/manifest")
-    rows = manifest.repartition("file").mapInArrow(
+    # A row is a whole shard: as many tasks as shards, which a number that is asked for ensures.
+    rows = manifest.repartition(max(1, manifest.count())).mapInArrow(
         _shard_reader(folder, keys), "key long, start long, ids binary"
     )
     return rows.select(named("key").alias(key), "start", "ids")

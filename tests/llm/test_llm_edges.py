@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, repeated rows, empty tables and clashing column names."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -383,21 +384,60 @@ def test_damaged_frames_are_found(tmp_path):
         list(token_output.ShardReader(source).documents())
 
 
-def test_token_encoder_equals_the_library():
+def test_token_encoder_equals_the_library(monkeypatch, tmp_path):
     """Words are encoded apart, texts with odd white space otherwise; the ids are those of the text.
     """
     path = token_output.public_tokenizers.path("byte_bpe_50k.json")
-    own = token_output.Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    own = token_output.Tokenizer.from_file(path)  # as the library makes it
     texts = [
         "", " ", "a", " a", "a ", "a b", "a  b", "a\nb c", "a \nb", "a\n b", "x.y, z. w.,", "it's we'll  I'm .. , .",
         " a b", "a　 b c", "été naïve 日本 語。", "tab\there and\r\nthere", "<|endoftext|> x", "a.\nB c,\nd",
         "3. 4, v2., é., ß.", "end. ", "q .", "\x1c a \x85 b",
+        "x <|endoftext|> y", "a<|endoftext|>b, <|endoftext|>. c<|endoftext|>, d", "x  <|endoftext|>  y", "<|endoftext|>",
+        "<|endoftext|>\n<|endoftext|> <|endof text|>", ". a. b., .,", "a b" * 999,
     ]
     encoder = token_output.Encoder(path)
     want = [np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert encoder.ids(texts) == want
     assert encoder.ids(texts[::-1]) == want[::-1]
+    # Words are forgotten when there are too many.
+    monkeypatch.setattr(token_output, "CACHED_WORDS", 5)
+    assert [encoder.ids([t])[0] for t in texts] == want
+    # Special tokens that take the space beside them.
+    own.add_special_tokens([token_output.AddedToken("<end.>", rstrip=True, lstrip=True)])
+    own.save(str(tmp_path / "own.json"))
+    encoder = token_output.Encoder(str(tmp_path / "own.json"))
+    texts += ["a <end.> b", "a <end.>", "<end.> <end.> c d"]
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.ids(texts) == want
+
+
+def test_random_texts_have_the_ids_of_the_library():
+    path = token_output.public_tokenizers.path("byte_bpe_50k.json")
+    own, encoder, draw = token_output.Tokenizer.from_file(path), token_output.Encoder(path), random.Random(4)
+    letters = ["a", "The", "é", "日", " ", " ", " ", "\n", "\t", "\xa0", "\u3000", ".", ",", "'s", "12", "<|endoftext|>", "\x85"]
+    texts = ["".join(draw.choices(letters, k=draw.randint(0, 40))) for _ in range(3000)]
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.ids(texts) == want
+
+
+def test_shards_are_read_side_by_side(spark, rows, conf, tmp_path):
+    docs = rows([(i, f"text {i}") for i in range(64)], "doc_id long, text string")
+    folder = f"{tmp_path}/shards"
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    shards = token_output.write_tokens(docs, folder).count()
+    conf(spark__sql__adaptive__coalescePartitions__enabled="true")
+    found = token_output.read_tokens(spark, folder).select(F.spark_partition_id().alias("task"))
+    assert shards > 1 and found.distinct().count() == shards
+
+
+def test_frames_that_do_not_fit(monkeypatch):
+    class Huge(bytes):
+        def __len__(self):
+            return 1 << 32
+
+    with pytest.raises(ValueError):
+        token_output.ShardWriter(None)._frame(Huge())
 
 
 def test_chunks_that_never_agree(spark):
