@@ -2,8 +2,8 @@
 
 For each host, the pages that contain a line are divided by the pages of the host; lines above a
 ratio are dropped from every page of that host. A page counts a line once however often it repeats
-it, and pages of a host with equal text count as one page: the lines of a page that was copied often
-are no boilerplate. Counts are summed on the map side, so a line that a third of all pages share is
+it, and, unless told otherwise, pages of a host with equal text count as one page: the lines of a
+page that was copied often are no boilerplate. Counts are summed on the map side, so a line that a third of all pages share is
 a handful of rows after that. Lines travel as 96 bits of hash, never as text.
 """
 
@@ -58,23 +58,22 @@ def _boilerplate(
     most_share: float,
     least_pages: int,
     least_hits: int,
+    copies_once: bool,
 ) -> DataFrame:
     """(__site, __boilerplate): the hashes of each host's boilerplate lines.
 
     A host has at most (mean lines of a page / most_share) such lines, so its set fits a cell.
     """
     whole = F.coalesce(text, F.lit(""))
-    once = stage(
-        pages.select(
-            site.alias("__host"),
-            F.xxhash64(whole).alias("x"),
-            F.hash(whole).alias("y"),
-            F.array_distinct(_hashes(solid)).alias("lines"),
-        )
-        .groupBy("__host", "x", "y")
-        .agg(F.first("lines").alias("lines")),
-        "pages-once",
+    counted = pages.select(
+        site.alias("__host"),
+        F.xxhash64(whole).alias("x"),
+        F.hash(whole).alias("y"),
+        F.array_distinct(_hashes(solid)).alias("lines"),
     )
+    if copies_once:
+        counted = counted.groupBy("__host", "x", "y").agg(F.first("lines").alias("lines"))
+    once = stage(counted, "pages-once")
     hits = (
         once.select("__host", F.explode("lines").alias("line"))
         .groupBy("__host", "line.a", "line.b")
@@ -101,11 +100,16 @@ def line_dedup(
     most_share: float = MOST_SHARE,
     least_pages: int = LEAST_PAGES,
     least_hits: int = LEAST_HITS,
+    copies_once: bool = True,
+    most_lost: float = 1.0,
 ) -> DataFrame:
     """``pages`` without the boilerplate lines of their host.
 
     Replaces ``text`` and adds ``n_lines`` (before), ``n_dropped_lines``. Lines end at ``\\n`` and
     are compared as they are; blank ones (nothing but white space) are never counted nor dropped.
+    ``copies_once``: pages of a host with equal text count as one. A page that would lose more than
+    ``most_lost`` of its solid lines stays as it is: it is a near copy of many others rather than a
+    page with boilerplate.
 
     Defined cases: a null host is a host of its own; a null text stays null with no lines; a page of
     boilerplate alone keeps its row with an empty text; an empty table gives an empty result.
@@ -117,7 +121,7 @@ def line_dedup(
 
     spark, path = pages.sparkSession, scratch_path(pages.sparkSession, "boilerplate")
     with scratch_until_done(spark):
-        found = _boilerplate(pages, site, own, solid, most_share, least_pages, least_hits)
+        found = _boilerplate(pages, site, own, solid, most_share, least_pages, least_hits, copies_once)
         found.write.parquet(path)
     # Written, so that Spark knows the size of the sets when it plans the join: small ones are
     # broadcast and no page moves, else partitions of large hosts are split.
@@ -128,20 +132,25 @@ def line_dedup(
         lambda x: (F.btrim(x, F.lit(" \t\r\f\v")) == "")
         | ~F.array_contains(bad, F.struct(F.xxhash64(x).alias("a"), F.hash(x).alias("b"))),
     )
-    result = joined.select(
+    cut = joined.select(
         *[named(c) for c in pages.columns],
-        F.when(own.isNotNull(), F.when(bad.isNull(), lines).otherwise(stays)).alias("__stays"),
-        F.when(own.isNotNull(), F.size(solid)).otherwise(0).cast("long").alias("__solid"),
-        F.when(own.isNotNull() & bad.isNotNull(), F.size(lines) - F.size(stays))
-        .otherwise(0)
-        .cast("long")
-        .alias("__gone"),
+        F.when(own.isNotNull(), F.size(solid)).otherwise(0).alias("__solid"),
+        lines.alias("__lines"),
+        F.when(bad.isNull(), lines).otherwise(stays).alias("__stays"),
+    )
+    lost = F.size("__lines") - F.size("__stays")
+    spared = lost > F.lit(most_lost) * F.col("__solid")
+    result = cut.select(
+        *[named(c) for c in pages.columns],
+        F.when(own.isNotNull(), F.when(spared, F.col("__lines")).otherwise(F.col("__stays"))).alias("__kept"),
+        F.col("__solid").cast("long").alias("__solid"),
+        F.when(spared, 0).otherwise(lost).cast("long").alias("__gone"),
     )
     return with_results(
         result,
         {
-            text: F.array_join("__stays", "\n"),
+            text: F.array_join("__kept", "\n"),
             "n_lines": F.col("__solid"),
             "n_dropped_lines": F.col("__gone"),
         },
-    ).drop("__stays", "__solid", "__gone")
+    ).drop("__kept", "__solid", "__gone")

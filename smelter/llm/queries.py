@@ -108,8 +108,8 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         line_dedup.host_of(F.col("url")).alias("host"),
         line_dedup.html_lines(F.col("html")).alias("text"),
     )
-    # The values that OP3_SQL states.
-    return line_dedup.line_dedup(stage(pages, "pages"), "host", most_share=0.1, least_pages=20)
+    # The values that OP3_SQL states; a host's pages of equal text count once.
+    return line_dedup.line_dedup(stage(pages, "pages"), "host", most_share=0.02, least_hits=3, copies_once=True)
 
 
 OP3_SQL = r"""
@@ -129,13 +129,12 @@ with pages_text as (
 ), solid as (
     select *, trim(line, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) <> '' as solid from lines
 ), sites as (
-    select host, count(distinct text) as of_pages from pages_text
-    group by host having count(distinct text) >= 20
+    select host, count(distinct text) as of_pages from pages_text group by host
 ), bad as (
     select host, line
     from (select host, line, count(distinct text) as hits from solid where solid group by host, line)
     join sites using (host)
-    where hits >= 3 and hits > cast(0.1 as double) * of_pages
+    where hits >= 3 and hits > cast(0.02 as double) * of_pages
 ), marked as (
     select s.*, b.line is not null as gone
     from solid s left join bad b on s.host = b.host and s.line = b.line and s.solid

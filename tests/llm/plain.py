@@ -55,7 +55,7 @@ def base_counts(text):
     }
 
 
-def site_lines(pages, most_share, least_pages, least_hits):
+def site_lines(pages, most_share, least_pages, least_hits, most_lost=1.0):
     """key -> (host, text) without boilerplate lines, from key -> (host, text)."""
     once = {(host, text or "") for host, text in pages.values()}
     sizes = Counter(host for host, _ in once)
@@ -66,12 +66,15 @@ def site_lines(pages, most_share, least_pages, least_hits):
 
     def bad(host, line):
         n, of = hits[host, line], sizes[host]
-        return of >= least_pages and n >= least_hits and n > most_share * of
+        return bool(solid(line)) and of >= least_pages and n >= least_hits and n > most_share * of
 
-    return {
-        key: (host, None if text is None else "\n".join(x for x in text.split("\n") if not bad(host, x)))
-        for key, (host, text) in pages.items()
-    }
+    def cut(host, text):
+        lines = text.split("\n")
+        kept = [x for x in lines if not bad(host, x)]
+        spared = len(lines) - len(kept) > most_lost * sum(bool(solid(x)) for x in lines)
+        return text if spared else "\n".join(kept)
+
+    return {key: (host, None if text is None else cut(host, text)) for key, (host, text) in pages.items()}
 
 
 def schedule(weights, periods=1):

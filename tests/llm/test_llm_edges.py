@@ -138,6 +138,26 @@ def test_exact_dedup_with_a_full_filter(spark, most_words):
         exact_dedup.exact_dedup(exact_dedup.fingerprints(docs), most_words=3)
 
 
+@pytest.mark.parametrize("most", [1, 4, 1 << 12])
+def test_first_filter_of_exact_dedup(spark, most, capsys):
+    """However full, it misses no repeated hash; its words move, not the rows' hashes."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('T', if(id < 40, id % 20, id)) as text")
+    prints = exact_dedup.fingerprints(docs)
+    got = exact_dedup.exact_dedup(prints, most_cell_words=most).where("group_size > 1").collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in got} == {(i, i % 20 + 20, i >= 20) for i in range(40)}
+    hashed = prints.select(F.xxhash64("text_sha256").alias("__hash"))
+    hashed = hashed.withColumn("__word_of", F.col("__hash").bitwiseAND(most - 1))
+    found = exact_dedup._repeating(hashed)
+    assert found.count() <= (1 if most == 1 else 4 if most == 4 else 1200)
+    found.explain()
+    plan = capsys.readouterr().out
+    exchange = next(x for x in plan.splitlines() if "Exchange" in x)
+    below = plan[plan.index(exchange) :]
+    assert "partial_bit_or" in below and "hashpartitioning(__word_of" in exchange
+    with pytest.raises(ValueError):
+        exact_dedup.exact_dedup(prints, most_cell_words=3)
+
+
 def test_minhash_cases(spark, docs):
     got = {(r.doc_id, r.text): (r.n_shingles, r.component_id, r.kept) for r in minhash.near_dedup(docs).collect()}
     assert got[1, "one two three four five six"] == (2, 1, True)
@@ -169,17 +189,27 @@ def test_a_footer_on_a_few_pages_of_a_host_goes(spark):
     assert {r.text for r in line_dedup.line_dedup(docs, "host").collect()} == {f"own {i}" for i in range(100)}
 
 
-def test_near_copies_above_the_ratio_lose_their_lines(spark):
-    """The gap that the README names: the near-duplicate stage finds nothing to compare."""
+def test_near_copies_above_the_ratio_stay_whole(spark):
+    """One of them keeps its text, and the near-duplicate stage drops the others."""
     lines = [f"line {i} of one text with words {i * 7} {i * 11}" for i in range(20)]
     copies = ["\n".join(lines[:i] + lines[i + 1 :]) for i in range(6)]
-    rows = [(i, "s", t) for i, t in enumerate(copies + [f"own text number {i}" for i in range(40)])]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    near = {r.doc_id for r in minhash.drop_near_copies(docs, width=5, similarity=0.8).collect()}
-    assert near & set(range(6)) == {0}
-    cut = line_dedup.line_dedup(docs, "source", most_share=0.1, least_pages=20).select("doc_id", "source", "text")
-    kept = {r.doc_id: r.text for r in minhash.drop_near_copies(cut, width=5, similarity=0.8).collect()}
-    assert [kept[i] for i in range(6)] == [""] * 6
+    rows = [(i, "en", "s", t, len(t)) for i, t in enumerate(copies + [f"own text number {i}\nfooter" for i in range(40)])]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string, n_chars long")
+    cut = corpus_pipeline.drop_boilerplate(spark, docs, "")
+    assert {r.text for r in cut.where("doc_id > 5").collect()} == {f"own text number {i}" for i in range(40)}
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_near_copies(spark, cut, "").collect()}
+    assert kept[0] == copies[0] and not set(kept) & set(range(1, 6))
+    # Without that, they lose all their lines.
+    bare = line_dedup.line_dedup(docs, "source", most_share=0.1)
+    assert [r.text for r in bare.where("doc_id < 6").collect()] == [""] * 6
+
+
+def test_copies_of_a_page_can_count(spark):
+    rows = [(i, "h", "copied" if i < 9 else f"own {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, host string, text string")
+    for once, n in ((True, 0), (False, 9)):
+        got = line_dedup.line_dedup(docs, "host", copies_once=once)
+        assert got.where("text = ''").count() == n
 
 
 def test_small_hosts_are_judged_by_their_lines(spark):

@@ -167,7 +167,7 @@ def test_pipeline(spark, folder, results, texts):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     scored = toxicity.toxicity(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     clean = {r.doc_id: (r.source, r.text) for r in scored.where("predicted = 0").collect()}
-    lines = plain.site_lines(clean, 0.1, 20, 3)
+    lines = plain.site_lines(clean, 0.1, 1, 3, 0.5)
     classes = plain.near_duplicates({i: t for i, (_, t) in lines.items()}, 5, 80)
     kept = {i: lines[i][1] for i, (_, c) in classes.items() if i == c}
     assert set(ids) == set(kept)
