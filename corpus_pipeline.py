@@ -19,8 +19,9 @@ from smelter.operators import stage
 #: A line on more than this share of a source's documents is boilerplate. Stricter than for pages:
 #: what goes here is gone before near copies are looked for.
 MOST_SHARE = 0.1
-#: Sources with fewer distinct documents keep all lines: in one of ten, three near copies are 30 %.
-LEAST_PAGES = 20
+#: A document that would lose more than this share of its lines is a near copy of others of its
+#: source. It stays whole, for the next stage to judge.
+MOST_LOST = 0.5
 
 #: A classifier and graph components cannot be stated in SQL; the tests hold the rows against brute
 #: force.
@@ -39,7 +40,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Documents without the lines that are frequent within their source; ``n_chars`` is counted
     anew.
     """
-    cleaned = line_dedup.line_dedup(docs, "source", most_share=MOST_SHARE, least_pages=LEAST_PAGES)
+    cleaned = line_dedup.line_dedup(docs, "source", most_share=MOST_SHARE, most_lost=MOST_LOST)
     length = F.length("text").cast("long")
     return with_results(cleaned, {"n_chars": length}).select(*docs.columns)
 
