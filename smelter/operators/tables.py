@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from smelter.operators.staging import scratch_until_done
-from smelter.sources.files import delete_folder, folder_exists, rename_folder
+from smelter.sources.files import delete_folder, folder_exists, list_folder, rename_folder
 from smelter.together import together
 
 # Formats with a log of their own, whose overwrite is atomic.
@@ -24,6 +25,40 @@ def qualified(spark: SparkSession, name: str, database: str | None = None) -> st
     return f"{database or spark.catalog.currentDatabase()}.{name}"
 
 
+def finish_replacements(
+    spark: SparkSession, root: str, name: str | None = None, fmt: str = "parquet", database: str | None = None
+) -> list[str]:
+    """Put tables below ``root`` back in place whose writer was lost between its two renames: one
+    table, or all; return their names.
+
+    The old table stands aside only once all new rows are there, so the new ones take its place; if
+    they are gone, the old table does. A catalog entry is made anew. Not to be called while another
+    job replaces the same table.
+    """
+    if not folder_exists(spark, root):
+        return []
+    hidden = {entry.name for entry in list_folder(spark, root, hidden=True) if entry.is_folder}
+    done = []
+    for folder in sorted(hidden):
+        found = re.fullmatch(r"\.(.+)-[0-9a-f]{32}-old", folder)
+        if not found or name not in (None, found[1]):
+            continue
+        path, old = table_path(root, found[1]), table_path(root, folder)
+        if folder_exists(spark, path):
+            continue
+        new = folder.removesuffix("-old") + "-new"
+        if new in hidden:
+            rename_folder(spark, table_path(root, new), path)
+            delete_folder(spark, old)
+        else:
+            rename_folder(spark, old, path)
+        target = qualified(spark, found[1], database)
+        if spark.catalog.tableExists(target):
+            _enter(spark.read.format(fmt).load(path), target, path, fmt)
+        done.append(found[1])
+    return done
+
+
 def write_table(
     df: DataFrame, root: str, name: str, fmt: str = "parquet", database: str | None = None
 ) -> DataFrame:
@@ -31,7 +66,8 @@ def write_table(
 
     A write that fails leaves the old table as it was, and ``df`` may read the table it replaces.
     Formats with a log see to that themselves; for others the rows go to a hidden folder beside the
-    table, which takes the table's place by two renames once all rows are there.
+    table, which takes the table's place by two renames once all rows are there. A table whose last
+    writer was lost between them is put in place first.
     """
     spark, target = df.sparkSession, qualified(df.sparkSession, name, database)
     if fmt in LOGGED:
@@ -40,6 +76,7 @@ def write_table(
             target, format=fmt, mode="overwrite", path=table_path(root, name), **options
         )
         return spark.table(target)
+    finish_replacements(spark, root, name, fmt, database)
     path, mark = table_path(root, name), uuid.uuid4().hex
     new, old = table_path(root, f".{name}-{mark}-new"), table_path(root, f".{name}-{mark}-old")
     try:
