@@ -31,8 +31,8 @@ def _file_system(spark: SparkSession, root: str):
     return folder.getFileSystem(conf), folder
 
 
-def list_folder(spark: SparkSession, root: str) -> list[Entry]:
-    """The direct children of ``root``, by name; hidden ones (``_`` or ``.``) are left out.
+def list_folder(spark: SparkSession, root: str, hidden: bool = False) -> list[Entry]:
+    """The direct children of ``root``, by name; those that are hidden (``_`` or ``.``), or not.
 
     One listing call: the files below a table folder are not visited.
     """
@@ -46,7 +46,7 @@ def list_folder(spark: SparkSession, root: str) -> list[Entry]:
         )
         for child in system.listStatus(folder)
     ]
-    return sorted((c for c in children if c.name[0] not in "_."), key=lambda c: c.name)
+    return sorted((c for c in children if (c.name[0] in "_.") == hidden), key=lambda c: c.name)
 
 
 def folder_bytes(spark: SparkSession, root: str) -> int:
