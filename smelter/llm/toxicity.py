@@ -6,9 +6,12 @@ each voter fires on toxic and on clean texts, how correlated voters of one class
 reliable the given labels are; voters that say the same thing share one vote. Its posterior labels
 train a logistic regression over the presence of terms and patterns, which scores every whole text.
 
-The model is fitted on bounded samples of rows (MOST_LABELLED, MOST_UNLABELLED), chosen by a hash of
-their key; scoring covers all rows. Rows that are held out are never sampled. Rows of equal key and
-text are one document to learn from.
+Of the labelled rows a bounded sample (MOST_LABELLED), chosen by a hash of their key, is learnt
+from; of the rows without a label all are. Texts become sets of features where they lie, equal sets
+are counted, and both the label model and the regression are fitted on these counts by Spark; the
+driver gets sums whose number depends on the voters alone. All rows without a label weigh at most as
+much as the labelled ones. Rows that are held out are never learnt from. Rows of equal key and text
+are one document to learn from.
 """
 
 from __future__ import annotations
@@ -20,18 +23,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from smelter.llm.arrow import from_texts, release
 from smelter.llm.tables import apart, named, with_results
 from smelter.llm.words import Words, buffers, column_of, distinct_hashes, find_words, is_long, mix, pieces, slices
 from smelter.operators import scratch_until_done, stage
 
-#: Rows that the model is fitted on at most, with and without a label.
-MOST_LABELLED, MOST_UNLABELLED = 40_000, 5_000
+#: Labelled rows that the model is fitted on at most.
+MOST_LABELLED = 40_000
 #: Different texts of one key among them at most.
 MOST_TEXTS = 16
 #: Toxic texts in which a term must occur; terms looked at, used by the classifier, and made voters
@@ -47,6 +49,8 @@ TELLING = 3.0
 #: Correlation within a class from which two voters share a vote.
 SAME = 0.4
 REGULARISATION = 1e-6
+#: Texts whose votes are looked at together, and the unit in which their weights are summed exactly.
+_ROWS, _UNIT = 4096, 1 << 20
 
 STEMS = (4, 5, 6)
 _MARKS = tuple(b for b in range(128) if not chr(b).isalnum())
@@ -195,55 +199,64 @@ class LabelModel:
     rates: np.ndarray  # by class (clean, toxic) and voter
     shares: np.ndarray  # of one vote, by voter: 1 for a voter that is independent of all others
     label_rates: np.ndarray  # by class, how often the label says toxic
-    silences: np.ndarray  # by class, how often no telling voter fires
+    silences: np.ndarray  # by class, how often none of the voters ``heard`` fires
+    heard: np.ndarray  # voters whose joint silence speaks
 
-    @staticmethod
-    def _redundancy(votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
-        """1 / (1 + sum of the correlations of SAME or more with other voters within the classes).
+    @classmethod
+    def of_labels(cls, base: float, voters: int) -> LabelModel:
+        """Where the estimation starts: labels are right in 98 of 100 cases, votes say nothing."""
+        base = min(max(base, 1e-4), 1 - 1e-4)
+        prior = 0.98 * base + 0.02 * (1 - base)
+        said = np.array([0.02 * base / (1 - prior), 0.98 * base / prior])
+        even = np.full((2, voters), 0.5)
+        return cls(prior, even, np.ones(voters), said, np.ones(2), np.zeros(voters, bool))
+
+    @property
+    def telling(self) -> np.ndarray:
+        return self.rates[1] > TELLING * self.rates[0]
+
+    def moments(self, votes: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """By class, the weighted sums of all products of two of: the votes, 1, a label is known, it
+        says toxic, no telling voter fires.
         """
-        total = np.zeros((votes.shape[1], votes.shape[1]))
-        for weight in (1 - posterior, posterior):
-            weighted = votes * weight[:, None].astype(np.float32)
-            size = max(weight.sum(), 1e-9)
-            mean = weighted.sum(axis=0) / size
-            covariance = weighted.T @ votes / size - np.outer(mean, mean)
+        posterior = self.posterior(votes, labels)
+        more = np.stack([
+            np.ones(len(votes)), labels >= 0, labels == 1, votes[:, self.telling].sum(axis=1) == 0
+        ], axis=1)
+        seen = np.concatenate([votes, more], axis=1).astype(np.float64)
+        return np.stack([seen.T @ (seen * (weight * p)[:, None]) for p in (1 - posterior, posterior)])
+
+    def refined(self, moments: np.ndarray) -> LabelModel:
+        """The model that explains ``moments`` best."""
+        n = len(self.shares)
+        size, known, toxic, silent = (moments[:, n + i, n] for i in range(4))
+        fired = moments[:, :n, n]
+        total = np.zeros((n, n))
+        for c in range(2):
+            mean = fired[c] / max(size[c], 1e-9)
+            covariance = moments[c, :n, :n] / max(size[c], 1e-9) - np.outer(mean, mean)
             deviation = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
             correlation = np.clip(covariance / np.outer(deviation, deviation), 0, 1)
             total = np.maximum(total, np.where(correlation >= SAME, correlation, 0))
         np.fill_diagonal(total, 0)
-        return 1 / (1 + total.sum(axis=1))
-
-    @classmethod
-    def fit(cls, votes: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> tuple[LabelModel, np.ndarray]:
-        """From votes (texts x voters, 0 or 1) and labels (1, 0, or -1 for none); also the posterior
-        labels.
-        """
-        known = labels >= 0
-        base = labels[known].mean() if known.any() else 0.0
-        posterior = np.where(known, np.where(labels == 1, 0.98, 0.02), base).astype(np.float64)
-        for _ in range(rounds):
-            weights = np.stack([1 - posterior, posterior])
-            size = weights.sum(axis=1)
-            rates = (weights @ votes + 0.5) / (size[:, None] + 1)
+        return LabelModel(
+            prior=float((known[1] + 1) / (known.sum() + 2)),
+            rates=(fired + 0.5) / (size[:, None] + 1),
+            shares=1 / (1 + total.sum(axis=1)),
             # The labels are trusted to begin with: the counts of a belief that 95 of 100 are right.
-            of_known = weights[:, known].sum(axis=1)
-            prior = (of_known[1] + 1) / (of_known.sum() + 2)
-            toxic = weights[:, labels == 1].sum(axis=1)
-            label_rates = (toxic + np.array([5.0, 95.0])) / (of_known + 100)
-            silent = votes[:, rates[1] > TELLING * rates[0]].sum(axis=1) == 0
-            silences = (weights @ silent + 0.5) / (size + 1)
-            shares = cls._redundancy(votes, posterior)
-            model = cls(float(prior), rates, shares, label_rates, silences)
-            posterior = model.posterior(votes, labels)
-        return model, posterior
+            label_rates=(toxic + np.array([5.0, 95.0])) / (known + 100),
+            silences=(silent + 0.5) / (size + 1),
+            heard=self.telling,
+        )
 
     def posterior(self, votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        """Probability of toxic. A voter that does not fire abstains; only the silence of all
-        telling ones speaks, once, as they are not independent.
+        """Probability of toxic, from votes (texts x voters, 0 or 1) and labels (1, 0, or -1 for
+        none). A voter that does not fire abstains; only the silence of all telling ones speaks,
+        once, as they are not independent.
         """
         fired = np.log(self.rates[1] / self.rates[0])
         odds = math.log(self.prior / (1 - self.prior)) + votes @ (fired * self.shares)
-        silent = votes[:, self.rates[1] > TELLING * self.rates[0]].sum(axis=1) == 0
+        silent = votes[:, self.heard].sum(axis=1) == 0
         odds = odds + np.where(silent, math.log(self.silences[1] / self.silences[0]), 0.0)
         said = np.log(self.label_rates[1] / self.label_rates[0])
         unsaid = np.log((1 - self.label_rates[1]) / (1 - self.label_rates[0]))
@@ -251,6 +264,73 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
+def _votes(batch: pa.RecordBatch, voters: np.ndarray, size: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(rows, votes, labels) of a batch with the columns label and terms, some rows at a time."""
+    column = np.full(size, -1)
+    column[voters] = np.arange(len(voters))
+    terms = batch.column("terms")
+    offsets, own = terms.offsets.to_numpy(), column[terms.values.to_numpy()]
+    labels = batch.column("label").fill_null(-1).to_numpy(zero_copy_only=False)
+    for at in range(0, len(batch), _ROWS):
+        rows = slice(at, min(at + _ROWS, len(batch)))
+        bounds = offsets[rows.start : rows.stop + 1]
+        owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        number = own[bounds[0] : bounds[-1]]
+        votes = np.zeros((len(bounds) - 1, len(voters)), np.float32)
+        votes[owner[number >= 0], number[number >= 0]] = 1
+        yield rows, votes, labels[rows]
+
+
+def _moments(patterns: DataFrame, model: LabelModel, voters: np.ndarray, size: int) -> np.ndarray:
+    """The moments of all ``patterns``. Tasks sum for themselves and send whole numbers, so the
+    order of tasks changes nothing; the driver gets a row for each pair of voters at most.
+    """
+    width = len(voters) + 4
+    upper = np.triu_indices(width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, width, width))
+        for batch in batches:
+            weight = batch.column("weight").to_numpy()
+            for rows, votes, labels in _votes(batch, voters, size):
+                total += model.moments(votes, labels, weight[rows])
+        sums = np.rint(total[:, *upper] * _UNIT).astype(np.int64)
+        (cells,) = np.nonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cells, *sums[:, cells])], ["cell", "clean", "toxic"])
+
+    sums = patterns.mapInArrow(run, "cell long, clean long, toxic long").groupBy("cell")
+    rows = sums.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
+    half = np.zeros((2, len(upper[0])))
+    half[:, rows["cell"]] = rows[["clean", "toxic"]].to_numpy().T / _UNIT
+    full = np.zeros((2, width, width))
+    full[:, *upper] = half
+    full[:, upper[1], upper[0]] = half
+    return full
+
+
+def fit_label_model(patterns: DataFrame, voters: np.ndarray, size: int, rounds: int = ROUNDS) -> LabelModel:
+    """Expectation maximisation over ``patterns``: (label, terms, weight), terms being numbers below
+    ``size`` and the label null where there is none. It is read once for each round: stage it.
+    """
+    base = patterns.agg(F.sum(F.col("label") * F.col("weight")) / F.sum(F.expr("if(label is null, 0, weight)"))).first()[0]
+    model = LabelModel.of_labels(base or 0.0, len(voters))
+    for _ in range(rounds):
+        model = model.refined(_moments(patterns, model, voters, size))
+    return model
+
+
+def _posteriors(patterns: DataFrame, model: LabelModel, voters: np.ndarray, size: int) -> DataFrame:
+    """(terms, weight, posterior) of all ``patterns``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.posterior(votes, labels) for _, votes, labels in _votes(batch, voters, size)]
+            columns = [batch.column("terms"), batch.column("weight"), pa.array(np.concatenate([np.zeros(0), *found]))]
+            yield pa.RecordBatch.from_arrays(columns, ["terms", "weight", "posterior"])
+
+    return patterns.mapInArrow(run, "terms array<int>, weight double, posterior double")
+
+
 @dataclass
 class Model:
     """The classifier: weights of its terms, and the weight of every text."""
@@ -265,44 +345,63 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, label): the rows to learn from; the label is null where there is none.
-
-    The keys are bounded by their limits, so they are broadcast. Rows of equal key and text count
-    once, and if keys have several texts, the first of each key come before any second one: the
-    limits hold for rows too. Texts are shuffled only if a sampled one repeats.
+def _least(rows: DataFrame, hashed: Column, most: int) -> DataFrame:
+    """The ``most`` rows of the least hashes (0 to 2^63 - 1), without a sort: rows are counted by 16
+    bits of their hash at a time. ``rows`` is read up to four times: stage it.
     """
-    order = F.xxhash64(F.lit("sample"), "key")
-    given = (
+    low, bits = 0, 63
+    while bits:
+        step = min(16, bits)
+        bits -= step
+        inside = rows.where(F.shiftright(hashed, bits + step) == low)
+        sizes = inside.groupBy(F.shiftright(hashed, bits).alias("at")).count().collect()  # 2^16 rows at most
+        for at, n in sorted((r["at"], r["count"]) for r in sizes):
+            if n > most:
+                low = at
+                break
+            most -= n
+        else:
+            return rows.where(F.shiftright(hashed, bits + step) <= low)
+        if not most:
+            break
+    return rows.where(F.shiftright(hashed, bits) < low)
+
+
+def _given(labels: DataFrame) -> DataFrame:
+    """(key, label, h): one label a key that may be learnt from, and a hash of the key."""
+    return (
         labels.where(F.col("label").isin(0, 1) & ~held_out(F.col("key")))
         .groupBy("key")
         .agg(F.max("label").cast("int").alias("label"))
+        .withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "key"), 1))
     )
-    known = stage(given.orderBy(order).limit(MOST_LABELLED), "labelled")
-    others = (
-        docs.select("key").where(~held_out(F.col("key")))
-        .join(given.select("key"), "key", "left_anti")
-        .orderBy(order)
-        .limit(MOST_UNLABELLED)
-        .select("key", F.lit(None).cast("int").alias("label"))
-    )
-    keys = stage(known.unionByName(others).distinct(), "sample")
+
+
+def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, label): the labelled rows to learn from.
+
+    The keys are bounded by MOST_LABELLED, so they are broadcast. Rows of equal key and text count
+    once, and if keys have several texts, the first of each key come before any second one: the
+    limit holds for rows too. Texts are shuffled only if a sampled one repeats.
+    """
+    hashed = F.col("h")
+    keys = stage(_least(stage(_given(labels), "given"), hashed, MOST_LABELLED), "sample")
     marked = docs.withColumn("x", F.xxhash64("text")).withColumn("y", F.hash("text"))
     found = (
         docs.join(F.broadcast(keys), "key")
-        .groupBy("key", "label", F.xxhash64("text").alias("x"), F.hash("text").alias("y"))
+        .groupBy("key", "label", "h", F.xxhash64("text").alias("x"), F.hash("text").alias("y"))
         .agg(F.count("*").alias("copies"))
         .withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("x", "y")))
         .where(F.col("nth") <= MOST_TEXTS)
     )
     found = stage(found, "sample-keys")
-
-    def first(given: Column, most: int) -> DataFrame:
-        return found.where(given).orderBy("nth", order).limit(most)
-
-    chosen = first(F.col("label").isNotNull(), MOST_LABELLED).unionByName(
-        first(F.col("label").isNull(), MOST_UNLABELLED)
-    )
+    sizes = dict(found.groupBy("nth").count().collect())
+    chosen, room = found.where("false"), MOST_LABELLED
+    for nth in sorted(sizes):  # MOST_TEXTS of them at most
+        chosen = chosen.unionByName(_least(found.where(F.col("nth") == nth), hashed, room))
+        room -= min(room, sizes[nth])
+        if not room:
+            break
     chosen = stage(chosen.select("key", "x", "y", "label", "copies"), "sample-rows")
     rows = marked.join(F.broadcast(chosen.drop("copies")), ["key", "x", "y"])
     if not chosen.where("copies > 1").isEmpty():
@@ -317,23 +416,42 @@ def _lower_bound(hits: Column, of: Column, z: float = 2.0) -> Column:
     return (share + z * z / (2 * of) - spread) / (1 + z * z / of)
 
 
-def _vectors(spark: SparkSession, sample: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(label, terms): numbers of the terms that each sampled text has."""
-    model = spark.sparkContext.broadcast(vocabulary)
+def _vectors(texts: DataFrame, vocabulary: Vocabulary, column: str) -> DataFrame:
+    """(``column``, terms): numbers of the terms that each text has, staged."""
+    model = texts.sparkSession.sparkContext.broadcast(vocabulary)  # at most MOST_CANDIDATES terms
 
     def numbers(part: pa.Array) -> pa.Array:
         text, term = model.value.present(part)
         bounds = np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(bounds), pa.array(term.astype(np.int32)))
 
-    return sample.select("label", from_texts(numbers, "array<int>")("text").alias("terms"))
+    found = stage(texts.select(column, from_texts(numbers, "array<int>")("text").alias("terms")), "vectors")
+    model.destroy()
+    return found
+
+
+def _patterns_of(docs: DataFrame, labels: DataFrame, sample: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(label, terms, weight): the sets of features of the sample and of all rows without a label.
+
+    Keys and sets move, texts do not. Equal sets are counted before they move; the weights of the
+    rows without a label are scaled down so that all of them weigh as much as the sample at most.
+    """
+    free = _vectors(docs.where(~held_out(F.col("key"))), vocabulary, "key").distinct()
+    free = free.join(stage(_given(labels).select("key"), "given-keys"), "key", "left_anti")
+    free = stage(free.groupBy("terms").agg(F.count("*").alias("n")), "unlabelled")
+    own = stage(_vectors(sample, vocabulary, "label").groupBy("label", "terms").agg(F.count("*").alias("n")), "labelled")
+    of_free, of_own = (t.agg(F.sum("n")).first()[0] or 0 for t in (free, own))
+    scale = min(1.0, of_own / of_free) if of_free else 1.0
+    both = own.select("label", "terms", F.col("n").cast("double").alias("weight")).unionByName(
+        free.select(F.lit(None).cast("int").alias("label"), "terms", (F.col("n") * scale).alias("weight"))
+    )
+    return stage(both, "patterns")
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label_key: str, label: str) -> Model:
     """Learn the classifier. What reaches the driver is bounded by the parameters above."""
-    spark = docs.sparkSession
-    rows = apart(docs, key=key, text=text)
-    sample = stage(_sample(rows, apart(labels, key=label_key, label=label)), "sample-texts")
+    rows, labels = apart(docs, key=key, text=text), apart(labels, key=label_key, label=label)
+    sample = stage(_sample(rows, labels), "sample-texts")
 
     in_toxic = (
         sample.where("label = 1").mapInArrow(_term_counts, "term long, n long")
@@ -342,11 +460,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label_key: str,
     )
     terms = np.array([r[0] for r in in_toxic.select("term").collect()], np.int64).view(np.uint64)
     candidates = Vocabulary(np.concatenate([terms, _PATTERN_HASHES]))
-    vectors = stage(_vectors(spark, sample, candidates), "vectors")
+    vectors = _vectors(sample, candidates, "label")
 
     hits, of = F.sum("label"), F.count("label")
     stats = (
-        vectors.where("label is not null").select("label", F.explode("terms").alias("term"))
+        vectors.select("label", F.explode("terms").alias("term"))
         .groupBy("term").agg(hits.alias("hits"), of.alias("of")).where("hits > 0")
         .select("term", "hits", _lower_bound(F.col("hits"), F.col("of")).alias("bound"))
     )
@@ -356,19 +474,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label_key: str,
         .orderBy(F.desc(F.col("bound") * F.sqrt("hits")), "term").limit(MOST_FEATURES)
     )
     features = np.array([r[0] for r in useful.select("term").collect()], np.int64)
-    if not len(features):
-        base = vectors.agg(F.avg("label")).first()[0] or 0.0
+    base = vectors.agg(F.avg("label")).first()[0] or 0.0
+    if not len(features) or base in (0.0, 1.0):
         return Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), _log_odds(base))
 
     vocabulary = Vocabulary(candidates.terms[features])
     voters = np.searchsorted(vocabulary.terms, candidates.terms[features[:MOST_VOTERS]])
-    # At most MOST_LABELLED + MOST_UNLABELLED rows of a few numbers.
-    rows = _vectors(spark, sample, vocabulary).collect()
-    labels = np.array([-1 if row.label is None else row.label for row in rows])
-    _, posterior = LabelModel.fit(_votes(rows, voters, len(vocabulary)), labels)
-    weights, bias = _regression(
-        spark, [(row.terms, float(p)) for row, p in zip(rows, posterior)], len(vocabulary)
-    )
+    patterns = _patterns_of(rows, labels, sample, vocabulary)
+    # Texts with the same votes are one row for the label model.
+    votes = F.array_intersect("terms", F.array(*[F.lit(int(v)) for v in voters]))
+    ballots = patterns.groupBy("label", votes.alias("terms")).agg(F.sum("weight").alias("weight"))
+    model = fit_label_model(stage(ballots, "ballots"), voters, len(vocabulary))
+    weights, bias = _regression(_posteriors(patterns, model, voters, len(vocabulary)), len(vocabulary))
     return Model(vocabulary, weights, bias)
 
 
@@ -377,48 +494,25 @@ def _log_odds(share: float) -> float:
     return math.log(share / (1 - share))
 
 
-def _votes(rows: list, voters: np.ndarray, size: int) -> np.ndarray:
-    """Which voters fire on each text."""
-    column = np.full(size, -1)
-    column[voters] = np.arange(len(voters))
-    votes = np.zeros((len(rows), len(voters)), np.float32)
-    for i, row in enumerate(rows):
-        own = column[row.terms]
-        votes[i, own[own >= 0]] = 1
-    return votes
-
-
-def _regression(
-    spark: SparkSession, texts: list[tuple[list[int], float]], size: int
-) -> tuple[np.ndarray, float]:
+def _regression(patterns: DataFrame, size: int) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels: each text counts for both classes, by its posterior.
 
-    Equal texts count once, with the sum of their weights.
+    ``patterns``: (terms, weight, posterior).
     """
-    grouped: dict[tuple[int, ...], list[float]] = {}
-    for ranks, p in texts:
-        both = grouped.setdefault(tuple(ranks), [0.0, 0.0])
-        both[0] += 1 - p
-        both[1] += p
-    rows = [
-        (float(c), weight, SparseVector(size, list(ranks), [1.0] * len(ranks)))
-        for ranks, both in grouped.items()
-        for c, weight in enumerate(both)
-        if weight > 1e-6
-    ]
-    kind = T.StructType(
-        [
-            T.StructField("label", T.DoubleType()),
-            T.StructField("weight", T.DoubleType()),
-            T.StructField("features", VectorUDT()),
-        ]
+    sides = F.array(
+        F.struct(F.lit(0.0).alias("label"), (F.col("weight") * (1 - F.col("posterior"))).alias("weight")),
+        F.struct(F.lit(1.0).alias("label"), (F.col("weight") * F.col("posterior")).alias("weight")),
+    )
+    rows = patterns.select("terms", F.explode(sides).alias("side")).groupBy("terms", "side.label")
+    rows = rows.agg(F.sum("side.weight").alias("weight")).where("weight > 1e-6")
+    rows = stage(rows.select("label", "weight", F.col("terms").cast("array<string>").alias("names")), "training")
+    places = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(size)], inputCol="names", outputCol="features", binary=True
     )
-    if len({c for c, _, _ in rows}) < 2:
-        return np.zeros(size), _log_odds(rows[0][0] if rows else 0.0)
     regression = LogisticRegression(
         weightCol="weight", regParam=REGULARISATION, maxIter=100, tol=1e-6, standardization=False, family="binomial"
     )
-    model = regression.fit(spark.createDataFrame(rows, kind).coalesce(2))
+    model = regression.fit(places.transform(rows))
     return np.array(model.coefficients.toArray()), float(model.intercept)
 
 

@@ -442,7 +442,6 @@ def test_the_fit_sees_forty_thousand_labels(spark):
 def test_a_repeated_key_does_not_fill_the_sample(spark, monkeypatch):
     """Copies of a row count once, and a key with many texts gives the rest no less room."""
     monkeypatch.setattr(toxicity, "MOST_LABELLED", 40)
-    monkeypatch.setattr(toxicity, "MOST_UNLABELLED", 5)
     keys = [k for k in range(100) if zlib.crc32(str(k).encode()) % 3 != 1][:40]
     same, many = keys[:2]
     rows = [(k, f"text {k}") for k in keys] + [(same, f"text {same}")] * 500 + [(many, f"other {i}") for i in range(500)]

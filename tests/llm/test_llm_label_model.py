@@ -1,0 +1,111 @@
+"""The label model and its samples against planted voters and plain versions."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from smelter.llm import toxicity
+
+PRIOR = 0.2
+#: Rates of firing on clean and toxic texts, those of voters that mostly abstain; the last two
+#: voters say what the first one says.
+RATES = np.array([[0.004, 0.01, 0.002, 0.02, 0.006, 0.01], [0.20, 0.25, 0.10, 0.30, 0.15, 0.12]])
+VOTERS, COPIES = RATES.shape[1], 2
+
+
+@pytest.fixture(scope="module")
+def planted():
+    """(votes, labels, truth): 8,000 texts have a label, wrong in 2 of 100 cases; 32,000 have none."""
+    random = np.random.default_rng(3)
+    truth = (random.random(40_000) < PRIOR).astype(int)
+    votes = (random.random((len(truth), VOTERS)) < RATES[truth]).astype(np.float32)
+    votes = np.concatenate([votes, np.repeat(votes[:, :1], COPIES, axis=1)], axis=1)
+    wrong = random.random(len(truth)) < 0.02
+    labels = np.where(np.arange(len(truth)) < 8_000, truth ^ wrong, -1)
+    return votes, labels, truth
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, planted):
+    votes, labels, _ = planted
+    terms = [np.flatnonzero(v).astype(np.int32) * 3 + 1 for v in votes]  # voters are the terms 1, 4, 7, ...
+    table = pa.table({"label": pa.array(labels, pa.int32(), mask=labels < 0), "terms": pa.array(terms, pa.list_(pa.int32()))})
+    rows = spark.createDataFrame(table)
+    patterns = rows.groupBy("label", "terms").agg(F.count("*").cast("double").alias("weight")).repartition(5).cache()
+    voters = np.arange(votes.shape[1]) * 3 + 1
+    return toxicity.fit_label_model(patterns, voters, 30), patterns, voters
+
+
+def test_planted_rates_are_found(fitted):
+    """Nearly: a voter that is silent abstains, so those that fire are believed a little too much
+    and rates on clean texts come out low, never too high.
+    """
+    model, _, _ = fitted
+    found = model.rates[:, :VOTERS]
+    assert np.abs(found[1] - RATES[1]).max() < 0.05
+    assert (found[0] < RATES[0] + 0.002).all() and np.abs(found[0] - RATES[0]).max() < 0.02
+    assert model.prior == pytest.approx(PRIOR, abs=0.06)
+    assert model.label_rates[0] < 0.06 and model.label_rates[1] > 0.8
+
+
+def test_voters_that_say_the_same_share_a_vote(fitted):
+    model, _, _ = fitted
+    same = [0, VOTERS, VOTERS + 1]
+    assert model.shares[same] == pytest.approx(1 / (1 + COPIES), abs=0.01)
+    assert model.shares[1:VOTERS] == pytest.approx(1, abs=0.01)
+
+
+def test_posteriors_find_the_truth(planted, fitted):
+    """Better than no votes would, with and without a label."""
+    votes, labels, truth = planted
+    right = (fitted[0].posterior(votes, labels) > 0.5) == truth
+    for some in (labels >= 0, labels < 0):
+        assert right[some].mean() > 0.9 > 1 - PRIOR + 0.05
+
+
+def test_the_fit_equals_a_plain_one(planted, fitted):
+    """Sums over patterns on Spark are those over all texts."""
+    votes, labels, _ = planted
+    plain = toxicity.LabelModel.of_labels(labels[labels >= 0].mean(), votes.shape[1])
+    for _ in range(toxicity.ROUNDS):
+        plain = plain.refined(plain.moments(votes, labels, np.ones(len(votes))))
+    model, patterns, voters = fitted
+    for name in ("prior", "rates", "shares", "label_rates", "silences"):
+        assert getattr(model, name) == pytest.approx(getattr(plain, name), abs=1e-5)
+    assert (model.heard == plain.heard).all()
+    rows = toxicity._posteriors(patterns, model, voters, 30).collect()
+    assert sum(r.weight for r in rows) == len(votes)
+    assert sum(r.weight * r.posterior for r in rows) == pytest.approx(plain.posterior(votes, labels).sum(), rel=1e-5)
+
+
+def test_no_votes_and_no_patterns(spark):
+    empty = spark.createDataFrame([], "label int, terms array<int>, weight double")
+    model = toxicity.fit_label_model(empty, np.array([1, 2]), 4)
+    assert model.posterior(np.zeros((1, 2), np.float32), np.array([-1]))[0] == 0.5
+    silent = spark.createDataFrame([(0, [], 5.0), (1, [1], 5.0), (None, [], 90.0)], empty.schema)
+    model = toxicity.fit_label_model(silent, np.array([1, 2]), 4)
+    assert model.rates[1, 0] > model.rates[0, 0]
+
+
+@pytest.mark.parametrize("most", [0, 1, 7, 500, 999, 1000, 5000])
+def test_rows_of_the_least_hashes(spark, most):
+    rows = spark.range(1000).select("id", F.shiftrightunsigned(F.xxhash64("id"), 1).alias("h")).cache()
+    want = {r.id for r in rows.orderBy("h").limit(most).collect()}
+    assert {r.id for r in toxicity._least(rows, F.col("h"), most).collect()} == want
+
+
+def test_all_rows_without_a_label_count(spark):
+    """Not a sample of them: their weights sum to their number, or to that of the labelled ones."""
+    keys = [k for k in range(30_000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(k, f"some text {k % 7} of words") for k in range(30_000)], "key long, text string")
+    for every in (2, 100):
+        labels = spark.createDataFrame([(k, k // every % 2) for k in keys[::every]], "key long, label int")
+        sample = toxicity._sample(docs, labels)
+        patterns = toxicity._patterns_of(docs, labels, sample, toxicity.Vocabulary(toxicity._PATTERN_HASHES))
+        weights = {r.known: r.weight for r in patterns.groupBy(F.col("label").isNotNull().alias("known")).agg(F.sum("weight").alias("weight")).collect()}
+        n_known = len(keys[::every])
+        assert weights[True] == n_known
+        assert weights[False] == pytest.approx(min(n_known, len(keys) - n_known))
