@@ -6,15 +6,21 @@ the released block with the earliest deadline. Up to any slot each source then h
 slots to within less than one block.
 
 Slots are given out for one period of A slots, in which source s has a_s = r_s A of them; block j
-takes slot (j div a_s) A + offset_s(j mod a_s). With many sources, those of equal weight form a
-class, and the schedule is one of classes: n sources of a class that has a slots get a / n each, and
-take the class's blocks in turns. Block j of member i is block j n + i of its class, which lies in
-its own window too: the deviation stays below one block for every source, whatever their number.
-
-Whole-numbered weights that sum to MOST_SLOTS at most are kept as they are. All others are given
-whole slots of MOST_SLOTS, at least one for each class, so the share of a class is off by less than
-1 / MOST_SLOTS of the mix. More than MOST_CLASSES different weights are put on a geometric scale of
-MOST_CLASSES steps, on which members of a class have their mean weight.
+takes slot (j div a_s) A + offset_s(j mod a_s). The schedule is one of classes: each source is one
+if weights are whole numbers, and all sources of a weight are one if weights are real. n sources of a
+class that has a slots get a / n each, and take the class's blocks in turns. Block j of member i is
+block j n + i of its class, which lies in its own window too: the deviation stays below one block
+for every source, whatever their number.
+
+Only the type of the weights decides this, never the number or size of the sources. Whole weights are
+the slots of their sources, whatever their sum. Real ones are given whole slots of MOST_SLOTS, at
+least one for each class, so the share of a class is off by less than 1 / MOST_SLOTS of the mix.
+
+The slots of a period, up to the last that is needed, are given out by window functions. At each slot
+as many blocks wait as were released up to it and not served. For the blocks of the most urgent
+deadlines alone, that follows from a running count and a running minimum, whatever the others do. So
+one pass divides slots and blocks by the first digit of the deadline, the next one each part by the
+second digit, and so on, until a part is one block and its slot.
 
 A source that has run out leaves its slots empty, and the others keep theirs. No row is dropped or
 repeated.
@@ -34,80 +40,119 @@ from smelter.operators import stage
 BLOCK_ROWS = 16
 #: Rows of one source, or sources of one class, that are ranked together; more are cut into ranges.
 RANGE_ROWS = 5_000
-#: Rows of a schedule, and slots of a period.
-MOST_CLASSES, MOST_SLOTS = 128, 10_000
-
-
-def _owners(weights: Column, slots: Column) -> Column:
-    """For columns of whole weights and of their sum: the index of the weight that gets each slot of
-    a period.
-
-    One fold over the slots, earliest deadline first among the released blocks.
-    """
-
-    def step(state: Column, slot: Column) -> Column:
-        def deadline(done: Column, i: Column) -> Column:
-            weight = F.get(weights, i)
-            due = F.floor(((done + 1) * slots + weight - 1) / weight)
-            released = F.floor(done * slots / weight) <= slot
-            return F.when((done < weight) & released, F.struct(due.cast("long").alias("due"), i.alias("i")))
-
-        first = F.array_min(F.transform(state["done"], deadline))["i"]
-
-        def given(own: Column) -> Column:
-            done = F.transform(state["done"], lambda n, i: F.when(i == own, n + 1).otherwise(n))
-            return F.struct(done.alias("done"), F.concat(state["owners"], F.array(own)).alias("owners"))
+#: Classes of a schedule: no limit.
+MOST_CLASSES = math.inf
+#: Slots of a period, if weights are real.
+MOST_SLOTS = 10_000_000
+#: Offsets of a class that are kept together.
+PIECE = 1_024
+#: Bits of a deadline by which a pass divides slots and blocks.
+DIGIT_BITS = 4
 
-        # An array of one, so that the first is looked for once.
-        return F.get(F.transform(F.array(first), given), 0)
 
-    none = F.transform(weights, lambda _: F.lit(0).cast("long"))
-    empty = F.struct(none.alias("done"), F.expr("cast(array() as array<int>)").alias("owners"))
-    every = F.sequence(F.lit(0).cast("long"), slots - 1)
-    return F.aggregate(every, empty, step, lambda state: state["owners"])
+def _div(a: Column, b: Column, up: bool = False) -> Column:
+    """``a / b`` as a long, rounded down or up; both are whole and not negative."""
+    return F.call_function("div", a + b - 1 if up else a, b)
 
 
-def _with_classes(sources: DataFrame, whole: bool) -> tuple[DataFrame, bool]:
-    """``sources`` with ``class``; whether the sums of the classes' weights are their slots."""
-    n, total, least, most, kinds = sources.agg(
-        F.count("*"), F.sum("weight"), F.min("weight"), F.max("weight"), F.countDistinct("weight")
-    ).first()
-    exact = whole and n > 0 and total <= MOST_SLOTS
-    if exact and n <= MOST_CLASSES:
-        return sources.withColumn("class", F.col("source")), True
-    if kinds <= MOST_CLASSES:
-        return sources.withColumn("class", F.col("weight")), exact
-    step = math.log(most / least) / MOST_CLASSES
-    number = F.floor(F.log(F.col("weight") / F.lit(least)) / F.lit(step))
-    return sources.withColumn("class", F.least(number, F.lit(MOST_CLASSES - 1)).cast("int")), False
+def _wide(number: Column) -> Column:
+    """For products of two longs."""
+    return number.cast("decimal(19,0)")
 
 
-def _schedule(sources: DataFrame, exact: bool) -> DataFrame:
-    """(class, slots, members, period, offsets): MOST_CLASSES rows at most, of MOST_SLOTS +
-    MOST_CLASSES offsets in all.
+def _given(blocks: DataFrame, slots: DataFrame, most: int) -> DataFrame:
+    """(number, turn, slot): each slot goes to the released block of the least urgency.
 
-    ``sources`` has ``class`` and ``weight``.
+    ``blocks``: (number, turn, release, urgency), of different urgencies up to ``most``; ``slots``:
+    (slot), numbered from 0. Slots at which no block waits are left out.
     """
-    classes = sources.groupBy("class").agg(F.sum("weight").alias("mass"), F.count("*").alias("members"))
+    none = F.lit(None).cast("long")
+    events = blocks.select(
+        F.lit(0).cast("long").alias("part"), F.col("release").alias("at"), F.lit(False).alias("is_slot"), "urgency", "number", "turn", none.alias("slot")
+    ).unionByName(
+        slots.select(
+            F.lit(0).cast("long").alias("part"), F.col("slot").alias("at"), F.lit(True).alias("is_slot"),
+            none.alias("urgency"), none.alias("number"), none.alias("turn"), "slot",
+        )
+    )
+    kept = [c for c in events.columns if c not in ("part", "at")]
+    # Within a part, ``at`` numbers its slots from 0; blocks stand before the first slot that they may get.
+    order = Window.partitionBy("part").orderBy("at", "is_slot")
+    until, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    digits = range(1 << DIGIT_BITS)
+    for shift in reversed(range(0, max(1, most.bit_length()), DIGIT_BITS)):
+        digit = F.shiftright("urgency", shift).bitwiseAND(F.lit(len(digits) - 1))
+        events = events.withColumn("digit", digit)
+        # Blocks of this digit or a lower one that are released, less the slots gone by.
+        events = events.withColumns(
+            {f"open{k}": F.count(F.when(F.col("digit") <= k, 1)).over(until) - F.col("at") for k in digits}
+        )
+        events = events.withColumns(
+            {f"least{k}": F.least(F.lit(1), F.min(F.when(F.col("is_slot"), F.col(f"open{k}"))).over(before)) for k in digits}
+        )
+        mine = F.coalesce("digit", *[F.when(F.col(f"open{k}") >= F.col(f"least{k}"), F.lit(k).cast("long")) for k in digits])
+        # Slots gone by that blocks of up to each digit got.
+        served = F.array(F.lit(0).cast("long"), *[F.col("at") - 1 + F.col(f"least{k}") for k in digits])
+        events = events.withColumn("digit", mine).where("digit is not null").withColumn("served", served)
+        events = events.select(
+            (F.col("part") * len(digits) + F.col("digit")).alias("part"),
+            (F.get("served", F.col("digit").cast("int") + 1) - F.get("served", F.col("digit").cast("int"))).alias("at"),
+            *kept,
+        )
+        # Staged, as a plan of all passes takes Spark long to optimize.
+        events = stage(events, "divided")
+    # One block and one slot a part.
+    pairs = events.groupBy("part").agg(F.max("number").alias("number"), F.max("turn").alias("turn"), F.max("slot").alias("slot"))
+    return pairs.drop("part")
+
+
+def _schedule(sources: DataFrame, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """(__class, __number, __slots, __members, __period), a row for each class, and (__at, __piece,
+    __offsets): the slots of a class in a period, PIECE of them a row.
+
+    ``sources`` has ``class``, ``weight`` and ``blocks``. Slots after the last that is needed are left out.
+    """
+    spark = sources.sparkSession
+    classes = sources.groupBy("class").agg(
+        F.sum("weight").alias("mass"), F.count("*").alias("members"), F.max("blocks").alias("blocks")
+    )
     classes = stage(classes, "classes")
-    if exact:
-        slots = F.col("mass").cast("long")
+    if whole:
+        slots = F.col("mass")
     else:
         total = classes.agg(F.sum("mass")).first()[0] or 1
         slots = F.greatest(F.lit(1), F.round(F.col("mass") * F.lit(MOST_SLOTS / total))).cast("long")
-    # One row, of MOST_CLASSES entries at most; staged, so that the fold reads plain columns.
-    listed = classes.agg(F.sort_array(F.collect_list(F.struct("class", slots.alias("slots"), "members"))).alias("all"))
-    listed = stage(listed.select("all", F.col("all.slots").alias("weights"), F.expr("aggregate(all.slots, 0L, (n, x) -> n + x)").alias("period")), "weights")
-    given = listed.where("period > 0").select(F.posexplode(_owners(F.col("weights"), F.col("period"))).alias("slot", "at"))
-    offsets = given.groupBy("at").agg(F.sort_array(F.collect_list(F.col("slot").cast("long"))).alias("offsets"))
-    named_classes = listed.select("period", F.posexplode("all").alias("number", "own"))
-    return named_classes.join(offsets, F.col("number") == F.col("at")).select(
-        F.col("own.class").alias("__class"),
-        F.col("own.slots").alias("__slots"),
-        F.col("own.members").alias("__members"),
-        F.col("period").alias("__period"),
-        F.col("offsets").alias("__offsets"),
+    classes = classes.withColumn("slots", slots)
+    n, period = classes.agg(F.count("*"), F.coalesce(F.sum("slots"), F.lit(0))).first()
+    # In their order, which decides between equal deadlines.
+    numbered = classes.select("*", F.row_number().over(Window.orderBy("class")).cast("long").alias("number"))
+    classes = stage(numbered.withColumn("period", F.lit(period).cast("long")), "numbered")
+    length, slots = F.col("period"), F.col("slots")
+    needed = F.least(slots, F.col("blocks") * F.col("members"))
+    end = classes.agg(F.max(_div(_wide(needed) * _wide(length), slots, up=True))).first()[0] or 0
+    # Blocks due later take no slot from those due by the end.
+    due = classes.select("*", _div(F.lit(end).cast("decimal(19,0)") * _wide(slots), length).alias("n"))
+    # In two steps, so that no row holds all blocks of a class.
+    pieces = due.select("*", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("n") - 1, F.lit(PIECE)))).alias("piece"))
+    first = F.col("piece") * PIECE
+    turns = pieces.select("*", F.explode(F.sequence(first, F.least(first + PIECE, F.col("n")) - 1)).alias("turn"))
+    blocks = turns.select(
+        "number",
+        "turn",
+        _div(_wide(F.col("turn")) * _wide(length), slots).alias("release"),
+        (_div(_wide(F.col("turn") + 1) * _wide(length), slots, up=True) * (n + 1) + F.col("number")).alias("urgency"),
+    )
+    given = _given(blocks, spark.range(end).select(F.col("id").alias("slot")), (end + 1) * (n + 1))
+    offsets = given.groupBy(F.col("number").alias("__at"), _div(F.col("turn"), F.lit(PIECE)).alias("__piece")).agg(
+        F.sort_array(F.collect_list("slot")).alias("__offsets")
     )
+    return classes.select(
+        F.col("class").alias("__class"),
+        F.col("number").alias("__number"),
+        F.col("slots").alias("__slots"),
+        F.col("members").alias("__members"),
+        F.col("period").alias("__period"),
+    ), offsets
 
 
 def _ranked(rows: DataFrame, group: str, tie: Column) -> DataFrame:
@@ -185,17 +230,19 @@ def mix(
         F.ceil(F.col("rows") / block_rows).cast("long").alias("blocks"),
         F.greatest(F.lit(1), F.ceil(F.col("rows") / range_rows)).cast("long").alias("ranges"),
     )
-    sources, exact = _with_classes(stage(sources, "sources"), whole)
-    schedule = stage(_schedule(sources, exact), "schedule")
-    members = sources.withColumn("__hash", F.xxhash64("source")).join(
-        schedule.select("__class", "__members"), F.col("class").eqNullSafe(F.col("__class"))
-    )
+    sources = stage(sources.withColumn("class", F.col("source") if whole else F.col("weight")), "sources")
+    classes, pieces = _schedule(sources, whole)
+    # Staged, so that Spark knows its size when it plans the join.
+    pieces = stage(pieces, "schedule")
+    members = sources.withColumn("__hash", F.xxhash64("source")).join(classes, F.col("class").eqNullSafe(F.col("__class")))
     members = members.withColumn("__ranges", F.ceil(F.col("__members") / range_rows))
-    # Staged, so that Spark knows its size when it plans the join with the rows.
     members = stage(
-        _ranked(members, "__class", F.col("source")).select(
+        _ranked(members, "__number", F.col("source")).select(
             F.col("source").alias("__source"),
-            "__class",
+            "__number",
+            "__slots",
+            "__members",
+            "__period",
             F.col("__rank").alias("__member"),
             F.col("ranges").alias("__ranges"),
         ),
@@ -203,21 +250,22 @@ def mix(
     )
     placed = docs.withColumn("__hash", hashed).join(members, own == F.col("__source"))
     ranked = _ranked(placed, "__source", named(key))
-    # At most MOST_CLASSES rows.
-    planned = ranked.join(F.broadcast(schedule.withColumnRenamed("__class", "__c")), F.col("__class").eqNullSafe(F.col("__c")))
-    block = F.floor(F.col("__rank") / block_rows).cast("long")
-    done = planned.withColumn("__block", block)
     slots, period = F.col("__slots"), F.col("__period")
+    ranked = ranked.withColumn("__block", F.floor(F.col("__rank") / block_rows).cast("long"))
+    ranked = ranked.withColumn("__turn", F.col("__block") * F.col("__members") + F.col("__member"))
+    ranked = ranked.withColumn("__left", F.pmod("__turn", slots))
+    done = ranked.join(
+        pieces, (F.col("__number") == F.col("__at")) & (F.floor(F.col("__left") / PIECE) == F.col("__piece"))
+    )
 
     def at(turn: Column, up: bool = False) -> Column:
         """The slot at which a class's block of this number begins: the floor, or the ceiling."""
-        left = F.pmod(turn, slots) * period
-        into = F.floor((left + slots - 1) / slots) if up else F.floor(left / slots)
-        return F.floor(turn / slots).cast("long") * period + into.cast("long")
+        left = _wide(F.pmod(turn, slots)) * _wide(period)
+        return _div(turn, slots) * period + _div(left, slots, up)
 
     first = F.col("__block") * F.col("__members")
-    turn = first + F.col("__member")
-    slot = F.floor(turn / slots).cast("long") * period + F.get("__offsets", F.pmod(turn, slots).cast("int"))
+    offset = F.get("__offsets", F.pmod("__left", F.lit(PIECE)).cast("int"))
+    slot = _div(F.col("__turn"), slots) * period + offset
     results = {
         "block": F.col("__block"),
         "slot": slot,

@@ -392,6 +392,48 @@ def test_any_number_of_sources_is_pfair(spark, n, kinds, whole):
         assert abs(given[source] - weight / total) < 0.02 * weight / total + (0 if whole else 1 / mixing.MOST_SLOTS / max(1, n // 600))
 
 
+@pytest.mark.parametrize("n, least", [(128, 1), (128, 20), (129, 1), (130, 20)])
+def test_whole_weights_are_scheduled_alike_at_any_size(spark, n, least):
+    """Slots of a plain schedule of the sources, with more than 128 of them and more than 10,000 slots too."""
+    sources, weights, most = [f"s{i:03}" for i in range(n)], [least + i for i in range(n)], 4
+    shares = spark.createDataFrame(list(zip(sources, weights)), "source string, weight long")
+    docs = spark.range(n * most).selectExpr("id as doc_id", f"concat('s', lpad(cast(id % {n} as string), 3, '0')) as source")
+    rows = mixing.mix(docs, shares, block_rows=1).collect()
+    taken, expected = Counter(), {}
+    for slot, i in enumerate(plain.schedule(weights)):
+        expected[sources[i], taken[i]] = slot
+        taken[i] += 1
+    for r in rows:
+        period, block = divmod(r.block, weights[sources.index(r.source)])
+        assert r.slot == period * sum(weights) + expected[r.source, block]
+
+
+@pytest.mark.parametrize("n", [20, 128, 129, 300])
+def test_real_weights_keep_their_own_shares(spark, n):
+    """Less than one block from the weights themselves, with more than 128 different ones too."""
+    weights = {f"s{i}": 1.0 + i * 0.05 for i in range(n)}
+    shares = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    docs = spark.range(n * 40).selectExpr("id as doc_id", f"concat('s', id % {n}) as source")
+    rows = mixing.mix(docs, shares, block_rows=1).collect()
+    assert len({r.slot for r in rows}) == n * 40
+    total = sum(weights.values())
+    rounding = max(r.slot for r in rows) / mixing.MOST_SLOTS
+    assert rounding < 0.02
+    assert deviation(rows, {s: w / total for s, w in weights.items()}) < 1 + rounding
+
+
+def test_large_whole_weights_are_exact(spark):
+    """Products of weights and slots beyond 64 bits."""
+    weights = {"a": 3 * 10**12, "b": 10**12 + 1, "c": 1}
+    shares = spark.createDataFrame(list(weights.items()), "source string, weight long")
+    docs = spark.range(90).selectExpr("id as doc_id", "element_at(array('a', 'b'), int(id % 2) + 1) as source")
+    total = 4 * 10**12 + 1
+    for r in mixing.mix(docs, shares, block_rows=1).collect():
+        w = weights[r.source]
+        assert (r.release, r.deadline) == (r.block * total // w, -(-(r.block + 1) * total // w))
+        assert r.release <= r.slot < r.deadline
+
+
 def test_the_query_against_a_plain_schedule(spark, folder):
     """Slots of the registered query: the same classes, scheduled by plain Python."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("source")
